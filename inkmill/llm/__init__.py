@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, quality_rules
+from . import exact_dedup, mixing, quality_rules, simhash
 
 
 def queries() -> dict:
     """Query name -> callable of (spark, sf_dir)."""
     return {
+        "op1_simhash": simhash.op1_simhash,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op7_mixing": mixing.op7_mixing,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,

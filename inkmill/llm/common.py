@@ -61,3 +61,18 @@ def word_count(text: Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def keep_rows(docs: DataFrame, key: tuple[Column, ...], stays: DataFrame) -> DataFrame:
+    """The rows of docs whose key is among the rows of stays, all columns kept; rows with the same key count once.
+
+    Nulls in a key are equal to each other. The join deals the rows out by key, so dropping repeated ones
+    needs no further shuffle.
+    """
+
+    def text_of(parts) -> Column:
+        return F.concat_ws(":", *(F.coalesce(p.cast("string"), F.lit("null")) for p in parts))
+
+    rows = docs.select(text_of(key).alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    keys = stays.select(text_of([F.col(c) for c in stays.columns]).alias("key"))
+    return rows.join(keys, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

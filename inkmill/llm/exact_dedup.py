@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, small_side, staged, table
+from .common import SPACE_RUN, keep_rows, small_side, staged, table
 
 BLOCK_BYTES = 4096
 _NAME = "array<struct<h:bigint,r:int>>"
@@ -122,21 +122,13 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash
     return out.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256", "n_bytes", "h", "r")
 
 
-def _key(doc_id: Column, n_points: Column, sha: Column) -> Column:
-    return F.concat_ws(":", sha, n_points.cast("string"), doc_id.cast("string"))
-
-
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, all columns kept. Rows that agree in id, length and normalised text count once."""
-    stays = identities(docs, id_col, text_col)
     best = F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha256"))
-    stays = stays.groupBy("n_bytes", "h", "r").agg(best.alias("b"))
-    stays = stays.select(_key(F.col("b.doc_id"), -F.col("b.p"), F.col("b.text_sha256")).alias("key"))
+    stays = identities(docs, id_col, text_col).groupBy("n_bytes", "h", "r").agg(best.alias("b"))
     sha = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
-    key = _key(F.col(id_col), F.length(F.coalesce(F.col(text_col), F.lit(""))), sha)
-    rows = docs.select(key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    # the join has dealt the rows out by key already: dropping the repeated ones needs no further shuffle
-    return rows.join(stays, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+    points = F.length(F.coalesce(F.col(text_col), F.lit("")))
+    return keep_rows(docs, (sha, points, F.col(id_col)), stays.select("b.text_sha256", -F.col("b.p"), "b.doc_id"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
