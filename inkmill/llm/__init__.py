@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, quality_rules, simhash
+from . import exact_dedup, mixing, packing, quality_rules, simhash, token_output
 
 
 def queries() -> dict:
@@ -10,7 +10,9 @@ def queries() -> dict:
     return {
         "op1_simhash": simhash.op1_simhash,
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op4_token_output": token_output.op4_token_output,
         "op7_mixing": mixing.op7_mixing,
+        "op8_packing": packing.op8_packing,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     }
 

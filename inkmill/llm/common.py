@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's folder for intermediate results, which all executors share."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="inkmill-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Compute df once and cut its lineage, in the folder all executors share (``spark.checkpoint.dir``).
 
@@ -28,10 +36,7 @@ def staged(df: DataFrame) -> DataFrame:
     the driver's garbage collector finds the DataFrame unused and
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="inkmill-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
