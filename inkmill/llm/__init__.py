@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality_rules, simhash, token_output
+from . import exact_dedup, mixing, packing, quality_rules, simhash, substring_dedup, suffix_array, token_output
 
 
 def queries() -> dict:
@@ -11,6 +11,8 @@ def queries() -> dict:
         "op1_simhash": simhash.op1_simhash,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op4_token_output": token_output.op4_token_output,
+        "op5_suffix_array": suffix_array.op5_suffix_array,
+        "op6_substring_dedup": substring_dedup.op6_substring_dedup,
         "op7_mixing": mixing.op7_mixing,
         "op8_packing": packing.op8_packing,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import map_in_arrow
 from .common import table
 from .tokens import WORD_BPE, encoder, vocabulary
 
@@ -136,7 +137,7 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID, size:
         yield from rows(remainder(items))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return map_in_arrow(rows, run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import map_in_arrow
 from .common import keep_rows, small_side, staged, table
 from .components import components
 
@@ -95,7 +96,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             kept = {n: batch.column(n) for n in batch.schema.names if n != "text"}
             yield pa.RecordBatch.from_pydict(kept | {"fp": pa.array(fps, pa.int64())})
 
-    return source.mapInArrow(run, schema)
+    return map_in_arrow(source, run, schema)
 
 
 def block_masks(n: int) -> list[int]:
@@ -184,7 +185,7 @@ def links(fps: DataFrame, n: int) -> DataFrame:
         mine = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("chunks")).cast("int")
         hot = met.where("hot").select("t", "key", "fp", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"))
         out = one.union(hot.select(F.xxhash64("t", "key", F.least("i", "j"), F.greatest("i", "j")).alias("grp"), "fp"))
-    return out.repartition("grp").sortWithinPartitions("grp", "fp").mapInArrow(_link_runs, "a long, b long").distinct()
+    return map_in_arrow(out.repartition("grp").sortWithinPartitions("grp", "fp"), _link_runs, "a long, b long").distinct()
 
 
 def near_groups(prints: DataFrame) -> DataFrame:

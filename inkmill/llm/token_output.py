@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import map_in_arrow
 from . import codes
 from .common import shared_folder, table
 from .tokens import BYTE_BPE, encoder, vocabulary
@@ -71,7 +72,7 @@ def write_tokens(docs: DataFrame, path: str, vocab: str | None = None, end_id: i
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(run, _SEGMENT_DDL).write.parquet(f"{path}/segments")
+    map_in_arrow(rows, run, _SEGMENT_DDL).write.parquet(f"{path}/segments")
     ends = docs.sparkSession.read.parquet(f"{path}/segments").groupBy("part").agg(F.max(F.col("before") + F.col("n_tokens")).alias("n_tokens"))
     start = F.sum("n_tokens").over(Window.orderBy("part")) - F.col("n_tokens")  # one row a partition
     ends.select("part", start.alias("start")).coalesce(1).write.parquet(f"{path}/parts")
@@ -104,7 +105,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     }
                 )
 
-    return segments(spark, path).select("doc_ids", "lengths", "start", "codes").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return map_in_arrow(segments(spark, path).select("doc_ids", "lengths", "start", "codes"), run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_at(spark: SparkSession, path: str, position: int) -> int:
