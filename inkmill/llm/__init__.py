@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality_rules, simhash, substring_dedup, suffix_array, token_output
+from . import exact_dedup, language, mixing, ordinal, packing, quality_rules, simhash, substring_dedup, suffix_array, token_output
 
 
 def queries() -> dict:
     """Query name -> callable of (spark, sf_dir)."""
     return {
         "op1_simhash": simhash.op1_simhash,
+        "op2_language": language.op2_language,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op4_token_output": token_output.op4_token_output,
         "op5_suffix_array": suffix_array.op5_suffix_array,
@@ -16,6 +17,7 @@ def queries() -> dict:
         "op7_mixing": mixing.op7_mixing,
         "op8_packing": packing.op8_packing,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+        "op10_ordinal": ordinal.op10_ordinal,
     }
 
 
