@@ -128,7 +128,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     stays = identities(docs, id_col, text_col).groupBy("n_bytes", "h", "r").agg(best.alias("b"))
     sha = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
     points = F.length(F.coalesce(F.col(text_col), F.lit("")))
-    return keep_rows(docs, (sha, points, F.col(id_col)), stays.select("b.text_sha256", -F.col("b.p"), "b.doc_id"))
+    return keep_rows(docs, (sha, points, F.col(id_col)), stays.select("b.text_sha256", (-F.col("b.p")).alias("n_points"), "b.doc_id"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
