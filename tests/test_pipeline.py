@@ -166,7 +166,7 @@ def test_report(spark, tmp_path):
     ddl = "seq int, title string, year int, llm_priority string, llm_relevance string, topic_label string, triage_score double, published_date string, llm_reason string, deep_summary string, deep_confidence double, doi string, url string"
     rows = [
         (0, "First", None, "read", "direct", None, 3.0, None, None, None, 0.9, "", "http://u"),
-        (1, " Second ", 2024, " READ", "direct", "B", 9.0, None, " because ", "deep", 0.5, "10.1/x", "http://u"),
+        (1, " Second ", 2024, " read", "direct", "B", 9.0, None, " because ", "deep", 0.5, "10.1/x", "http://u"),
         (2, "Third", None, "skim", "direct", "B", 99.0, None, None, " ", None, None, None),
         (3, "Fourth", None, "ignore", "x", "C", 99.0, None, None, None, None, None, None),
     ]
