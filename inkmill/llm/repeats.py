@@ -5,18 +5,25 @@ always have an anchor at the same place within them; they differ in how they cho
 
 1. Documents with the same words throughout are told by a 256-bit hash; of them only the first goes on, the others are
    repeats from end to end.
-2. Anchors: the hash of the words that start at each anchor. Those whose hash occurs once in the corpus are dropped.
+2. Anchors: the hash of the words that start at each anchor. The anchors are dealt out by hash in shares, packed (8 bytes
+   or so each), sorted within each share and compared with their neighbours; those that occur once in the corpus are dropped. Only
+   part of a hash is sent: a chance match makes a candidate too many, never a wrong result.
 3. Windows that hold an anchor which occurs again, at the place the scheme says, are candidates: only they can be
-   repeats. They are extended to their whole length by hashing all their words (128 bits), and grouped by it.
+   repeats. They are extended to their whole length by hashing all their words (128 bits).
+4. Runs of neighbouring candidates are cut where a window's hash says so (one place in eight), that is at the same
+   places in every copy. A segment between two cuts that occurs earlier as a whole needs no further look: all its windows
+   are repeats. What stays, the first of equal segments and the ends of runs, is grouped window by window. The
+   first occurrence of a window always stays, so nothing is lost.
 
-Equal windows are never listed in pairs. Within a task only the first of equal anchors or windows is sent on
+Equal anchors, segments or windows are never listed in pairs. Within a task only the first of equal ones is sent on
 under its hash; the others are known to repeat already and go under keys of their own. So a passage that a third of
-all documents hold makes a row a task under one key, not a row a document. Steps 2 and 3 sort with spilling; a
-Python task holds one Arrow batch and the hashes of its words, never a corpus-wide table.
+all documents hold makes a row a task under one key, not a row a document. All steps sort with spilling; a
+Python task holds one Arrow batch and the hashes of its words, never a corpus-wide table. The texts are shuffled once: every
+step joins the same exchange by document within one query.
 
 Order of occurrences: ids ascending, null last, then start. Rows with the same id and the same text count as one
 document, all of which get the same result; rows with the same id and other texts follow each other in the order
-of a hash of the text.
+of a hash of the text. A document's key is its id and that hash, which is 0 where the id is the document's own.
 """
 
 from __future__ import annotations
@@ -27,14 +34,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import map_in_arrow
-from .common import SPACE_RUN, SPACES, staged, word_count
+from .common import SPACE_RUN, SPACES, shuffle_partitions, small_side, staged, word_count
 from .simhash import word_pieces
 
 TABLE = 500_000
+#: One window in so many ends a segment.
+CUT = 8
+#: Stands for a null id, behind all others.
+LAST = (1 << 63) - 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,153 +92,304 @@ class Scheme:
     length: int
     gram: int
 
-    def anchors(self, grams: np.ndarray) -> np.ndarray:
-        """The positions of the anchors, given the hashes of all grams."""
+    def anchors(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The positions of the anchors and the hashes of their grams. words: one hash a word."""
         raise NotImplementedError
 
-    def candidates(self, grams: np.ndarray, marked: np.ndarray) -> np.ndarray:
-        """The starts of the windows that may occur again, given the anchors that do."""
+    def candidates(self, words: np.ndarray, marked: np.ndarray) -> np.ndarray:
+        """The starts of the windows that may occur again, ascending, given the anchors that do."""
         raise NotImplementedError
 
 
-def _ref(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col), F.col(text_col))
-
-
-def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Staged, one row a document: ref, doc_id, n_words, sha (of its words joined by one space), copy: an earlier
-    document has the same words."""
-    joined = F.regexp_replace(F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(SPACES)), SPACE_RUN, " ")
-    rows = docs.select(_ref(id_col, text_col).alias("ref"), F.col(id_col).cast("long").alias("doc_id"), word_count(F.col(text_col)).alias("n_words"), F.sha2(joined.cast("binary"), 256).alias("sha"))
-    rows = staged(rows)
-    first = rows.groupBy("sha", "n_words").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ref")).alias("first"))
-    return staged(rows.join(first, ["sha", "n_words"]).select("ref", "doc_id", "n_words", "sha", (F.col("ref") != F.col("first.ref")).alias("copy")))
-
+@dataclass(frozen=True)
+class Corpus:
+    """digests: staged, one row a document: doc, d (its key), doc_id, n_words, sha (of its words joined by one space), copies (rows that are this
+    document), copy: an earlier document has the same words, twin: another one has. texts: doc, d, text, one row a row of the input."""
 
-def _repeats_within(keys: np.ndarray) -> np.ndarray:
-    """Which of keys occur more than once."""
-    _, at, counts = np.unique(keys, return_inverse=True, return_counts=True)
-    return counts[at] > 1
+    digests: DataFrame
+    texts: DataFrame
 
 
-def _anchor_rows(scheme: Scheme):
-    """Rows k, k2, ref, pos, sure. k: the hash at an anchor, k2 that of the gram after it (0 at a text's end). Anchors that occur
-    again within the batch are sure and have a k of their own; one row with pos -1 stands for them under their hash."""
+def corpus(docs: DataFrame, id_col: str, text_col: str) -> Corpus:
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc")
+    mark = F.xxhash64(F.col(text_col))
+    joined = F.regexp_replace(F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(SPACES)), SPACE_RUN, " ")
+    rows = staged(docs.select(doc, mark.alias("mark"), F.col(id_col).cast("long").alias("doc_id"), word_count(F.col(text_col)).alias("n_words"), F.unhex(F.sha2(joined.cast("binary"), 256)).alias("sha")))
+    texts = docs.select(doc, F.col(text_col).cast("string").cast("binary").alias("text"))
+    shared = staged(rows.groupBy("doc").agg((F.min("mark") != F.max("mark")).alias("many")).where("many"))
+    # always 0, but no constant to Spark, which would plan the joins below, and with them the one exchange of texts, in different ways
+    own = F.pmod("doc", F.lit(1)).cast("long").alias("d")
+    if shared.limit(1).count():  # ids that several documents have
+        own = F.when(F.col("many"), F.col("mark")).otherwise(F.lit(0)).cast("long").alias("d")
+        side = small_side(shared)
+        rows = rows.join(side, "doc", "left")
+        texts = docs.select(doc, mark.alias("mark"), F.col(text_col).cast("string").cast("binary").alias("text")).join(side, "doc", "left")
+    rows = rows.groupBy("doc", own, "doc_id", "n_words", "sha").agg(F.count("*").alias("copies"))
+    key = F.struct("doc", "d")
+    same = rows.groupBy("sha", "n_words").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    digests = rows.join(same, ["sha", "n_words"]).select("doc", "d", "doc_id", "n_words", "sha", "copies", (key != F.col("first")).alias("copy"), (F.col("first") != F.col("last")).alias("twin"))
+    return Corpus(staged(digests), texts.select("doc", own, "text"))
+
+
+def _dump(*columns: np.ndarray) -> bytes:
+    """Columns of unsigned numbers as bytes: all lowest bytes of a column, then all next ones, so that what is alike lies together."""
+    return b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.nbytes // max(len(c), 1)).T).tobytes() for c in columns)
+
+
+def _load(data, *widths: int) -> list[np.ndarray]:
+    """The columns of _dump, each of so many bytes, as u64."""
+    flat = np.frombuffer(data, np.uint8).reshape(sum(widths), len(data) // sum(widths))
+    out, at = [], 0
+    for w in widths:
+        wide = np.zeros((flat.shape[1], 8), np.uint8)
+        wide[:, :w] = flat[at : at + w].T
+        out.append(wide.view("<u8").reshape(-1))
+        at += w
+    return out
+
+
+#: Bytes of an anchor's hash that are sent, besides those that chose its share.
+HASH_BYTES = 5
+_KEYS, _NAMES, _MARKS = 0, 1, 2
+_PACKED = "share int, batch long, kind int, data binary"
+
+
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"share": pa.int32(), "batch": pa.int64(), "kind": pa.int32(), "data": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds.values())], list(kinds))
+
+
+def _anchor_rows(scheme: Scheme, shares: int):
+    """Of each Arrow batch: a row for every share with the anchors that fall in it (hash, document's number in the batch, position), one with the keys
+    of its documents, and one with the anchors that repeat others of the batch. The first of equal anchors stands for all of them in its share.
+
+    A batch's number is that of the partition and a count. The rows of a partition are sorted by key, so a repeated task makes the same batches.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            keys, nexts, refs, places = [], [], [], []
-            for ref, text in zip(batch.column("ref").to_pylist(), batch.column("text")):
+            hashes, names, places, at = [], [], [], 0
+            for i, text in enumerate(batch.column("text")):
                 words = word_hashes(text.as_buffer().to_pybytes())[:, 0]
                 if len(words) < scheme.length:
                     continue
-                grams = gram_hashes(words, scheme.gram)
-                at = scheme.anchors(grams)
-                keys.append(grams[at])
-                nexts.append(np.where(at + scheme.gram < len(grams), grams[np.minimum(at + scheme.gram, len(grams) - 1)], 0))
-                refs.append(np.full(len(at), ref, np.int64))
-                places.append(at.astype(np.int32))
-            if not keys:
+                found, keys = scheme.anchors(words)
+                hashes.append(keys)
+                names.append(np.full(len(found), i, np.uint32))
+                places.append(found.astype(np.uint32))
+            if not hashes:
                 continue
-            k, k2, ref, pos = map(np.concatenate, (keys, nexts, refs, places))
-            sure = _repeats_within(k)
-            stand = np.unique(k[sure])
-            own = _mixed(ref.view(np.uint64) + pos.astype(np.uint64) * _MIX)
-            n = len(stand)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "k": np.concatenate([np.where(sure, own, k), stand]).view(np.int64),
-                    "k2": np.concatenate([k2, np.zeros(n, np.uint64)]).view(np.int64),
-                    "ref": np.concatenate([ref, np.zeros(n, np.int64)]),
-                    "pos": np.concatenate([pos, np.full(n, -1, np.int32)]),
-                    "sure": np.concatenate([sure, np.zeros(n, bool)]),
-                }
-            )
+            k, name, pos = map(np.concatenate, (hashes, names, places))
+            order = np.argsort(k, kind="stable")
+            again = np.concatenate(([False], k[order][1:] == k[order][:-1]))
+            later = order[again]
+            repeats = np.union1d(later, order[np.append(again[1:], False)])
+            rows = [(number % shares, number, _MARKS, _dump(name[repeats], pos[repeats]))]
+            keys = [batch.column(c).to_numpy().view(np.uint64) for c in ("doc", "d")]
+            rows.append((number % shares, number, _NAMES, _dump(*keys)))
+            keep = np.ones(len(k), bool)
+            keep[later] = False
+            k, name, pos = k[keep], name[keep], pos[keep]
+            share = ((k >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
+            order = np.argsort(share, kind="stable")
+            found, first = np.unique(share[order], return_index=True)
+            for s, part in zip(found.tolist(), np.split(order, first[1:])):
+                sent = np.ascontiguousarray(k[part].view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES])
+                rows.append((s, number, _KEYS, _dump(sent, name[part], pos[part])))
+            yield _packed(rows)
+            number += 1
 
     return run
 
 
-def _window_rows(scheme: Scheme):
-    """Rows h1, h2, none, doc_id, ref, start, sure, many of the candidate windows; sure: repeats an earlier one of the batch; many:
-    equals another one of the batch."""
+def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one share follow each other. Its anchors are sorted and compared with their neighbours; those that have an equal one are returned to
+    their batches."""
+
+    def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        parts = [_load(data, HASH_BYTES, 4, 4) for _, data in held]
+        k = np.concatenate([p[0] for p in parts])
+        order = np.argsort(k)
+        equal = k[order][1:] == k[order][:-1]
+        hit = np.zeros(len(k), bool)
+        hit[order[1:][equal]] = True
+        hit[order[:-1][equal]] = True
+        rows, at = [], 0
+        for (number, _), (k, name, pos) in zip(held, parts):
+            found = hit[at : at + len(k)]
+            at += len(k)
+            if found.any():
+                rows.append((0, number, _MARKS, _dump(name[found].astype(np.uint32), pos[found].astype(np.uint32))))
+        if rows:
+            yield _packed(rows)
+
+    share, held = None, []
+    for batch in batches:
+        passed = []
+        for s, number, kind, data in zip(*(batch.column(c).to_pylist() for c in ("share", "batch", "kind", "data"))):
+            if s != share:
+                yield from settle(held)
+                share, held = s, []
+            if kind == _KEYS:
+                held.append((number, data))
+            else:
+                passed.append((0, number, kind, data))
+        if passed:
+            yield _packed(passed)
+    yield from settle(held)
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one batch follow each other, the keys of its documents first. Returns doc, d, marks (the positions of the anchors that occur again)."""
+
+    def settle(names: list[np.ndarray], held: list[bytes]) -> Iterator[pa.RecordBatch]:
+        parts = [_load(data, 4, 4) for data in held]
+        name, pos = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64),) * 2
+        if not len(name):
+            return
+        order = np.lexsort((pos, name))
+        found, first = np.unique(name[order], return_index=True)
+        ends = np.append(first, len(name)).astype(np.int32)
+        marks = pa.ListArray.from_arrays(pa.array(ends), pa.array(pos[order].astype(np.int32)))
+        yield pa.RecordBatch.from_pydict({"doc": names[0][found].view(np.int64), "d": names[1][found].view(np.int64), "marks": marks})
+
+    number, names, held = None, [], []
+    for batch in batches:
+        for n, kind, data in zip(*(batch.column(c).to_pylist() for c in ("batch", "kind", "data"))):
+            if n != number:
+                yield from settle(names, held)
+                number, names, held = n, [], []
+            if kind == _NAMES:
+                names = _load(data, 8, 8)
+            else:
+                held.append(data)
+    yield from settle(names, held)
+
+
+def repeated_anchors(texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """doc, d, marks of the documents with anchors that occur again."""
+    shares = 3 * shuffle_partitions(texts.sparkSession)
+    packed = map_in_arrow(texts.sortWithinPartitions("doc", "d"), _anchor_rows(scheme, shares), _PACKED)
+    matched = map_in_arrow(packed.repartition(shares, "share").sortWithinPartitions("share", "batch", "kind"), _matches, _PACKED)
+    return map_in_arrow(matched.repartition("batch").sortWithinPartitions("batch", "kind"), _marks, "doc long, d long, marks array<int>")
+
+
+def _placed(parts: list[tuple]) -> pa.RecordBatch:
+    """Rows h1, h2, doc, d, start, n, sure, many of a batch's segments or windows; n: windows in a row. sure: equals an earlier
+    one of the batch; many: equals another one of the batch."""
+    h1, h2, doc, d, start, n = map(np.concatenate, zip(*parts))
+    order = np.lexsort((start, d, doc, h2, h1))
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    a, b, place = h1[order], h2[order], (doc[order], d[order], start[order])
+    same = np.concatenate(([False], (a[1:] == a[:-1]) & (b[1:] == b[:-1])))[: len(a)]
+    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))  # of each run of equal ones
+    sure = (place[0] != place[0][first]) | (place[1] != place[1][first]) | (place[2] != place[2][first])
+    many = np.bincount(first, sure, len(first))[first] > 0
+    sure, many = sure[back], many[back]
+    own = _mixed(_mixed(doc.view(np.uint64) * _MIX + d.view(np.uint64)) + start.astype(np.uint64) * _MIX)
+    return pa.RecordBatch.from_pydict(
+        {"h1": np.where(sure, own, h1).view(np.int64), "h2": np.where(sure, ~h2, h2).view(np.int64), "doc": doc, "d": d, "start": start, "n": n, "sure": sure, "many": many}
+    )
+
+
+_PLACED = "h1 long, h2 long, doc long, d long, start int, n int, sure boolean, many boolean"
+
+
+def _candidates(scheme: Scheme, batch: pa.RecordBatch) -> Iterator[tuple]:
+    """For each document: its key, the starts of its candidate windows and their two hashes, the row's number."""
+    for i, (doc, d, text, marks) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("d").to_pylist(), batch.column("text"), batch.column("marks"))):
+        words = word_hashes(text.as_buffer().to_pybytes())
+        starts = scheme.candidates(words[:, 0], marks.values.to_numpy())
+        starts = starts[starts + scheme.length <= len(words)]
+        if len(starts):
+            hull = words[starts[0] : starts[-1] + scheme.length]
+            yield doc, d, starts, *(gram_hashes(hull[:, c], scheme.length)[starts - starts[0]] for c in (0, 1)), i
+
+
+def _segments(starts: np.ndarray, h1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first window of each segment, by its number among starts, and whether the segment lies between two cuts."""
+    cut = h1 % np.uint64(CUT) == 0
+    gap = np.concatenate(([True], np.diff(starts) != 1))
+    first = np.flatnonzero(cut | gap)
+    after = np.append(first[1:], len(starts))
+    ended = np.append(cut, False)[after] & ~np.append(gap, True)[after]
+    return first, cut[first] & ended
+
+
+def _segment_rows(scheme: Scheme):
+    """The segments between two cuts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h1s, h2s, ids, refs, at = [], [], [], [], []
-            for ref, doc_id, text, marks in zip(batch.column("ref").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("marks")):
-                words = word_hashes(text.as_buffer().to_pybytes())
-                starts = scheme.candidates(gram_hashes(words[:, 0], scheme.gram), np.sort(marks.values.to_numpy()))
-                starts = starts[starts + scheme.length <= len(words)]
-                if not len(starts):
-                    continue
-                h1s.append(gram_hashes(words[:, 0], scheme.length)[starts])
-                h2s.append(gram_hashes(words[:, 1], scheme.length)[starts])
-                ids.append(np.full(len(starts), (1 << 63) - 1 if doc_id is None else doc_id, np.int64))
-                refs.append(np.full(len(starts), ref, np.int64))
-                at.append(starts.astype(np.int32))
-            if not at:
-                continue
-            h1, h2, doc_id, ref, start = map(np.concatenate, (h1s, h2s, ids, refs, at))
-            order = np.lexsort((start, ref, doc_id, h2, h1))
-            h1, h2, doc_id, ref, start = (x[order] for x in (h1, h2, doc_id, ref, start))
-            same = np.concatenate(([False], (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])))
-            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))  # of each run of equal windows
-            sure = (doc_id != doc_id[first]) | (ref != ref[first]) | (start != start[first])
-            alone = np.bincount(first, sure, len(first))[first] == 0
-            own = _mixed(ref.view(np.uint64) + start.astype(np.uint64) * _MIX)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "h1": np.where(sure, own, h1).view(np.int64),
-                    "h2": np.where(sure, ~h2, h2).view(np.int64),
-                    "doc_id": doc_id,
-                    "ref": ref,
-                    "start": start,
-                    "sure": sure,
-                    "many": ~alone,
-                }
-            )
+            parts = []
+            for doc, d, starts, h1, h2, _ in _candidates(scheme, batch):
+                first, whole = _segments(starts, h1)
+                n = np.diff(np.append(first, len(starts)))
+                at = (np.arange(len(starts)) - np.repeat(first, n)).astype(np.uint64) * _MIX
+                sums = [np.add.reduceat(_mixed(h + at), first)[whole] for h in (h1, h2)]
+                m = int(whole.sum())
+                parts.append((*sums, np.full(m, doc, np.int64), np.full(m, d, np.int64), starts[first[whole]].astype(np.int32), n[whole].astype(np.int32)))
+            if parts:
+                yield _placed(parts)
 
     return run
 
 
-def _repeated_anchors(rows: DataFrame) -> DataFrame:
-    again = F.count("*").over(Window.partitionBy("k")) > 1
-    return rows.withColumn("again", again).where("pos >= 0 and (sure or again)")
-
+def _window_rows(scheme: Scheme):
+    """The candidate windows that aren't in a segment of the column done, which begin at done.start and have done.n windows."""
 
-@dataclass(frozen=True)
-class Found:
-    """digests: as above. windows: staged, one row for each document with such windows: ref, later (starts of the windows that occur
-    earlier too), shared (starts of all windows that occur elsewhere too, if asked for). texts: ref, doc_id, text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, done = [], batch.column("done")
+            for doc, d, starts, h1, h2, i in _candidates(scheme, batch):
+                if done[i].is_valid:
+                    seen = done[i].values
+                    left = ~covered(seen.field("start").to_numpy(), seen.field("n").to_numpy(), int(starts[-1]) + 1)[starts]
+                    starts, h1, h2 = starts[left], h1[left], h2[left]
+                n = len(starts)
+                parts.append((h1, h2, np.full(n, doc, np.int64), np.full(n, d, np.int64), starts.astype(np.int32), np.ones(n, np.int32)))
+            if parts:
+                yield _placed(parts)
 
-    digests: DataFrame
-    windows: DataFrame
-    texts: DataFrame
+    return run
 
 
-def find(docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text", shared: bool = False, repeated_anchors=_repeated_anchors) -> Found:
-    digest = digests(docs, id_col, text_col)
-    texts = docs.select(_ref(id_col, text_col).alias("ref"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    single = digest.where(~F.col("copy") & (F.col("n_words") >= scheme.length)).select("ref").distinct()
-    # every use of the texts below is the same exchange by ref, which Spark shuffles once a query
-    anchors = map_in_arrow(texts.join(single, "ref", "left_semi"), _anchor_rows(scheme), "k long, k2 long, ref long, pos int, sure boolean")
-    marks = repeated_anchors(anchors).groupBy("ref").agg(F.collect_list("pos").alias("marks"))
-    windows = map_in_arrow(
-        texts.join(marks, "ref"), _window_rows(scheme), "h1 long, h2 long, doc_id long, ref long, start int, sure boolean, many boolean"
-    )
-    place = F.struct("doc_id", "ref", "start")
-    equal = Window.partitionBy("h1", "h2")
-    windows = windows.withColumns({"first": F.min(place).over(equal), "last": F.max(place).over(equal)})
-    windows = windows.select("ref", "start", (F.col("sure") | (F.col("first") != place)).alias("later"), (F.col("many") | (F.col("first") != F.col("last"))).alias("shared"))
-    lists = [F.collect_list(F.when(F.col("later"), F.col("start"))).alias("later")]
-    lists += [F.collect_list("start").alias("shared")] if shared else []
-    windows = windows.where("shared" if shared else "later").distinct().groupBy("ref").agg(*lists)
-    return Found(digest, staged(windows), texts)
-
-
-def covered(starts: np.ndarray, length: int, n_words: int) -> np.ndarray:
-    """Which words lie in a window that begins at one of starts."""
-    edge = np.zeros(n_words + 1, np.int64)
+def _judged(rows: DataFrame) -> DataFrame:
+    """rows of _placed that occur more than once: doc, d, start, n, later (another one is earlier)."""
+    place, equal = F.struct("doc", "d", "start"), Window.partitionBy("h1", "h2")
+    rows = rows.withColumns({"first": F.min(place).over(equal), "last": F.max(place).over(equal)})
+    rows = rows.where(F.col("many") | F.col("sure") | (F.col("first") != F.col("last")))
+    return rows.select("doc", "d", "start", "n", (F.col("sure") | (F.col("first") != place)).alias("later"))
+
+
+def find(corpus: Corpus, scheme: Scheme) -> DataFrame:
+    """One row for each document with windows that occur more than once: doc, d, later (start and n of windows in a row that occur
+    earlier too), shared (the same of all windows that occur elsewhere too)."""
+    single = corpus.digests.where(~F.col("copy") & (F.col("n_words") >= scheme.length)).select("doc", "d")
+    # nothing from here on is staged, so that every use of the texts is the same exchange by document
+    key = ["doc", "d"]
+    marks = repeated_anchors(corpus.texts.join(single, key, "left_semi"), scheme)
+    marked = corpus.texts.join(marks, key)
+    segments = _judged(map_in_arrow(marked, _segment_rows(scheme), _PLACED))
+    run = F.struct("start", "n")
+    done = segments.where("later").groupBy("doc", "d").agg(F.collect_list(run).alias("done"))
+    windows = _judged(map_in_arrow(marked.join(done, key, "left"), _window_rows(scheme), _PLACED))
+    lists = F.collect_list(F.when(F.col("later"), run)).alias("later"), F.collect_list(run).alias("shared")
+    return segments.union(windows).groupBy("doc", "d").agg(*lists)
+
+
+def covered(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in one of the ranges that begin at starts."""
+    edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + length, -1)
+    np.add.at(edge, starts + lengths, -1)
     return np.cumsum(edge[:-1]) > 0
+
+
+def words_covered(runs: pa.StructArray, length: int, n_words: int) -> np.ndarray:
+    """Which words lie in a window of runs (start, n: windows in a row), each of length words."""
+    return covered(runs.field("start").to_numpy(), runs.field("n").to_numpy() + (length - 1), n_words)

@@ -36,15 +36,15 @@ class CoverScheme(repeats.Scheme):
     period: int = PERIOD
     cover: tuple[int, ...] = COVER
 
-    def anchors(self, grams: np.ndarray) -> np.ndarray:
-        return np.flatnonzero(np.isin(np.arange(len(grams)) % self.period, self.cover))
+    def anchors(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        grams = repeats.gram_hashes(words, self.gram)
+        at = np.flatnonzero(np.isin(np.arange(self.period), self.cover)[np.arange(len(grams)) % self.period])
+        return at, grams[at]
 
-    def candidates(self, grams: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    def candidates(self, words: np.ndarray, marked: np.ndarray) -> np.ndarray:
         """Windows with a marked anchor among their first period words."""
-        near = np.zeros(len(grams) + 1, np.int64)
-        np.add.at(near, np.maximum(marked - self.period + 1, 0), 1)
-        np.add.at(near, marked + 1, -1)
-        return np.flatnonzero(np.cumsum(near[:-1]) > 0)
+        n = len(words) - self.gram + 1
+        return np.flatnonzero(repeats.covered(np.maximum(marked - self.period + 1, 0), np.minimum(marked + 1, self.period), n))
 
 
 def scheme(window: int = WINDOW) -> CoverScheme:
@@ -54,28 +54,28 @@ def scheme(window: int = WINDOW) -> CoverScheme:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_words, n_removed, kept_sha256, and kept: the text that is left where words were removed (its words
     joined by one space), else null."""
-    found = repeats.find(docs, scheme(window), id_col, text_col)
+    corpus = repeats.corpus(docs, id_col, text_col)
+    later = repeats.find(corpus, scheme(window)).where(F.size("later") > 0).select("doc", "d", "later")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            refs, removed, kept = [], [], []
-            for ref, text, later in zip(batch.column("ref").to_pylist(), batch.column("text"), batch.column("later")):
+            removed, kept = [], []
+            for text, runs in zip(batch.column("text"), batch.column("later")):
                 words = text.as_buffer().to_pybytes().split()
-                gone = repeats.covered(later.values.to_numpy(), window, len(words))
-                refs.append(ref)
+                gone = repeats.words_covered(runs.values, window, len(words))
                 removed.append(int(gone.sum()))
                 kept.append(b" ".join(words[i] for i in np.flatnonzero(~gone).tolist()))
-            shas = [hashlib.sha256(x).hexdigest() for x in kept]
-            yield pa.RecordBatch.from_pydict({"ref": pa.array(refs, pa.int64()), "removed": pa.array(removed, pa.int64()), "sha_left": pa.array(shas, pa.string()), "kept": pa.array([x.decode() for x in kept], pa.string())})
+            shas = [hashlib.sha256(x).digest() for x in kept]
+            yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "d": batch.column("d"), "removed": pa.array(removed, pa.int64()), "sha_left": pa.array(shas, pa.binary()), "kept": pa.array([x.decode() for x in kept], pa.string())})
 
-    cut = map_in_arrow(found.texts.join(found.windows, "ref"), run, "ref long, removed long, sha_left string, kept string").dropDuplicates(["ref"])
+    cut = map_in_arrow(corpus.texts.join(later, ["doc", "d"]), run, "doc long, d long, removed long, sha_left binary, kept string").dropDuplicates(["doc", "d"])
     whole = F.col("copy") & (F.col("n_words") >= window)
-    empty = hashlib.sha256(b"").hexdigest()
-    return found.digests.join(cut, "ref", "left").select(
+    rows = corpus.digests.join(cut, ["doc", "d"], "left").withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return rows.select(
         "doc_id",
         "n_words",
         F.when(whole, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(whole, F.lit(empty)).otherwise(F.coalesce("sha_left", "sha")).alias("kept_sha256"),
+        F.when(whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.lower(F.hex(F.coalesce("sha_left", "sha")))).alias("kept_sha256"),
         F.when(whole, F.lit("")).otherwise(F.col("kept")).alias("kept"),
     )
 

@@ -2,9 +2,9 @@
 
 Of the suffixes of all texts (a suffix starts at each word) only those at minimiser positions are kept: in every 26
 neighbouring positions the one whose 25 words have the smallest hash, the leftmost of equals. That depends on the words alone,
-so two equal windows of 50 words keep a suffix at the same place within them. The kept suffixes are sorted by the hashes of their
-first 25 and next 25 words; equal beginnings become neighbours, and a suffix that agrees with a neighbour in its
-first 25 words is a match, which is then extended left and right: all 50-word windows in which it is the minimiser
+so two equal windows of 50 words keep a suffix at the same place within them. The kept suffixes are sorted by the hash of their
+first 25 words, in shares dealt out by that hash, so that equal beginnings become neighbours. A suffix that agrees with a
+neighbour is a match, which is then extended left and right: all 50-word windows in which it is the minimiser
 are hashed whole and compared (see repeats.py, which also says how bounds hold). The result is exact: a word is
 shared if and only if it lies in 50 words in a row that occur more than once in the corpus.
 
@@ -20,12 +20,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import map_in_arrow
 from . import repeats
-from .common import shuffle_partitions, table
+from .common import table
 
 WINDOW = 50
 GRAM = 25
@@ -33,75 +33,66 @@ GRAM = 25
 
 @dataclass(frozen=True)
 class MinimiserScheme(repeats.Scheme):
-    def _least(self, grams: np.ndarray) -> np.ndarray:
-        """For each window the position of its minimiser."""
-        wide = self.length - self.gram + 1
+    def _least(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each window the position of its minimiser; the hashes of all grams."""
+        grams, wide = repeats.gram_hashes(words, self.gram), self.length - self.gram + 1
         if len(grams) < wide:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), grams
         out = np.empty(len(grams) - wide + 1, np.int64)
         for at in range(0, len(out), 1 << 18):  # a bounded part of a very long text at a time
             part = np.lib.stride_tricks.sliding_window_view(grams[at : at + (1 << 18) + wide - 1], wide)
             out[at : at + len(part)] = part.argmin(axis=1) + np.arange(at, at + len(part))
-        return out
+        return out, grams
 
-    def anchors(self, grams: np.ndarray) -> np.ndarray:
-        return np.unique(self._least(grams))
+    def anchors(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        least, grams = self._least(words)
+        at = np.unique(least)
+        return at, grams[at]
 
-    def candidates(self, grams: np.ndarray, marked: np.ndarray) -> np.ndarray:
-        return np.flatnonzero(np.isin(self._least(grams), marked))
+    def candidates(self, words: np.ndarray, marked: np.ndarray) -> np.ndarray:
+        """Windows whose minimiser is marked."""
+        chosen = np.zeros(len(words), bool)
+        chosen[marked] = True
+        return np.flatnonzero(chosen[self._least(words)[0]])
 
 
 def scheme(window: int = WINDOW, gram: int | None = None) -> MinimiserScheme:
     return MinimiserScheme(window, gram or window // 2)
 
 
-def neighbours(rows: DataFrame) -> DataFrame:
-    """The kept suffixes that agree with a neighbour of the sorted array in their first gram. The array is sorted in shares, dealt out by
-    the first gram's hash, so that neighbours are never in different shares."""
-    shares = 4 * shuffle_partitions(rows.sparkSession)
-    order = Window.partitionBy("share").orderBy("k", "k2", "ref", "pos")
-    dealt = rows.withColumn("share", F.pmod(F.xxhash64("k"), F.lit(shares)))
-    again = F.coalesce(F.lag("k").over(order) == F.col("k"), F.lit(False)) | F.coalesce(F.lead("k").over(order) == F.col("k"), F.lit(False))
-    return dealt.withColumn("again", again).where("pos >= 0 and (sure or again)")
-
-
 def shared_passages(docs: DataFrame, window: int = WINDOW, gram: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_words, n_shared (words in passages of at least window words that occur elsewhere too), n_removed (those
     of passages that occur earlier), spans (start and length in words of what is removed)."""
-    found = repeats.find(docs, scheme(window, gram), id_col, text_col, shared=True, repeated_anchors=neighbours)
+    corpus = repeats.corpus(docs, id_col, text_col)
+    found = repeats.find(corpus, scheme(window, gram))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"ref": batch.column("ref"), "shared_words": [], "removed": [], "starts": [], "lengths": []}
+            out = {"doc": batch.column("doc"), "d": batch.column("d"), "shared_words": [], "removed": [], "starts": [], "lengths": []}
             for later, shared in zip(batch.column("later"), batch.column("shared")):
-                gone = np.sort(later.values.to_numpy())
-                all_of = shared.values.to_numpy()
-                n = int(all_of.max()) + window
-                words = repeats.covered(gone, window, n)
+                ends = shared.values.field("start").to_numpy() + shared.values.field("n").to_numpy()
+                n = int(ends.max()) + window
+                words = repeats.words_covered(later.values, window, n)
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], words.view(np.int8), [0]))))
-                out["shared_words"].append(int(repeats.covered(all_of, window, n).sum()))
+                out["shared_words"].append(int(repeats.words_covered(shared.values, window, n).sum()))
                 out["removed"].append(int(words.sum()))
                 out["starts"].append(edge[::2])
                 out["lengths"].append(edge[1::2] - edge[::2])
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(out.values(), kinds)], list(out))
 
-    cut = map_in_arrow(found.windows, run, "ref long, shared_words long, removed long, starts array<long>, lengths array<long>")
+    cut = map_in_arrow(found, run, "doc long, d long, shared_words long, removed long, starts array<long>, lengths array<long>")
     # a document whose words an earlier one has from end to end is a repeat as a whole, and the earlier one is shared as a whole
-    twin = found.digests.where(F.col("copy") & (F.col("n_words") >= window)).select("sha").distinct().withColumn("twin", F.lit(True))
     whole = F.col("copy") & (F.col("n_words") >= window)
     spans = F.arrays_zip(F.col("starts").alias("start"), F.col("lengths").alias("length"))
     none = F.array().cast("array<struct<start:bigint,length:bigint>>")
-    return (
-        found.digests.join(cut, "ref", "left")
-        .join(twin, "sha", "left")
-        .select(
-            "doc_id",
-            "n_words",
-            F.when(F.col("twin"), F.col("n_words")).otherwise(F.coalesce("shared_words", F.lit(0))).cast("long").alias("n_shared"),
-            F.when(whole, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
-            F.when(whole, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("length")))).otherwise(F.coalesce(spans, none)).alias("spans"),
-        )
+    rows = corpus.digests.join(cut, ["doc", "d"], "left").withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.when(F.col("twin") & (F.col("n_words") >= window), F.col("n_words")).otherwise(F.coalesce("shared_words", F.lit(0))).cast("long").alias("n_shared"),
+        F.when(whole, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(whole, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("length")))).otherwise(F.coalesce(spans, none)).alias("spans"),
     )
 
 
