@@ -78,14 +78,15 @@ def _pair_hash(p: Column) -> Column:
 def named(norms: DataFrame, hashed=F.xxhash64) -> DataFrame:
     """norms: row (an id of the row), norm (the text without white space), and more columns. Adds n_bytes, h and r, the
     collision-free identity; the column norm goes. hashed: the hash of a block, another one in tests."""
+    found = _collisions(_exploded(norms, _blocks(F.col("norm")), hashed).select("h", "content"))
+    if found is not None:
+        norms = staged(norms)  # rows are numbered once and for all before they are joined by number
     level = norms.withColumn("n_bytes", F.octet_length("norm").cast("long")).withColumn(
         "names", F.transform(_blocks(F.col("norm")), lambda b: F.struct(hashed(b).alias("h"), F.lit(0).alias("r"))).cast(_NAME)
     )
-    contents = _exploded(norms, _blocks(F.col("norm")), hashed)
-    found = _collisions(contents.select("h", "content"))
     level = level.drop("norm")
     if found is not None:
-        level = _fix(level, contents, found)
+        level = _fix(level, _exploded(norms, _blocks(F.col("norm")), hashed), found)
     level = staged(level)
     while level.where(F.size("names") > 1).limit(1).count():  # log2 of the longest document's blocks
         pairs = level.where(F.size("names") > 1)
