@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import map_in_arrow
+from ..session import map_in_arrow, ship
 from .common import table
 
 BITS = 13
@@ -142,46 +142,45 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return fit_vectors([r["lang"] for r in found], logs)
 
 
-def _with_predictions(docs: DataFrame, model: Model | None, text_col: str) -> DataFrame:
-    """docs: any columns, among them text_col. Adds p, a struct of lang_pred, score and rejected, as JVM columns cannot clash with it."""
+_PREDICTED = "struct<lang_pred: string, score: double, rejected: boolean>"
 
-    kept = [c for c in docs.columns if c != text_col]
-    schema = docs.select(*kept).schema
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + ["lang_pred string", "score double", "rejected boolean"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            lang, score, far = [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)
-            texts = batch.column(text_col)
-            for at in range(0, n, 256):
-                logs, rows = [], []
-                for i in range(at, min(at + 256, n)):
-                    text = texts[i].as_py()
-                    if model and text and _LETTER.search(text):
-                        logs.append(vector(text))
-                        rows.append(i)
-                if rows:
-                    a, b, c = model.predict(np.stack(logs))
-                    score[rows], far[rows] = np.clip(b, 0, 1), c
-                    for i, k in zip(rows, a.tolist()):
-                        lang[i] = model.langs[k]
-            out = {c: batch.column(c) for c in kept}
-            yield pa.RecordBatch.from_pydict(out | {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score), "rejected": pa.array(far)})
-
-    return map_in_arrow(docs, run, ddl)
+def _predictor(model: Model | None):
+    """A function of a text column. Only the texts go to Python and only the verdicts come back; the rest of the rows stays where it is."""
+
+    @F.arrow_udf(_PREDICTED)
+    def run(texts: pa.Array) -> pa.Array:
+        n = len(texts)
+        lang, score, far = [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)
+        for at in range(0, n, 256):
+            logs, rows = [], []
+            for i in range(at, min(at + 256, n)):
+                text = texts[i].as_py()
+                if model and text and _LETTER.search(text):
+                    logs.append(vector(text))
+                    rows.append(i)
+            if rows:
+                a, b, c = model.predict(np.stack(logs))
+                score[rows], far[rows] = np.clip(b, 0, 1), c
+                for i, k in zip(rows, a.tolist()):
+                    lang[i] = model.langs[k]
+        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score), pa.array(far)], ["lang_pred", "score", "rejected"])
+
+    return run
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, held_out, lang_pred, score, rejected."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    return _with_predictions(rows, model, "text")
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), _predictor(model)(F.col(text_col).cast("string")).alias("p"))
+    return rows.select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
 
 
 def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """The rows of docs that aren't rejected, with all their columns and nothing else."""
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).cast("string").alias("text"))
-    return _with_predictions(rows, model, "text").where(~F.col("rejected")).select("row.*")
+    ship(docs.sparkSession)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), _predictor(model)(F.col(text_col).cast("string")).alias("p"))
+    return rows.where(~F.col("p.rejected")).select("row.*")
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
