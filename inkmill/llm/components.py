@@ -2,8 +2,8 @@
 
 Each round hangs the neighbours of every node on the smallest node near it, once towards the larger and
 once towards the smaller neighbours; the links shrink to one star a component in about log(diameter) rounds. Minima
-are taken with partial aggregation and joined back, so a node with very many links is split by Spark's
-skew join; only two numbers a round reach the driver. The links are staged each round.
+are taken with partial aggregation, staged, and joined back, so that the join is one of two plain exchanges and Spark's skew
+join splits a node with very many links; only two numbers a round reach the driver. The links are staged each round.
 """
 
 from __future__ import annotations
@@ -21,13 +21,13 @@ def _sum_of(links: DataFrame) -> tuple:
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = staged(down.groupBy("a").agg(F.min("b").alias("m")))
     hung = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
     return hung.union(least.select("a", F.col("m").alias("b"))).distinct()
 

@@ -118,7 +118,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash
     # the best row first: most code points, then smallest id, then smallest row number; sums by task come before the shuffle
     best = F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     stays = rows.groupBy("n_bytes", "h", "r").agg(best.alias("best"), F.count("*").alias("group_size"))
-    stays = stays.select("n_bytes", "h", "r", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
+    # staged, so that the join is one of two plain exchanges, whose crowded keys Spark splits
+    stays = staged(stays.select("n_bytes", "h", "r", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size"))
     out = rows.join(stays, ["n_bytes", "h", "r"])
     return out.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256", "n_bytes", "h", "r")
 

@@ -126,7 +126,8 @@ def corpus(docs: DataFrame, id_col: str, text_col: str) -> Corpus:
         texts = docs.select(doc, mark.alias("mark"), F.col(text_col).cast("string").cast("binary").alias("text")).join(side, "doc", "left")
     rows = rows.groupBy("doc", own, "doc_id", "n_words", "sha").agg(F.count("*").alias("copies"))
     key = F.struct("doc", "d")
-    same = rows.groupBy("sha", "n_words").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    # staged, so that the join is one of two plain exchanges, whose crowded keys Spark splits
+    same = staged(rows.groupBy("sha", "n_words").agg(F.min(key).alias("first"), F.max(key).alias("last")))
     digests = rows.join(same, ["sha", "n_words"]).select("doc", "d", "doc_id", "n_words", "sha", "copies", (key != F.col("first")).alias("copy"), (F.col("first") != F.col("last")).alias("twin"))
     return Corpus(staged(digests), texts.select("doc", own, "text"))
 

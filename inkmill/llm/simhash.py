@@ -198,7 +198,7 @@ def near_groups(prints: DataFrame) -> DataFrame:
     moved = staged(linked.join(least, "root").select("fp", "root", "component_id"))
     whole = nodes.join(small_side(moved), "fp", "left")
     whole = whole.select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first").alias("component_id"))
-    return prints.join(whole, "fp")
+    return prints.join(staged(whole), "fp")  # one of two plain exchanges, whose crowded fingerprints Spark splits
 
 
 def fingerprint_text(fp: Column) -> Column:
