@@ -32,6 +32,8 @@ from .tokens import BYTE_BPE, encoder, vocabulary
 
 END_ID = 2
 SEGMENT_IDS = 1 << 20
+#: Pieces in the encoder's table; more of them cost memory and save time.
+PIECES = 500_000
 _SEGMENT = pa.schema(
     [("part", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary())]
 )
@@ -43,7 +45,7 @@ def write_tokens(docs: DataFrame, path: str, vocab: str | None = None, end_id: i
     vocab = vocab or vocabulary(BYTE_BPE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocab)
+        encode = encoder(vocab, PIECES)
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         segment = before = 0

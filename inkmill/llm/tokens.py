@@ -21,7 +21,7 @@ from pathlib import Path
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-TABLE = 500_000
+TABLE = 250_000
 LONGEST = 64
 #: Where a megabyte of text may be cut: after a character that is no white space and before an ASCII one.
 _BORDER = re.compile(rb"[^ \t-\r](?=[ \t-\r])")
@@ -50,6 +50,15 @@ def _kind(made: dict) -> str:
     return "word" if steps == ["NFC", "Replace", "Lowercase"] and split == ["Removed"] else "other"
 
 
+def _settings(text: str) -> dict:
+    """What a tokenizer file says besides its vocabulary, which comes last and is large."""
+    head, found, _ = text.rpartition('"model":')
+    try:
+        return json.loads(head.rstrip().rstrip(",") + "}") if found else json.loads(text)
+    except ValueError:
+        return json.loads(text)
+
+
 def _sure_end(text: str) -> bool:
     """Whether a piece ends in ASCII or in a letter or digit, also in lower case (which may add an accent of its own)."""
     return text[-1] < "\x80" or all(unicodedata.ucd_3_2_0.category(c)[0] in "LN" for c in (text[-1], text.lower()[-1]))
@@ -58,16 +67,17 @@ def _sure_end(text: str) -> bool:
 class Encoder:
     """text (UTF-8) -> its ids as little-endian u32 bytes.
 
-    The table has two generations of at most TABLE pieces: a piece found in the old one moves to the new one, and
+    The table has two generations of at most size pieces (of 140 bytes or so each): a piece found in the old one moves to the new one, and
     when the new one is full it becomes the old one.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, size: int = TABLE):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = _kind(json.loads(Path(path).read_text(encoding="utf-8")))
+        self.size = size
+        self.kind = _kind(_settings(Path(path).read_text(encoding="utf-8")))
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -98,25 +108,24 @@ class Encoder:
     def _ids(self, pieces: list[bytes]) -> bytes | None:
         """The ids of pieces; None if one of them can't be told apart from its neighbours."""
         out = list(map(self.new.get, pieces))
-        if None in out:
-            met = {}
-            for p, x in zip(pieces, out):
-                if x is None and p not in met:
-                    met[p] = self.old.get(p)
+        missing = [i for i, x in enumerate(out) if x is None]
+        if missing:
+            met = {p: self.old.get(p) for p in map(pieces.__getitem__, missing)}
             fresh = [p for p, x in met.items() if x is None]
             texts = [p.decode("utf-8", "replace") for p in fresh]
             if _OTHER_SPACE.search("".join(texts)) or not all(map(_sure_end, texts)):
                 return None
             for p, e in zip(fresh, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 met[p] = array("I", e.ids).tobytes()
-            out = [met[p] if x is None else x for p, x in zip(pieces, out)]
+            for i in missing:
+                out[i] = met[pieces[i]]
             self.new.update((p, x) for p, x in met.items() if len(p) <= LONGEST)
-            if len(self.new) > TABLE:
+            if len(self.new) > self.size:
                 self.old, self.new = self.new, {}
         return b"".join(out)
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, size: int = TABLE) -> Encoder:
     """The encoder of a vocabulary file, one a worker process."""
-    return Encoder(path)
+    return Encoder(path, size)
