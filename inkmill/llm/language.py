@@ -126,10 +126,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """The model learned from the texts and non-null languages of documents that aren't held out."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # ids first: the ranking moves no texts, and keeps SAMPLE rows a language in each task before it shuffles
+    # hashes alone: the ranking moves no texts. They are even, so a bound leaves about four times the sample of a language to be ranked
     keys = rows.select("lang", F.xxhash64("doc_id", "text").alias("mark"))
+    share = F.lit(4.0 * SAMPLE) / F.approx_count_distinct("mark")
+    bounds = keys.groupBy("lang").agg((share * 2.0**64 - 2.0**63).alias("bound"))  # one row a language
+    keys = keys.join(F.broadcast(bounds), "lang").where(F.col("mark").cast("double") < F.col("bound")).select("lang", "mark").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
-    keys = keys.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("lang", "mark").distinct()
+    keys = keys.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("lang", "mark")
     chosen = rows.withColumn("mark", F.xxhash64("doc_id", "text")).join(F.broadcast(keys), ["lang", "mark"], "left_semi")  # SAMPLE short rows a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
