@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import map_in_arrow
 from .common import table
-from .tokens import WORD_BPE, encoder, vocabulary
+from .tokens import TABLE, WORD_BPE, encoder, vocabulary
 
 SEQUENCE = 2048
 END_ID = 1
@@ -89,12 +89,13 @@ def remainder(items: list[tuple[int, int, int]]) -> list[list[tuple[int, int, in
     return out
 
 
-def pack(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID, size: int = SEQUENCE, group_ids: int = GROUP_IDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a piece: doc_id, start, length, ids (u32, little-endian), doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID, size: int = SEQUENCE, group_ids: int = GROUP_IDS, id_col: str = "doc_id", text_col: str = "text", table_size: int = TABLE) -> DataFrame:
+    """One row a piece: doc_id, start, length, ids (u32, little-endian), doc_tokens, sequence_id, offset. table_size: of the encoder's table; it changes
+    time and memory, not the result."""
     vocab = vocab or vocabulary(WORD_BPE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocab)
+        encode = encoder(vocab, table_size)
         end = np.array([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 40
         held: dict[int, tuple[int | None, bytes]] = {}  # document number -> id, ids
@@ -141,5 +142,5 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID, size:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack(table(spark, sf_dir, "documents"))
+    pieces = pack(table(spark, sf_dir, "documents"), table_size=2 * TABLE)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
