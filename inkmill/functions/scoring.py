@@ -52,11 +52,12 @@ def best_topic(scores: list[tuple[str, str, Column]]) -> Column:
     none = F.struct(F.lit(OUT_OF_SCOPE[0]).alias("key"), F.lit(OUT_OF_SCOPE[1]).alias("label"), F.lit(0.0).alias("score"))
     if not scores:
         return none
-    most = F.greatest(*(s for _, _, s in scores)) if len(scores) > 1 else scores[0][2]
-    pick = F.when(most <= 0, none)
-    for key, label, s in scores:
-        pick = pick.when(s == most, F.struct(F.lit(key).alias("key"), F.lit(label).alias("label"), s.alias("score")))
-    return pick.otherwise(none)
+    # by place in an array: a CASE over all topics would repeat every score for every topic
+    values = F.array(*(s for _, _, s in scores))
+    most = F.array_max(values)
+    at = F.array_position(values, most).cast("int")
+    names = [F.element_at(F.array(*(F.lit(x[i]) for x in scores)), at) for i in (0, 1)]
+    return F.when(most > 0, F.struct(names[0].alias("key"), names[1].alias("label"), most.alias("score"))).otherwise(none)
 
 
 def generic_score(terms, cfg: Scoring) -> Column:
@@ -99,9 +100,11 @@ def score(papers: DataFrame, terms: SearchTerms, cfg: Scoring) -> DataFrame:
     else:
         scored = papers.withColumns({f"_s{i}": topic_score(t.terms, cfg) for i, t in enumerate(terms.topics)})
         best = best_topic([(t.key, t.label, F.col(f"_s{i}")) for i, t in enumerate(terms.topics)])
-    scored = scored.withColumns({"_best": best, "_generic": generic_score(terms.generic, cfg).cast("double")})
-    outside = F.col("_best.key") == OUT_OF_SCOPE[0]
-    total = F.col("_best.score") + float(cfg.generic_priority_weight) * F.col("_generic") + bonuses(cfg) - penalties(cfg) + citation_bonus(cfg)
+    # the total is made from the largest score alone, so that a filter on it, which Spark moves below this projection, stays small
+    most = F.array_max(F.array(*(F.col(f"_s{i}") for i in range(len(terms.topics))))) if terms.topics else F.lit(0.0)
+    scored = scored.withColumns({"_best": best, "_most": most, "_generic": generic_score(terms.generic, cfg).cast("double")})
+    outside = F.col("_most") <= 0
+    total = F.col("_most") + float(cfg.generic_priority_weight) * F.col("_generic") + bonuses(cfg) - penalties(cfg) + citation_bonus(cfg)
     triage = F.when(outside, F.lit(0.0)).otherwise(F.round(F.greatest(total, F.lit(0.0)), 3))
     out = scored.withColumns(
         {
@@ -113,7 +116,7 @@ def score(papers: DataFrame, terms: SearchTerms, cfg: Scoring) -> DataFrame:
             "relevance_score": triage,
         }
     )
-    return out.drop("_best", "_generic", *(f"_s{i}" for i in range(len(terms.topics))))
+    return out.drop("_best", "_most", "_generic", *(f"_s{i}" for i in range(len(terms.topics))))
 
 
 def priority_rank(c: str | Column) -> Column:
