@@ -1,0 +1,193 @@
+"""Near-dedup by the Jaccard similarity of word shingles, candidates from MinHash bands, every link verified exactly.
+
+A text is lower-cased (A-Z alone), split into words at ASCII white space and turned into the set of the XXH64 hashes of its
+shingles of SHINGLE words. Texts whose sets have a Jaccard similarity of SIMILARITY or more are linked, and documents that links
+connect are one group.
+
+Search: each set has BANDS keys of ROWS minima each, as many that a pair at the threshold meets in no band with a chance of MISS at
+most (46 bands for 0.8). That is the only way to lose a pair. Texts that meet in a band hang on the smallest of them, and the
+components of that graph are candidates: whatever is linked lies in one of them. Each candidate's sets are then sent once to one
+place, and a walk there takes one set at a time, links what is similar by exact intersection and leaves it out of further
+comparisons, so a crowd of near copies costs about one comparison and one link each.
+
+Bounds: equal sets are searched once. Candidates of more than CHUNK hashes are cut into chunks, and each pair of chunks is a
+group of its own, so no task holds more than that (or one text) at once and nothing is capped.
+
+Edge cases: null, empty and blank texts have the empty set, are one group and linked to nothing else; under SHINGLE words the whole
+sequence is the one shingle; rows with the same id are rows of their own; a null id stays only where its group has no other; an
+empty table gives an empty result; all columns are kept.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from fractions import Fraction
+from math import ceil, log
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import map_in_arrow
+from .common import keep_rows, small_side, staged
+from .components import components
+from .simhash import _LOWER, _signed, word_pieces
+
+SHINGLE = 5
+SIMILARITY = 0.8
+ROWS = 6
+MISS = 1e-6
+CHUNK = 1 << 20
+PART = 2048
+
+
+def shingle_set(data: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """The distinct hashes of a UTF-8 text's shingles, ascending."""
+    digest = xxhash.xxh64_intdigest
+    found, held = [], []
+    for piece in word_pieces(data.translate(_LOWER)):
+        words = held + piece
+        if len(words) < shingle:
+            held = words
+            continue
+        joined = b" ".join(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes + 1) - 1
+        starts = (ends - sizes)[: len(words) - shingle + 1].tolist()
+        found.append(np.fromiter((digest(joined[i:j]) for i, j in zip(starts, ends[shingle - 1 :].tolist())), np.uint64, len(starts)))
+        held = words[len(words) - shingle + 1 :]
+    if not found:
+        return np.array([digest(b" ".join(held))] if held else [], np.uint64)
+    return np.unique(np.concatenate(found))
+
+
+def bands_for(similarity: float) -> int:
+    """How many bands leave a pair at this similarity a chance of MISS to meet in none."""
+    hit = similarity**ROWS
+    return 1 if hit >= 1 else max(1, ceil(log(MISS) / log(1 - hit)))
+
+
+def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
+    made = np.random.Generator(np.random.PCG64(42)).integers(0, 1 << 32, (2, n, 1), dtype=np.uint32)
+    return made[0] | np.uint32(1), made[1]
+
+
+def band_keys(hashes: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> list[int]:
+    """One key a band, as signed longs; none for the empty set."""
+    if not len(hashes):
+        return []
+    high = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(factors), 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(high), PART):
+        np.minimum(least, (factors * high[i : i + PART] + offsets).min(axis=1), out=least)
+    return [_signed(xxhash.xxh64_intdigest(least[i : i + ROWS].tobytes(), i)) for i in range(0, len(least), ROWS)]
+
+
+def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: int) -> DataFrame:
+    """One row a document: doc_id, mark (the text's hash), node (its set's hash), n (the set's size), keys."""
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("mark"), text.cast("binary").alias("text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors, offsets = _permutations(bands * ROWS)
+        for batch in batches:
+            nodes, sizes, keys = [], [], []
+            for x in batch.column("text"):
+                hashes = shingle_set(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle)
+                nodes.append(_signed(xxhash.xxh64_intdigest(hashes.tobytes())))
+                sizes.append(len(hashes))
+                keys.append(band_keys(hashes, factors, offsets))
+            made = {"node": pa.array(nodes, pa.int64()), "n": pa.array(sizes, pa.int64()), "keys": pa.array(keys, pa.list_(pa.int64()))}
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "mark": batch.column("mark")} | made)
+
+    return map_in_arrow(source, run, f"doc_id {kind}, mark long, node long, n long, keys array<long>")
+
+
+def _walk(nodes: np.ndarray, sets: list[np.ndarray], least: Fraction) -> tuple[list, list]:
+    """Links that connect what all links among these sets connect."""
+    left, right, rest = [], [], list(range(len(nodes)))
+    while rest:
+        todo = [rest.pop(0)]
+        while todo and rest:
+            at = todo.pop()
+            a = sets[at]
+            sizes = np.fromiter((len(sets[i]) for i in rest), np.int64, len(rest))
+            fits = np.flatnonzero((np.minimum(sizes, len(a)) * least.denominator) >= np.maximum(sizes, len(a)) * least.numerator)
+            if not len(fits):
+                continue
+            joined = np.concatenate([sets[rest[i]] for i in fits])
+            met = a[np.minimum(np.searchsorted(a, joined), len(a) - 1)] == joined
+            both = np.add.reduceat(met, np.concatenate(([0], np.cumsum(sizes[fits])[:-1])), dtype=np.int64)
+            near = set(fits[both * least.denominator >= (len(a) + sizes[fits] - both) * least.numerator].tolist())
+            hit = [rest[i] for i in sorted(near)]
+            left += [nodes[at]] * len(hit)
+            right += [nodes[i] for i in hit]
+            todo += hit
+            rest = [x for i, x in enumerate(rest) if i not in near]
+    return left, right
+
+
+def _linker(least: Fraction):
+    """Input: rows grp, node, hashes, where the rows of a grp follow each other. Output: links a, b."""
+
+    def links(members: dict) -> pa.RecordBatch:
+        a, b = _walk(np.fromiter(members, np.int64, len(members)), [np.frombuffer(x, np.uint64) for x in members.values()], least)
+        return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, members = None, {}
+        for batch in batches:
+            for grp, node, hashes in zip(batch.column("grp").to_pylist(), batch.column("node").to_pylist(), batch.column("hashes")):
+                if grp != now:
+                    if len(members) > 1:
+                        yield links(members)
+                    now, members = grp, {}
+                members.setdefault(node, hashes.as_py())
+        if len(members) > 1:
+            yield links(members)
+
+    return run
+
+
+def links(docs: DataFrame, prints: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """prints: staged sketches of docs. Links a, b between nodes that connect what all links of similar sets connect."""
+    rows = prints.select("node", F.explode("keys").alias("key"))
+    least = staged(rows.groupBy("key").agg(F.min("node").alias("m"), F.max("node").alias("most")).where("m < most").select("key", "m"))
+    met = rows.join(small_side(least), "key").where("node <> m").select(F.col("node").alias("a"), F.col("m").alias("b")).distinct()
+    roots = components(met)
+    nodes = prints.groupBy("node").agg(F.min("mark").alias("mark"), F.first("n").alias("n"))  # equal sets have one size
+    found = staged(nodes.join(roots, "node").select("node", "root", "mark", "n"))
+    sizes = found.groupBy("root").agg(F.ceil(F.sum("n") / (CHUNK // 2)).cast("int").alias("chunks"), (F.sum("n") > CHUNK).alias("hot"))
+    found = staged(found.join(sizes, "root"))
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.xxhash64(text).alias("mark"), text.cast("binary").alias("text")).join(small_side(found), "mark")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array([shingle_set(x.as_buffer().to_pybytes(), shingle).tobytes() for x in batch.column("text")], pa.binary())
+            kept = {n: batch.column(n) for n in ("root", "node", "chunks", "hot")}
+            yield pa.RecordBatch.from_pydict(kept | {"hashes": made})
+
+    sets = map_in_arrow(texts.select("root", "node", "chunks", "hot", "text"), run, "root long, node long, chunks int, hot boolean, hashes binary")
+    if found.where("hot").limit(1).count():
+        sets = staged(sets)
+        mine = F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int")
+        hot = sets.where("hot").select("root", "node", "hashes", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"))
+        pairs = hot.select(F.xxhash64("root", F.least("i", "j"), F.greatest("i", "j")).alias("grp"), "node", "hashes")
+        out = sets.where("not hot").select(F.col("root").alias("grp"), "node", "hashes").union(pairs)
+    else:
+        out = sets.select(F.col("root").alias("grp"), "node", "hashes")
+    return map_in_arrow(out.repartition("grp").sortWithinPartitions("grp"), _linker(Fraction(str(similarity))), "a long, b long").distinct()
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """docs with one row of each group of near copies, that with the smallest id, all columns kept."""
+    prints = staged(sketches(docs, id_col, text_col, shingle, bands_for(similarity)))
+    roots = staged(components(links(docs, prints, text_col, shingle, similarity)))
+    grouped = prints.join(small_side(roots), "node", "left").withColumn("group", F.coalesce("root", "node"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("b")
+    stays = grouped.groupBy("group").agg(best)
+    return keep_rows(docs, (F.xxhash64(F.col(text_col).cast("string")), F.col(id_col)), stays.select("b.mark", "b.doc_id"))

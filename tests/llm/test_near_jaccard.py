@@ -1,0 +1,100 @@
+"""Near-dedup at a Jaccard similarity against brute force."""
+
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from corpora import clashing, edge_rows, random_texts, rows, table
+from inkmill.llm import near_jaccard, simhash
+
+
+def brute_sets(texts, k=5):
+    out = []
+    for t in texts:
+        w = (t or "").encode().translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))).split()
+        out.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+    return out
+
+
+def brute_kept(found, least=Fraction(4, 5), k=5):
+    """How many groups there are, and the smallest id of each."""
+    sets, root = brute_sets([r[1] for r in found], k), list(range(len(found)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a == sets[j] or both and both >= least * (len(a) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    groups = {}
+    for i, r in enumerate(found):
+        groups.setdefault(find(i), []).append(r[0])
+    return sorted((min((d is None, d or 0) for d in g) for g in groups.values()))
+
+
+def near_texts(seed, n=40):
+    """Texts with copies that have one to nine words changed, so similarities on both sides of 0.8."""
+    r, out = random.Random(seed), []
+    for i in range(n):
+        words = [f"w{r.randrange(10**6)}" for _ in range(r.choice((30, 120, 400)))]
+        out.append(" ".join(words))
+        for _ in range(r.randrange(4)):
+            for _ in range(r.randrange(1, 10)):
+                words[r.randrange(len(words))] = f"w{r.randrange(10**6)}"
+            out.append("\n".join(words))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [near_jaccard.CHUNK, 700])
+@pytest.mark.parametrize("found", [edge_rows(), rows(random_texts(120, 3)), rows(near_texts(4))])
+def test_dedup(spark, monkeypatch, found, chunk):
+    monkeypatch.setattr(near_jaccard, "CHUNK", chunk)
+    docs = clashing(spark, found)
+    kept = near_jaccard.dedup(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == brute_kept(found)
+
+
+def test_other_parameters_and_no_rows(spark):
+    found = rows(near_texts(6, 15))
+    got = near_jaccard.dedup(table(spark, found), shingle=3, similarity=0.6)
+    assert sorted((False, r["doc_id"]) for r in got.collect()) == brute_kept(found, Fraction(3, 5), 3)
+    assert near_jaccard.dedup(table(spark, found).limit(0)).count() == 0
+
+
+def test_sets_of_small_pieces(monkeypatch):
+    text = (" ".join(f"W{i * i % 1009}" for i in range(500)) + " \n").encode()
+    want, real = near_jaccard.shingle_set(text), near_jaccard.word_pieces
+    assert len(want) == len(brute_sets([text.decode()])[0])
+    for size in (1, 7, 64):
+        monkeypatch.setattr(near_jaccard, "word_pieces", lambda d, size=size: real(d, size))
+        assert (near_jaccard.shingle_set(text) == want).all()
+
+
+def test_pairs_at_the_threshold_meet():
+    """At exactly 0.8 each of a thousand pairs shares a band."""
+    r = np.random.default_rng(7)
+    made = near_jaccard._permutations(near_jaccard.bands_for(0.8) * near_jaccard.ROWS)
+    for _ in range(1000):
+        n = int(r.integers(1, 30))
+        h = r.integers(0, 1 << 64, 10 * n, dtype=np.uint64)
+        a, b = (set(near_jaccard.band_keys(np.sort(x), *made)) for x in (h[: 9 * n], h[n:]))
+        assert a & b
+
+
+def test_pipeline_drops_copies_beyond_four_bits(spark):
+    cp = pytest.importorskip("corpus_pipeline")
+    words = [f"w{i}" for i in range(200)]
+    changed = [f"x{i}" if i in (40, 90, 150) else w for i, w in enumerate(words)]
+    texts = [" ".join(words), " ".join(changed)]
+    a, b = brute_sets(texts)
+    assert 0.8 <= len(a & b) / len(a | b) < 0.9
+    x, y = (simhash.fingerprint(t.encode()) for t in texts)
+    assert (x ^ y).bit_count() > simhash.DISTANCE
+    assert [r["doc_id"] for r in cp.drop_near_copies(spark, table(spark, rows(texts)), "").collect()] == [0]
