@@ -5,14 +5,15 @@ hashed bins; the vector is the logarithms of the counts times the bins' inverse
 learned language has CLUSTERS centroids (spherical k-means of its training vectors), and a text gets the language of the centroid with
 the largest cosine, which is also its score.
 
-Rejection by distance: each training text has a cosine c to its own language's centroids and n distinct bins. A text with m
-bins is expected to be as near, or nearer by the root of m/n if it is shorter: its bound is REJECT times the smallest c * sqrt(min(1, m/n)) over the
-training texts of its nearest language, m taken down to a power of two. A text below its bound is rejected. lang_pred stays the
+Rejection by distance: the score may come from a centroid that a few odd training texts made, so what counts is the cosine c to
+the mean vector of the text's nearest language. A text with m bins (m taken down to a power of two) is held against that language's
+NEAREST training texts that are closest to m in size, with their own c taken down by the root of m/n where they have n > m bins. Its bound
+is REJECT times the LOW quantile of these, so neither a single odd text nor short ones set the bound of long ones. A text below its bound is rejected. lang_pred stays the
 nearest language then, so that the caller decides; ``und`` is kept for texts without a letter.
 
 Training: at most SAMPLE texts a language, those with the smallest hashes, so the sample is the same at any partitioning; they
 may be long, but only their vectors (32 kB each) reach the driver: SAMPLE * 32 kB a language, and a
-model of CLUSTERS * 32 kB a language goes to the tasks. Everything else reads all rows and whole texts. A very long text is
+model of (CLUSTERS + 1) * 32 kB a language goes to the tasks. Everything else reads all rows and whole texts. A very long text is
 counted in pieces of a million characters.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0, and rejected; no labelled rows at all make every text
@@ -38,6 +39,8 @@ BITS = 13
 DIMENSIONS = 1 << BITS
 CLUSTERS = 4
 SAMPLE = 300
+NEAREST = 60
+LOW = 0.05
 REJECT = 0.5
 PIECE = 1 << 20
 UNKNOWN = "und"
@@ -77,14 +80,16 @@ class Model:
     langs: list[str]
     idf: np.ndarray
     centroids: np.ndarray  # (len(langs) * CLUSTERS, DIMENSIONS), a language's together
+    means: np.ndarray  # (len(langs), DIMENSIONS)
     floors: np.ndarray  # (len(langs), size classes)
 
     def predict(self, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each vector: the language's number, the cosine, and whether it is too far away."""
-        cosines = _unit(logs * self.idf) @ self.centroids.T
+        x = _unit(logs * self.idf)
+        cosines = x @ self.centroids.T
         best = cosines.argmax(axis=1)
         lang, score = best // CLUSTERS, cosines[np.arange(len(best)), best]
-        return lang, score, score < self.floors[lang, _size_class(logs)]
+        return lang, score, (x * self.means[lang]).sum(axis=1) < self.floors[lang, _size_class(logs)]
 
 
 def _cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -109,13 +114,15 @@ def fit_vectors(langs: list[str], logs: np.ndarray) -> Model | None:
     idf = (np.log((1 + len(logs)) / (1 + (logs > 0).sum(axis=0))) + 1).astype(np.float32)
     x, y = _unit(logs * idf), np.array(langs)
     centroids = np.concatenate([_cluster(x[y == name], CLUSTERS) for name in names]).astype(np.float32)
+    means = _unit(np.stack([x[y == name].mean(axis=0) for name in names]))
     sizes = np.maximum((logs > 0).sum(axis=1), 1)
     floors = np.zeros((len(names), BITS + 1))
     for i, name in enumerate(names):
-        own = (x[y == name] @ centroids[i * CLUSTERS : (i + 1) * CLUSTERS].T).max(axis=1)
+        own, n = x[y == name] @ means[i], sizes[y == name]
         for c in range(BITS + 1):
-            floors[i, c] = REJECT * (own * np.sqrt(np.minimum(1, 2**c / sizes[y == name]))).min()
-    return Model(names, idf, centroids, floors)
+            like = np.argsort(np.abs(np.log2(n) - c), kind="stable")[:NEAREST]
+            floors[i, c] = REJECT * np.quantile(own[like] * np.sqrt(np.minimum(1, 2**c / n[like])), LOW)
+    return Model(names, idf, centroids, means, floors)
 
 
 def held_out(doc_id: Column) -> Column:
