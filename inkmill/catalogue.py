@@ -326,6 +326,16 @@ def s4_query_compile(spark, sf_dir):
     return q.select("doc_id", nested.feed_query(F.col("q")).alias("compiled"))
 
 
+_RAW_WHOLE = "CASE WHEN doc_id % 3 = 0 THEN '\"' || split_part(text, chr(10), 1) || '\" ' || text || ' ' || source WHEN doc_id % 3 = 1 THEN text ELSE lang || ' \"a b\" \"\" \" \" ' || text END"
+
+
+@_query(_FEED_SQL.replace(_RAW, _RAW_WHOLE))
+def s4_query_compile_whole(spark, sf_dir):
+    """As s4_query_compile, over the whole text of every row."""
+    q = _docs(spark, sf_dir).select("doc_id", F.expr(_RAW_WHOLE).alias("q"))
+    return q.select("doc_id", nested.feed_query(F.col("q")).alias("compiled"))
+
+
 @_query("SELECT page_id, list_extract(string_split(rtrim(url, '/'), '/'), -1) AS id FROM pages")
 def s6_id_extract(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", nested.last_segment(F.col("url")).alias("id"))
@@ -349,6 +359,14 @@ def s9_union_scan(spark, sf_dir):
     return both.select(F.col("seq.scan").alias("scan"), "search_topic", "paper_id", F.col("seq.rank").alias("seq"))
 
 
+@_query("SELECT 0 AS scan, 'all' AS search_topic, paper_id, venue, seq FROM p UNION ALL SELECT 1, 'no venue', paper_id, NULL, seq FROM p")
+def s9_union_scan_whole(spark, sf_dir):
+    """As s9_union_scan, with every row in each scan."""
+    p = _papers(spark, sf_dir)
+    both = tables.union_scans([("all", p), ("no venue", p.drop("venue"))])
+    return both.select(F.col("seq.scan").alias("scan"), "search_topic", "paper_id", "venue", F.col("seq.rank").alias("seq"))
+
+
 # --- scores
 
 
