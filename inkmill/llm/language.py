@@ -1,6 +1,6 @@
 """Language identification by nearest centroids.
 
-A text is lower-cased; all but letters becomes a space; its character bigrams and trigrams are counted in DIMENSIONS
+A text is lower-cased, character by character; all but letters and the marks on them becomes a space; its character bigrams and trigrams are counted in DIMENSIONS
 hashed bins; the vector is the logarithms of the counts times the bins' inverse document frequencies, normalised. Each
 learned language has CLUSTERS centroids (spherical k-means of its training vectors), and a text gets the language of the centroid with
 the largest cosine, which is also its score.
@@ -11,10 +11,10 @@ NEAREST training texts that are closest to m in size, with their own c taken dow
 is REJECT times the LOW quantile of these, so neither a single odd text nor short ones set the bound of long ones. A text below its bound is rejected. lang_pred stays the
 nearest language then, so that the caller decides; ``und`` is kept for texts without a letter.
 
-Training: at most SAMPLE texts a language, those with the smallest hashes, so the sample is the same at any partitioning; they
-may be long, but only their vectors (32 kB each) reach the driver: SAMPLE * 32 kB a language, and a
-model of (CLUSTERS + 1) * 32 kB a language goes to the tasks. Everything else reads all rows and whole texts. A very long text is
-counted in pieces of a million characters.
+Training: at most SAMPLE texts a language, those with the smallest hashes, so the sample is the same at any partitioning, and at most about
+SAMPLE_ALL in all, which many languages share evenly. The texts may be long, but only their vectors (32 kB each) reach the driver: 128 MB at
+most. The tasks get a model of (CLUSTERS + 1) * 32 kB a language. Everything else reads all rows and whole texts. A very long text is
+counted a million characters at a time, which changes nothing: the last characters of a piece go before the next one.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0, and rejected; no labelled rows at all make every text
 ``und``; a null id is never held out and never trained on; rows with the same id are predicted each; an empty table gives an empty result;
@@ -23,8 +23,10 @@ other columns are ignored by predict() and kept by accepted().
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,37 +35,42 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import map_in_arrow, ship
-from .common import table
+from .common import small_side, staged, table
 
 BITS = 13
 DIMENSIONS = 1 << BITS
 CLUSTERS = 4
 SAMPLE = 300
+SAMPLE_ALL = 4096
 NEAREST = 60
 LOW = 0.05
 REJECT = 0.5
 PIECE = 1 << 20
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
-_ASCII = np.array([c if chr(c).isalpha() else 32 for c in range(128)], np.uint32)
 
 
-def _bins(text: str) -> np.ndarray:
-    """The bins of a piece's bigrams and trigrams, repeats included."""
-    a = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    a = np.where(a < 128, _ASCII[np.minimum(a, 127)], a)
-    blank = a == 32
-    a = a[~(blank & np.concatenate(([False], blank[:-1])))]
-    two = (a[:-1] * np.uint32(0x9E3779B1) ^ a[1:]) * np.uint32(0x85EBCA6B)
-    three = (two[:-1] ^ a[2:]) * np.uint32(0xC2B2AE35)
-    return np.concatenate((two, three)) >> np.uint32(32 - BITS)
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """For each code point: itself if it is a letter or a mark, else that of the space."""
+    return np.fromiter((c if unicodedata.category(chr(c))[0] in "LM" else 32 for c in range(0x110000)), np.uint32, 0x110000)
 
 
-def vector(text: str) -> np.ndarray:
-    """Logarithms of the counts, not yet weighted or normalised."""
+def vector(text: str, piece: int = PIECE) -> np.ndarray:
+    """Logarithms of the counts of the bigrams and trigrams, not yet weighted or normalised."""
     counts = np.zeros(DIMENSIONS, np.int64)
-    for at in range(0, max(len(text), 1), PIECE):
-        counts += np.bincount(_bins(" " + text[at : at + PIECE] + " "), minlength=DIMENSIONS)
+    tail = np.array([32], np.uint32)  # the last two letters or blanks so far
+    for at in range(0, len(text) + 1, piece):
+        part = text[at : at + piece] + " " * (at + piece > len(text))
+        # only this letter's lower case depends on its neighbours
+        codes = np.frombuffer(part.replace("Σ", "σ").lower().encode("utf-32-le", "surrogatepass"), "<u4")
+        a = np.concatenate((tail, _letters()[codes]))
+        blank = a == 32
+        a = a[~(blank & np.concatenate(([False], blank[:-1])))]
+        two = (a[:-1] * np.uint32(0x9E3779B1) ^ a[1:]) * np.uint32(0x85EBCA6B)
+        three = (two[:-1] ^ a[2:]) * np.uint32(0xC2B2AE35)
+        counts += np.bincount(np.concatenate((two[len(tail) - 1 :], three)) >> np.uint32(32 - BITS), minlength=DIMENSIONS)
+        tail = a[-2:]
     return np.log1p(counts).astype(np.float32)
 
 
@@ -135,12 +142,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = rows.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     # hashes alone: the ranking moves no texts. They are even, so a bound leaves about four times the sample of a language to be ranked
     keys = rows.select("lang", F.xxhash64("doc_id", "text").alias("mark"))
-    share = F.lit(4.0 * SAMPLE) / F.approx_count_distinct("mark")
-    bounds = keys.groupBy("lang").agg((share * 2.0**64 - 2.0**63).alias("bound"))  # one row a language
-    keys = keys.join(F.broadcast(bounds), "lang").where(F.col("mark").cast("double") < F.col("bound")).select("lang", "mark").distinct()
+    bounds = staged(keys.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n")))  # one row a language
+    sample = max(CLUSTERS, min(SAMPLE, SAMPLE_ALL // max(bounds.count(), 1)))
+    bounds = bounds.select("lang", (F.lit(4.0 * sample) / F.col("n") * 2.0**64 - 2.0**63).alias("bound"))
+    keys = keys.join(small_side(bounds), "lang").where(F.col("mark").cast("double") < F.col("bound")).select("lang", "mark").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
-    keys = keys.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("lang", "mark")
-    chosen = rows.withColumn("mark", F.xxhash64("doc_id", "text")).join(F.broadcast(keys), ["lang", "mark"], "left_semi")  # SAMPLE short rows a language
+    keys = staged(keys.withColumn("rank", rank).where(F.col("rank") <= sample).select("lang", "mark"))
+    chosen = rows.withColumn("mark", F.xxhash64("doc_id", "text")).join(small_side(keys), ["lang", "mark"], "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,13 +5,14 @@ lower-cased words, hashed to DIMENSIONS bins, each counted once, and a few class
 symbols, are in capitals, or come again). One weight vector is shared by all thresholds: P(grade >= k) = sigmoid(w.x - t_k)
 with t_1 < t_2. That gives an expected grade and the tail probability P(grade >= 2), by which documents are selected.
 
-Training: at most SAMPLE labelled documents, those with the smallest hashes of their ids (20,000 of them; a parameter), fitted on the driver by
-accelerated proximal steps on all of them at once; bins that occur in fewer than MIN_DOCS of them have no weight. Only their bins reach the driver, and
-the weights (256 kB) the tasks. Scoring reads all rows and whole texts, a megabyte at a time.
+Training: at most SAMPLE labelled documents, those with the smallest hashes of their ids (20,000 of them; a parameter), one text each, of several
+rows with one id the text with the smallest hash; of these, as many in that order as have FEATURES bins in all (a parameter too, 32 MB). They are
+fitted on the driver by accelerated proximal steps on all of them at once; bins that occur in fewer than MIN_DOCS of them have no weight. Only their bins
+reach the driver, and the weights (256 kB) the tasks. Scoring reads all rows and whole texts, a megabyte at a time.
 
 Edge cases: null and blank texts have no words, the shape of an empty text, and aren't selected; without any labelled documents all get
 tail probability 0.5 and expected grade 1 and are selected if they have a word; several labels of a document are taken together (lowest quality, highest
-toxicity), and null labels count as quality 1, toxic 0; rows with the same id are scored each; an empty table gives an empty result; other columns
+toxicity), and null labels count as quality 1, toxic 0; rows with the same id are scored each; ids may be of any type that documents and labels share; an empty table gives an empty result; other columns
 are ignored.
 """
 
@@ -23,17 +24,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import map_in_arrow
-from .common import staged, table
+from .common import small_side, staged, table
 from .simhash import word_pieces
 
 BITS = 16
 DIMENSIONS = 1 << BITS
 SHAPES = 64
 SAMPLE = 20_000
+FEATURES = 8_000_000
 MIN_DOCS = 3
 ROUNDS = 300
 #: Of the weights' absolute values, so that words without a clear meaning weigh nothing.
@@ -130,25 +132,37 @@ def fit_features(docs: list[np.ndarray], grades: np.ndarray) -> Model:
     return Model(weights.astype(np.float32), thresholds)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """labels: doc_id, quality, toxic."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features: int = FEATURES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that are fitted: mark (the id's hash), grade, n (features), bins (i32)."""
     quality, toxic = F.coalesce(F.min("quality"), F.lit(1)), F.coalesce(F.max("toxic"), F.lit(0))
     graded = labels.where("doc_id is not null").groupBy("doc_id").agg(F.when(toxic > 0, 0).when(quality > 0, 2).otherwise(1).alias("grade"))
     graded = staged(graded.withColumn("mark", F.xxhash64("doc_id")))
     n = graded.count()
     if n > 4 * sample:  # the hashes are even, so this leaves about twice the sample to be sorted in one task
         graded = graded.where(F.col("mark") < F.lit(-(1 << 63) + (1 << 64) * 2 * sample // n))
-    chosen = graded.orderBy("mark", "doc_id").limit(sample).select(F.col("doc_id").alias("label_id"), "grade")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")).where("text is not null")
-    rows = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))  # at most sample short rows
+    chosen = small_side(staged(graded.orderBy("mark", "doc_id").limit(sample).select(F.col("doc_id").alias("label_id"), "mark", "grade")))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).where("text is not null").join(chosen, F.col("doc_id") == F.col("label_id"))
+    rows = rows.select("label_id", "mark", "grade", F.xxhash64("text").alias("v"), F.col("text").cast("binary").alias("text"))
+    one = staged(rows.groupBy("label_id").agg(F.min("v").alias("v")))
+    rows = rows.join(small_side(one), ["label_id", "v"], "left_semi").select("mark", "v", "grade", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [features(x.as_buffer().to_pybytes()).astype("<i4").tobytes() for x in batch.column("text")]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "grade": batch.column("grade"), "bins": pa.array(found, pa.binary())})
+            sizes = [len(x) // 4 for x in found]
+            yield pa.RecordBatch.from_pydict({"mark": batch.column("mark"), "grade": batch.column("grade"), "n": pa.array(sizes, pa.int64()), "bins": pa.array(found, pa.binary())})
+
+    made = staged(map_in_arrow(rows, run, "mark long, grade int, n long, bins binary").dropDuplicates(["mark"]))
+    so_far = F.sum("n").over(Window.orderBy("mark").rowsBetween(Window.unboundedPreceding, 0))  # at most sample short rows
+    fits = made.select("mark", "n").withColumn("so_far", so_far).where(F.col("so_far") <= n_features)
+    return made.join(small_side(fits.select("mark")), "mark", "left_semi")
 
-    found = map_in_arrow(rows, run, "doc_id long, grade int, bins binary").collect()
-    found.sort(key=lambda r: (r["doc_id"], r["bins"]))
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features: int = FEATURES, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """labels: doc_id, quality, toxic."""
+    found = training_rows(docs, labels, sample, n_features, id_col, text_col).select("mark", "grade", "bins").collect()
+    found.sort(key=lambda r: r["mark"])
     return fit_features([np.frombuffer(r["bins"], "<i4").astype(np.int64) for r in found], np.array([r["grade"] for r in found], np.int64))
 
 
@@ -164,8 +178,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             tails = model.tails(scores)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "expected_grade": tails.sum(axis=1), "tail_prob": tails[:, -1], "selected": (tails[:, -1] >= SELECT) & worded})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return map_in_arrow(rows, run, "doc_id long, expected_grade double, tail_prob double, selected boolean")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    return map_in_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, expected_grade double, tail_prob double, selected boolean")
 
 
 def op10_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
