@@ -23,4 +23,10 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op3_quality_rules": quality_rules.OP3_SQL, "op7_mixing": mixing.OP7_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
+    return {
+        "op3_quality_rules": quality_rules.OP3_SQL,
+        "op5_suffix_array": suffix_array.OP5_SQL,
+        "op6_substring_dedup": substring_dedup.OP6_SQL,
+        "op7_mixing": mixing.OP7_SQL,
+        "op9_exact_dedup": exact_dedup.OP9_SQL,
+    }

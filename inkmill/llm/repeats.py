@@ -5,8 +5,8 @@ always have an anchor at the same place within them; they differ in how they cho
 
 1. Documents with the same words throughout are told by a 256-bit hash; of them only the first goes on, the others are
    repeats from end to end.
-2. Anchors: the hash of the words that start at each anchor. The anchors are dealt out by hash in shares, packed (8 bytes
-   or so each), sorted within each share and compared with their neighbours; those that occur once in the corpus are dropped. Only
+2. Anchors: the hash of the words that start at each anchor. The anchors are dealt out by hash in shares, packed (15 bytes
+   each), sorted within each share and compared with their neighbours; those that occur once in the corpus are dropped. Only
    part of a hash is sent: a chance match makes a candidate too many, never a wrong result.
 3. Windows that hold an anchor which occurs again, at the place the scheme says, are candidates: only they can be
    repeats. They are extended to their whole length by hashing all their words (128 bits).
@@ -15,15 +15,18 @@ always have an anchor at the same place within them; they differ in how they cho
    are repeats. What stays, the first of equal segments and the ends of runs, is grouped window by window. The
    first occurrence of a window always stays, so nothing is lost.
 
+op5 goes another way from step 3 on for all anchors but the most frequent (suffix_array.py).
+
 Equal anchors, segments or windows are never listed in pairs. Within a task only the first of equal ones is sent on
 under its hash; the others are known to repeat already and go under keys of their own. So a passage that a third of
-all documents hold makes a row a task under one key, not a row a document. All steps sort with spilling; a
-Python task holds one Arrow batch and the hashes of its words, never a corpus-wide table. The texts are shuffled once: every
+all documents hold makes a row a task under one key, not a row a document. A Python task holds the anchors of
+RUN_WORDS words (or of one document) and one share, whose size follows from the number of words counted in the corpus: about SHARE_BYTES, or more where that
+would make shares by the thousand, and never above MOST_BYTES but by chance. The texts are shuffled once: every
 step joins the same exchange by document within one query.
 
 Order of occurrences: ids ascending, null last, then start. Rows with the same id and the same text count as one
 document, all of which get the same result; rows with the same id and other texts follow each other in the order
-of a hash of the text. A document's key is its id and that hash, which is 0 where the id is the document's own.
+of a hash of the text. A document's key is its id and that hash, which is 0 where the id is the document's own. Ids must be integers.
 """
 
 from __future__ import annotations
@@ -37,12 +40,17 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..session import map_in_arrow
 from .common import SPACE_RUN, SPACES, shuffle_partitions, small_side, staged, word_count
 from .simhash import word_pieces
 
 TABLE = 500_000
+#: Words whose anchors a task holds before it sends them.
+RUN_WORDS = 1 << 21
+SHARE_BYTES = 1 << 20
+MOST_BYTES = 1 << 25
 #: One window in so many ends a segment.
 CUT = 8
 #: Stands for a null id, behind all others.
@@ -71,7 +79,7 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.frombuffer(b"".join(b"".join(map(get, words)) for words in word_pieces(data)), "<u8").reshape(-1, 2)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * _MIX
     return h ^ (h >> np.uint64(29))
 
@@ -82,15 +90,20 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     out = np.zeros(max(len(words) - n + 1, 0), np.uint64)
     for k in range(n):
         out += factors[k] * words[k : k + len(out)]
-    return _mixed(out)
+    return mixed(out)
 
 
 @dataclass(frozen=True)
 class Scheme:
-    """How anchors are chosen. length: words of a window; gram: words hashed at an anchor."""
+    """How anchors are chosen. length: words of a window; gram: words hashed at an anchor; hot: an anchor that occurs more often is told apart."""
 
     length: int
     gram: int
+    hot: int = 4096
+
+    def density(self) -> float:
+        """Anchors a word."""
+        raise NotImplementedError
 
     def anchors(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The positions of the anchors and the hashes of their grams. words: one hash a word."""
@@ -109,8 +122,17 @@ class Corpus:
     digests: DataFrame
     texts: DataFrame
 
+    def shares(self, bytes_a_word: float) -> int:
+        """In how many shares what has so many bytes for each word of the corpus is dealt out."""
+        words = self.digests.where(~F.col("copy")).agg(F.sum("n_words")).first()[0] or 0
+        total = int(words * bytes_a_word)
+        few = min(total // SHARE_BYTES, 3 * shuffle_partitions(self.digests.sparkSession))
+        return max(1, few, total // MOST_BYTES)
+
 
 def corpus(docs: DataFrame, id_col: str, text_col: str) -> Corpus:
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be a column of integers, it is {docs.schema[id_col].dataType.simpleString()}")
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc")
     mark = F.xxhash64(F.col(text_col))
     joined = F.regexp_replace(F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(SPACES)), SPACE_RUN, " ")
@@ -132,13 +154,13 @@ def corpus(docs: DataFrame, id_col: str, text_col: str) -> Corpus:
     return Corpus(staged(digests), texts.select("doc", own, "text"))
 
 
-def _dump(*columns: np.ndarray) -> bytes:
+def dump(*columns: np.ndarray) -> bytes:
     """Columns of unsigned numbers as bytes: all lowest bytes of a column, then all next ones, so that what is alike lies together."""
     return b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.nbytes // max(len(c), 1)).T).tobytes() for c in columns)
 
 
-def _load(data, *widths: int) -> list[np.ndarray]:
-    """The columns of _dump, each of so many bytes, as u64."""
+def load(data, *widths: int) -> list[np.ndarray]:
+    """The columns of dump, each of so many bytes, as u64."""
     flat = np.frombuffer(data, np.uint8).reshape(sum(widths), len(data) // sum(widths))
     out, at = [], 0
     for w in widths:
@@ -151,131 +173,164 @@ def _load(data, *widths: int) -> list[np.ndarray]:
 
 #: Bytes of an anchor's hash that are sent, besides those that chose its share.
 HASH_BYTES = 5
-_KEYS, _NAMES, _MARKS = 0, 1, 2
-_PACKED = "share int, batch long, kind int, data binary"
+#: The columns of a row of keys: hash, document's number in the run, position, times it occurs in the run (65535 stands for more).
+_KEY_WIDTHS = (HASH_BYTES, 4, 4, 2)
+_KEYS, _NAMES, _REPEATS, _MARKS = 0, 1, 2, 3
+_PACKED = "share int, run long, kind int, data binary"
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"share": pa.int32(), "batch": pa.int64(), "kind": pa.int32(), "data": pa.binary()}
+    kinds = {"share": pa.int32(), "run": pa.int64(), "kind": pa.int32(), "data": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds.values())], list(kinds))
 
 
+def share_of(hashes: np.ndarray, shares: int) -> np.ndarray:
+    """Ascending with the hash."""
+    return ((hashes >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
+
+
 def _anchor_rows(scheme: Scheme, shares: int):
-    """Of each Arrow batch: a row for every share with the anchors that fall in it (hash, document's number in the batch, position), one with the keys
-    of its documents, and one with the anchors that repeat others of the batch. The first of equal anchors stands for all of them in its share.
+    """Of each run of documents: a row for every share with the anchors that fall in it, one with the keys of its documents, and one with
+    the anchors that repeat others of the run, each with the one that stands for it in its share.
 
-    A batch's number is that of the partition and a count. The rows of a partition are sorted by key, so a repeated task makes the same batches.
+    A run's number is that of the partition and a count. The rows of a partition are sorted by key, so a repeated task makes the same runs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        part, count = TaskContext.get().partitionId(), 0
+        keys, hashes, names, places, n_words = [], [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            k, name, pos = map(np.concatenate, (hashes, names, places))
+            order = np.argsort(k, kind="stable")
+            first = np.flatnonzero(np.concatenate(([True], k[order][1:] != k[order][:-1])))
+            times = np.diff(np.append(first, len(k)))
+            lead = order[first]  # the first of equal ones, ascending by hash
+            again = order[np.repeat(times > 1, times)]
+            by = np.repeat(lead, times)[np.repeat(times > 1, times)]
+            number, home = part << 32 | count, (part + 7919 * count) % shares
+            rows = [
+                (home, number, _NAMES, dump(*(np.array(x, np.int64).view(np.uint64) for x in zip(*keys)))),
+                (home, number, _REPEATS, dump(name[again], pos[again], name[by], pos[by])),
+            ]
+            share = share_of(k[lead], shares)
+            found, start = np.unique(share, return_index=True)
+            for s, i, j in zip(found.tolist(), start, np.append(start[1:], len(lead))):
+                at = lead[i:j]
+                sent = np.ascontiguousarray(k[at].view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES])
+                rows.append((s, number, _KEYS, dump(sent, name[at], pos[at], np.minimum(times[i:j], 65535).astype(np.uint16))))
+            return _packed(rows)
+
         for batch in batches:
-            hashes, names, places, at = [], [], [], 0
-            for i, text in enumerate(batch.column("text")):
+            for doc, d, text in zip(batch.column("doc").to_pylist(), batch.column("d").to_pylist(), batch.column("text")):
                 words = word_hashes(text.as_buffer().to_pybytes())[:, 0]
                 if len(words) < scheme.length:
                     continue
-                found, keys = scheme.anchors(words)
-                hashes.append(keys)
-                names.append(np.full(len(found), i, np.uint32))
+                found, grams = scheme.anchors(words)
+                hashes.append(grams)
+                names.append(np.full(len(found), len(keys), np.uint32))
                 places.append(found.astype(np.uint32))
-            if not hashes:
-                continue
-            k, name, pos = map(np.concatenate, (hashes, names, places))
-            order = np.argsort(k, kind="stable")
-            again = np.concatenate(([False], k[order][1:] == k[order][:-1]))
-            later = order[again]
-            repeats = np.union1d(later, order[np.append(again[1:], False)])
-            rows = [(number % shares, number, _MARKS, _dump(name[repeats], pos[repeats]))]
-            keys = [batch.column(c).to_numpy().view(np.uint64) for c in ("doc", "d")]
-            rows.append((number % shares, number, _NAMES, _dump(*keys)))
-            keep = np.ones(len(k), bool)
-            keep[later] = False
-            k, name, pos = k[keep], name[keep], pos[keep]
-            share = ((k >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
-            order = np.argsort(share, kind="stable")
-            found, first = np.unique(share[order], return_index=True)
-            for s, part in zip(found.tolist(), np.split(order, first[1:])):
-                sent = np.ascontiguousarray(k[part].view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES])
-                rows.append((s, number, _KEYS, _dump(sent, name[part], pos[part])))
-            yield _packed(rows)
-            number += 1
+                keys.append((doc, d))
+                n_words += len(words)
+                if n_words >= RUN_WORDS:
+                    yield flush()
+                    count += 1
+                    keys, hashes, names, places, n_words = [], [], [], [], 0
+        if keys:
+            yield flush()
 
     return run
 
 
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one share follow each other. Its anchors are sorted and compared with their neighbours; those that have an equal one are returned to
-    their batches."""
+def _matches(hot: int):
+    """Rows of one share follow each other. Its anchors are sorted and compared with their neighbours; those that have an equal one, or occur more than hot
+    times, are returned to their runs."""
 
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        parts = [_load(data, HASH_BYTES, 4, 4) for _, data in held]
-        k = np.concatenate([p[0] for p in parts])
+        parts = [load(data, *_KEY_WIDTHS) for _, data in held]
+        k, times = (np.concatenate([p[c] for p in parts]) for c in (0, 3))
         order = np.argsort(k)
-        equal = k[order][1:] == k[order][:-1]
-        hit = np.zeros(len(k), bool)
-        hit[order[1:][equal]] = True
-        hit[order[:-1][equal]] = True
+        first = np.flatnonzero(np.concatenate(([True], k[order][1:] != k[order][:-1])))
+        sizes, total = np.diff(np.append(first, len(k))), np.add.reduceat(times[order], first)
+        hit, often = np.zeros(len(k), bool), np.zeros(len(k), bool)
+        often[order] = np.repeat(total > hot, sizes)
+        hit[order] = np.repeat((sizes > 1) | (total > hot), sizes)
         rows, at = [], 0
-        for (number, _), (k, name, pos) in zip(held, parts):
-            found = hit[at : at + len(k)]
+        for (number, _), (k, name, pos, _) in zip(held, parts):
+            found, many = hit[at : at + len(k)], often[at : at + len(k)]
             at += len(k)
             if found.any():
-                rows.append((0, number, _MARKS, _dump(name[found].astype(np.uint32), pos[found].astype(np.uint32))))
+                rows.append((0, number, _MARKS, dump(name[found].astype(np.uint32), pos[found].astype(np.uint32), many[found].astype(np.uint8))))
         if rows:
             yield _packed(rows)
 
-    share, held = None, []
-    for batch in batches:
-        passed = []
-        for s, number, kind, data in zip(*(batch.column(c).to_pylist() for c in ("share", "batch", "kind", "data"))):
-            if s != share:
-                yield from settle(held)
-                share, held = s, []
-            if kind == _KEYS:
-                held.append((number, data))
-            else:
-                passed.append((0, number, kind, data))
-        if passed:
-            yield _packed(passed)
-    yield from settle(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share, held = None, []
+        for batch in batches:
+            passed = []
+            for s, number, kind, data in zip(*(batch.column(c).to_pylist() for c in ("share", "run", "kind", "data"))):
+                if s != share:
+                    yield from settle(held)
+                    share, held = s, []
+                if kind == _KEYS:
+                    held.append((number, data))
+                else:
+                    passed.append((0, number, kind, data))
+            if passed:
+                yield _packed(passed)
+        yield from settle(held)
+
+    return run
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one batch follow each other, the keys of its documents first. Returns doc, d, marks (the positions of the anchors that occur again)."""
-
-    def settle(names: list[np.ndarray], held: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = [_load(data, 4, 4) for data in held]
-        name, pos = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64),) * 2
-        if not len(name):
+    """Rows of one run follow each other, the keys of its documents first. Returns doc, d, marks (the positions of the anchors that occur again, ascending), hot
+    (which of them are the most frequent)."""
+
+    def settle(names: list[np.ndarray], repeats: list[np.ndarray], held: list[bytes]) -> Iterator[pa.RecordBatch]:
+        def place(name: np.ndarray, pos: np.ndarray) -> np.ndarray:
+            return name << np.uint64(32) | pos
+
+        parts = [load(data, 4, 4, 1) for data in held]
+        sent, often = (np.concatenate(x) for x in zip(*((place(a, b), c > 0) for a, b, c in parts))) if parts else (np.zeros(0, np.uint64), np.zeros(0, bool))
+        again, by = place(*repeats[:2]), place(*repeats[2:])
+        at, where = np.unique(np.concatenate((sent, again)), return_index=True)
+        if not len(at):
             return
-        order = np.lexsort((pos, name))
-        found, first = np.unique(name[order], return_index=True)
-        ends = np.append(first, len(name)).astype(np.int32)
-        marks = pa.ListArray.from_arrays(pa.array(ends), pa.array(pos[order].astype(np.int32)))
-        yield pa.RecordBatch.from_pydict({"doc": names[0][found].view(np.int64), "d": names[1][found].view(np.int64), "marks": marks})
-
-    number, names, held = None, [], []
+        hot = np.concatenate((often, np.isin(by, sent[often])))[where]
+        name, pos = at >> np.uint64(32), (at & np.uint64(0xFFFFFFFF)).astype(np.int32)
+        found, first = np.unique(name, return_index=True)
+        ends = pa.array(np.append(first, len(name)).astype(np.int32))
+        lists = {"marks": pa.ListArray.from_arrays(ends, pa.array(pos)), "hot": pa.ListArray.from_arrays(ends, pa.array(hot))}
+        yield pa.RecordBatch.from_pydict({"doc": names[0][found].view(np.int64), "d": names[1][found].view(np.int64)} | lists)
+
+    number, names, repeats, held = None, [], [], []
     for batch in batches:
-        for n, kind, data in zip(*(batch.column(c).to_pylist() for c in ("batch", "kind", "data"))):
-            if n != number:
-                yield from settle(names, held)
-                number, names, held = n, [], []
+        for n, kind, data in zip(*(batch.column(c).to_pylist() for c in ("run", "kind", "data"))):
+            if n != number and number is not None:
+                yield from settle(names, repeats, held)
+                held = []
+            number = n
             if kind == _NAMES:
-                names = _load(data, 8, 8)
+                names = load(data, 8, 8)
+            elif kind == _REPEATS:
+                repeats = load(data, 4, 4, 4, 4)
             else:
                 held.append(data)
-    yield from settle(names, held)
+    if number is not None:
+        yield from settle(names, repeats, held)
 
 
-def repeated_anchors(texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc, d, marks of the documents with anchors that occur again."""
-    shares = 3 * shuffle_partitions(texts.sparkSession)
+def repeated_anchors(corpus: Corpus, scheme: Scheme) -> DataFrame:
+    """doc, d, marks, hot of the documents with anchors that occur again (see _marks). Of documents with the same words only the first is looked at."""
+    single = corpus.digests.where(~F.col("copy") & (F.col("n_words") >= scheme.length)).select("doc", "d")
+    texts = corpus.texts.join(single, ["doc", "d"], "left_semi")
+    shares = corpus.shares(scheme.density() * sum(_KEY_WIDTHS))
     packed = map_in_arrow(texts.sortWithinPartitions("doc", "d"), _anchor_rows(scheme, shares), _PACKED)
-    matched = map_in_arrow(packed.repartition(shares, "share").sortWithinPartitions("share", "batch", "kind"), _matches, _PACKED)
-    return map_in_arrow(matched.repartition("batch").sortWithinPartitions("batch", "kind"), _marks, "doc long, d long, marks array<int>")
+    matched = map_in_arrow(packed.repartition(shares, "share").sortWithinPartitions("share", "run", "kind"), _matches(scheme.hot), _PACKED)
+    return map_in_arrow(matched.repartition("run").sortWithinPartitions("run", "kind"), _marks, "doc long, d long, marks array<int>, hot array<boolean>")
 
 
 def _placed(parts: list[tuple]) -> pa.RecordBatch:
@@ -291,7 +346,7 @@ def _placed(parts: list[tuple]) -> pa.RecordBatch:
     sure = (place[0] != place[0][first]) | (place[1] != place[1][first]) | (place[2] != place[2][first])
     many = np.bincount(first, sure, len(first))[first] > 0
     sure, many = sure[back], many[back]
-    own = _mixed(_mixed(doc.view(np.uint64) * _MIX + d.view(np.uint64)) + start.astype(np.uint64) * _MIX)
+    own = mixed(mixed(doc.view(np.uint64) * _MIX + d.view(np.uint64)) + start.astype(np.uint64) * _MIX)
     return pa.RecordBatch.from_pydict(
         {"h1": np.where(sure, own, h1).view(np.int64), "h2": np.where(sure, ~h2, h2).view(np.int64), "doc": doc, "d": d, "start": start, "n": n, "sure": sure, "many": many}
     )
@@ -331,7 +386,7 @@ def _segment_rows(scheme: Scheme):
                 first, whole = _segments(starts, h1)
                 n = np.diff(np.append(first, len(starts)))
                 at = (np.arange(len(starts)) - np.repeat(first, n)).astype(np.uint64) * _MIX
-                sums = [np.add.reduceat(_mixed(h + at), first)[whole] for h in (h1, h2)]
+                sums = [np.add.reduceat(mixed(h + at), first)[whole] for h in (h1, h2)]
                 m = int(whole.sum())
                 parts.append((*sums, np.full(m, doc, np.int64), np.full(m, d, np.int64), starts[first[whole]].astype(np.int32), n[whole].astype(np.int32)))
             if parts:
@@ -367,20 +422,25 @@ def _judged(rows: DataFrame) -> DataFrame:
     return rows.select("doc", "d", "start", "n", (F.col("sure") | (F.col("first") != place)).alias("later"))
 
 
-def find(corpus: Corpus, scheme: Scheme) -> DataFrame:
-    """One row for each document with windows that occur more than once: doc, d, later (start and n of windows in a row that occur
-    earlier too), shared (the same of all windows that occur elsewhere too)."""
-    single = corpus.digests.where(~F.col("copy") & (F.col("n_words") >= scheme.length)).select("doc", "d")
-    # nothing from here on is staged, so that every use of the texts is the same exchange by document
+def repeated_windows(marked: DataFrame, scheme: Scheme) -> DataFrame:
+    """marked: doc, d, text, marks. The windows that hold a mark and occur more than once: doc, d, start, n (windows in a row), later (another one is earlier)."""
     key = ["doc", "d"]
-    marks = repeated_anchors(corpus.texts.join(single, key, "left_semi"), scheme)
-    marked = corpus.texts.join(marks, key)
     segments = _judged(map_in_arrow(marked, _segment_rows(scheme), _PLACED))
+    done = segments.where("later").groupBy("doc", "d").agg(F.collect_list(F.struct("start", "n")).alias("done"))
+    return segments.union(_judged(map_in_arrow(marked.join(done, key, "left"), _window_rows(scheme), _PLACED)))
+
+
+def by_document(windows: DataFrame) -> DataFrame:
+    """One row a document: doc, d, later (start and n of windows in a row that occur earlier too), shared (the same of all windows that occur elsewhere too)."""
     run = F.struct("start", "n")
-    done = segments.where("later").groupBy("doc", "d").agg(F.collect_list(run).alias("done"))
-    windows = _judged(map_in_arrow(marked.join(done, key, "left"), _window_rows(scheme), _PLACED))
-    lists = F.collect_list(F.when(F.col("later"), run)).alias("later"), F.collect_list(run).alias("shared")
-    return segments.union(windows).groupBy("doc", "d").agg(*lists)
+    return windows.groupBy("doc", "d").agg(F.collect_list(F.when(F.col("later"), run)).alias("later"), F.collect_list(run).alias("shared"))
+
+
+def find(corpus: Corpus, scheme: Scheme) -> DataFrame:
+    """by_document of all windows that occur more than once."""
+    # nothing from here on is staged, so that every use of the texts is the same exchange by document
+    marks = repeated_anchors(corpus, scheme).select("doc", "d", "marks")
+    return by_document(repeated_windows(corpus.texts.join(marks, ["doc", "d"]), scheme))
 
 
 def covered(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:

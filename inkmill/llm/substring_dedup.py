@@ -7,7 +7,7 @@ words, and the 8 words from there lie within both. An anchor whose 8 words occur
 can't belong to a repeat; what is left is extended to windows and compared whole (see repeats.py, which also says how bounds hold).
 
 Edge cases: null and blank texts have no words and keep the hash of the empty text; texts under 20 words keep
-all their words; rows with the same id and text get the same result; a null id comes after all others; an empty table gives an empty result;
+all their words; rows with the same id and text get the same result; a null id comes after all others; ids that aren't integers raise TypeError; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -36,6 +36,9 @@ class CoverScheme(repeats.Scheme):
     period: int = PERIOD
     cover: tuple[int, ...] = COVER
 
+    def density(self) -> float:
+        return len(self.cover) / self.period
+
     def anchors(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         grams = repeats.gram_hashes(words, self.gram)
         at = np.flatnonzero(np.isin(np.arange(self.period), self.cover)[np.arange(len(grams)) % self.period])
@@ -82,3 +85,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: Windows are compared as their words joined by one space.
+OP6_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+  SELECT r, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS win FROM (SELECT r, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM d)
+), later AS (
+  SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY win ORDER BY r, i) AS nth FROM w) WHERE nth > 1
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + {WINDOW})) AS i FROM later
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS kept FROM (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d) ANTI JOIN gone USING (r, i) GROUP BY r
+), n AS (
+  SELECT r, count(*) AS n FROM gone GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""

@@ -40,7 +40,7 @@ def brute(found, n):
     return sorted(out, key=repr)
 
 
-CORPORA = [rows(random_texts(80, 11)), rows(random_texts(60, 12, vocabulary=4)), [r for r in edge_rows() if r[0] not in (5, None)], [(1, "p " + "a b c d e " * 9, "en", "s", 1)] * 3]
+CORPORA = [rows(random_texts(80, 11)), rows(random_texts(60, 12, vocabulary=4)), [r for r in edge_rows() if r[1] not in ("another text with the same id", "no id here")], [(1, "p " + "a b c d e " * 9, "en", "s", 1)] * 3]
 
 
 @pytest.mark.parametrize("found", CORPORA)
@@ -52,13 +52,63 @@ def test_removed_words(spark, found, n):
 
 @pytest.mark.parametrize("found", CORPORA)
 @pytest.mark.parametrize("n", [50, 12])
-def test_shared_passages(spark, found, n):
-    got = suffix_array.shared_passages(table(spark, found), window=n)
+@pytest.mark.parametrize("hot", [4096, 6, 0])
+def test_shared_passages(spark, found, n, hot):
+    """Whichever anchors go the way of the most frequent ones: none, some, all."""
+    got = suffix_array.shared_passages(clashing(spark, found).repartition(3), window=n, hot=hot)
     assert listed(got, "doc_id", "n_words", "n_removed", "n_shared") == sorted(((r[0], r[1], r[2], r[4]) for r in brute(found, n)), key=repr)
     for r in got.collect():
         assert sum(s["length"] for s in r["spans"]) == r["n_removed"] and all(s["length"] >= n for s in r["spans"])
 
 
+@pytest.fixture
+def small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "4")
+    yield
+    spark.conf.unset(key)
+
+
+def test_many_batches_and_runs(spark, small_batches, monkeypatch):
+    """Runs of a few documents, batches of four rows, several shares."""
+    for module, name, value in ((repeats, "RUN_WORDS", 300), (suffix_array, "RUN", 40), (repeats, "SHARE_BYTES", 500)):
+        monkeypatch.setattr(module, name, value)
+    found = rows(random_texts(90, 13, vocabulary=12))
+    want = brute(found, 14)
+    got = substring_dedup.remove_repeats(table(spark, found), window=14)
+    assert listed(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted((r[:4] for r in want), key=repr)
+    for hot in (4096, 9):
+        got = suffix_array.shared_passages(table(spark, found), window=14, hot=hot)
+        assert listed(got, "doc_id", "n_words", "n_removed", "n_shared") == sorted(((r[0], r[1], r[2], r[4]) for r in want), key=repr)
+
+
+def test_two_orders_of_suffixes():
+    """Windows around equal beginnings, by the two orders and pair by pair."""
+    r = np.random.default_rng(5)
+    reach, n = 3, 60
+    head = r.integers(1, 3, (2, n)).astype(np.uint64)
+    sides = []
+    for _ in range(2):
+        words = r.integers(1, 3, (n, reach))
+        words[np.arange(reach) >= r.integers(0, reach + 1, n)[:, None]] = 0
+        sides.append(words)
+    left, right = (np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(n, reach, 8)[:, :, : suffix_array.WORD_BYTES]).reshape(n, -1) for x in sides)
+    earlier, elsewhere = suffix_array.matches(head[0], head[1], left, right, reach)
+    for o in range(reach + 1):
+        window = lambda i: (*head[:, i], *sides[0][i, :o], *sides[1][i, : reach - o])  # noqa: E731, B023
+        seen = [window(i) for i in range(n)]
+        for i in range(n):
+            whole = 0 not in seen[i]
+            assert elsewhere[i, o] == (whole and seen.count(seen[i]) > 1) and earlier[i, o] == (whole and seen[i] in seen[:i])
+
+
+def test_ids_must_be_integers(spark):
+    docs = spark.createDataFrame([("a", "text")], "doc_id string, text string")
+    for operator in (substring_dedup.remove_repeats, suffix_array.shared_passages):
+        with pytest.raises(TypeError):
+            operator(docs)
+
+
 def test_ids_of_several_documents(spark):
     p = " ".join(f"w{i}" for i in range(25))
     found = [(1, p, "e", "s", 1), (1, p, "e", "s", 1), (1, "x " + p, "e", "s", 1), (None, p + " y", "e", "s", 1), (None, "z " + p, "e", "s", 1), (2, p, "e", "s", 1)]
@@ -98,6 +148,6 @@ def test_equal_windows_keep_a_suffix_at_the_same_place():
 
 def test_packing_of_columns():
     a, b = np.array([1, 300, 1 << 30], np.uint32), np.array([7, 1 << 40, 3], np.uint64)
-    x, y = repeats._load(repeats._dump(a, b), 4, 8)
+    x, y = repeats.load(repeats.dump(a, b), 4, 8)
     assert x.tolist() == a.tolist() and y.tolist() == b.tolist()
-    assert [len(z) for z in repeats._load(repeats._dump(a[:0], b[:0]), 4, 8)] == [0, 0]
+    assert [len(z) for z in repeats.load(repeats.dump(a[:0], b[:0]), 4, 8)] == [0, 0]
