@@ -99,7 +99,7 @@ class Scheme:
 
     length: int
     gram: int
-    hot: int = 4096
+    hot: int = 1 << 15
 
     def density(self) -> float:
         """Anchors a word."""
@@ -334,8 +334,8 @@ def repeated_anchors(corpus: Corpus, scheme: Scheme) -> DataFrame:
 
 
 def _placed(parts: list[tuple]) -> pa.RecordBatch:
-    """Rows h1, h2, doc, d, start, n, sure, many of a batch's segments or windows; n: windows in a row. sure: equals an earlier
-    one of the batch; many: equals another one of the batch."""
+    """Rows h1, h2, doc, d, start, n, sure, many of a batch's segments or windows, or several that are sure in a row; n: windows in a row. sure: equals an
+    earlier one of the batch; many: equals another one of the batch."""
     h1, h2, doc, d, start, n = map(np.concatenate, zip(*parts))
     order = np.lexsort((start, d, doc, h2, h1))
     back = np.empty_like(order)
@@ -347,9 +347,12 @@ def _placed(parts: list[tuple]) -> pa.RecordBatch:
     many = np.bincount(first, sure, len(first))[first] > 0
     sure, many = sure[back], many[back]
     own = mixed(mixed(doc.view(np.uint64) * _MIX + d.view(np.uint64)) + start.astype(np.uint64) * _MIX)
-    return pa.RecordBatch.from_pydict(
-        {"h1": np.where(sure, own, h1).view(np.int64), "h2": np.where(sure, ~h2, h2).view(np.int64), "doc": doc, "d": d, "start": start, "n": n, "sure": sure, "many": many}
-    )
+    # what is sure already and follows on what is sure needs no row of its own
+    on = sure[1:] & sure[:-1] & (doc[1:] == doc[:-1]) & (d[1:] == d[:-1]) & (start[1:] == start[:-1] + n[:-1])
+    head = np.flatnonzero(np.concatenate(([True], ~on))[: len(sure)])
+    columns = {"h1": np.where(sure, own, h1).view(np.int64), "h2": np.where(sure, ~h2, h2).view(np.int64), "doc": doc, "d": d, "start": start, "sure": sure, "many": many}
+    columns = {k: v[head] for k, v in columns.items()} | {"n": np.add.reduceat(n, head) if len(head) else n}
+    return pa.RecordBatch.from_pydict({k: columns[k] for k in ("h1", "h2", "doc", "d", "start", "n", "sure", "many")})
 
 
 _PLACED = "h1 long, h2 long, doc long, d long, start int, n int, sure boolean, many boolean"

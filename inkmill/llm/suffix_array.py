@@ -13,7 +13,7 @@ so two equal windows of 50 words keep a suffix at the same place within them.
    the right, that is if the two lie in one interval of either order. So matches are extended left and right for all o at once, without pairs; the earliest
    suffix of each such meeting of intervals is the first occurrence.
 
-A share's suffixes are sorted in memory, so the most frequent beginnings (above ``hot`` occurrences, 4096) aren't sent there, lest a passage that a third of
+A share's suffixes are sorted in memory, so the most frequent beginnings (above HOT occurrences, 11 MB) aren't sent there, lest a passage that a third of
 all documents hold fill one task: the windows around them are hashed whole and dealt out one by one (repeats.py, steps 3 and 4). Both ways
 are exact and a window's words alone decide which it goes. Words are compared by 48 bits of their hash, first 25 words by 128.
 
@@ -41,6 +41,8 @@ from .common import table
 
 WINDOW = 50
 GRAM = 25
+#: A beginning that occurs more often isn't sorted in one task.
+HOT = 1 << 15
 #: Bytes of a word's hash that are compared.
 WORD_BYTES = 6
 #: Suffixes that a task holds before it sends them.
@@ -85,7 +87,7 @@ class MinimiserScheme(repeats.Scheme):
         return np.flatnonzero(chosen[self._least(words)[0]])
 
 
-def scheme(window: int = WINDOW, gram: int | None = None, hot: int = 4096) -> MinimiserScheme:
+def scheme(window: int = WINDOW, gram: int | None = None, hot: int = HOT) -> MinimiserScheme:
     gram = gram or max(window // 2, window - 62)
     if window - gram > 62:
         raise ValueError("a window is at most 62 words longer than what is hashed of a suffix")  # a bit for each place of a window
@@ -274,7 +276,7 @@ def find(corpus: repeats.Corpus, s: MinimiserScheme) -> DataFrame:
     return repeats.by_document(found.union(repeats.repeated_windows(corpus.texts.join(often, key), s)))
 
 
-def shared_passages(docs: DataFrame, window: int = WINDOW, gram: int | None = None, hot: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shared_passages(docs: DataFrame, window: int = WINDOW, gram: int | None = None, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_words, n_shared (words in passages of at least window words that occur elsewhere too), n_removed (those
     of passages that occur earlier), spans (start and length in words of what is removed)."""
     corpus = repeats.corpus(docs, id_col, text_col)
