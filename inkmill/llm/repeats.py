@@ -351,7 +351,7 @@ def _placed(parts: list[tuple]) -> pa.RecordBatch:
     on = sure[1:] & sure[:-1] & (doc[1:] == doc[:-1]) & (d[1:] == d[:-1]) & (start[1:] == start[:-1] + n[:-1])
     head = np.flatnonzero(np.concatenate(([True], ~on))[: len(sure)])
     columns = {"h1": np.where(sure, own, h1).view(np.int64), "h2": np.where(sure, ~h2, h2).view(np.int64), "doc": doc, "d": d, "start": start, "sure": sure, "many": many}
-    columns = {k: v[head] for k, v in columns.items()} | {"n": np.add.reduceat(n, head) if len(head) else n}
+    columns = {k: v[head] for k, v in columns.items()} | {"n": np.add.reduceat(n, head, dtype=np.int32) if len(head) else n}
     return pa.RecordBatch.from_pydict({k: columns[k] for k in ("h1", "h2", "doc", "d", "start", "n", "sure", "many")})
 
 
