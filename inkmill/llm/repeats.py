@@ -329,7 +329,7 @@ def repeated_anchors(corpus: Corpus, scheme: Scheme) -> DataFrame:
     texts = corpus.texts.join(single, ["doc", "d"], "left_semi")
     shares = corpus.shares(scheme.density() * sum(_KEY_WIDTHS))
     packed = map_in_arrow(texts.sortWithinPartitions("doc", "d"), _anchor_rows(scheme, shares), _PACKED)
-    matched = map_in_arrow(packed.repartition(shares, "share").sortWithinPartitions("share", "run", "kind"), _matches(scheme.hot), _PACKED)
+    matched = map_in_arrow(packed.repartitionById(shares, "share").sortWithinPartitions("share", "run", "kind"), _matches(scheme.hot), _PACKED)
     return map_in_arrow(matched.repartition("run").sortWithinPartitions("run", "kind"), _marks, "doc long, d long, marks array<int>, hot array<boolean>")
 
 

@@ -272,7 +272,7 @@ def find(corpus: repeats.Corpus, s: MinimiserScheme) -> DataFrame:
     often = marks.select(*key, chosen(True).alias("marks")).where(F.size("marks") > 0)
     shares = corpus.shares(s.density() * (sum(_HEAD) + 2 * s.reach * WORD_BYTES))
     sent = map_in_arrow(corpus.texts.join(rare, key), _suffix_rows(s, shares), _SENT_DDL)
-    found = map_in_arrow(sent.repartition(shares, "share").sortWithinPartitions("share", "kind"), _sorted_shares(s), _FOUND_DDL)
+    found = map_in_arrow(sent.repartitionById(shares, "share").sortWithinPartitions("share", "kind"), _sorted_shares(s), _FOUND_DDL)
     return repeats.by_document(found.union(repeats.repeated_windows(corpus.texts.join(often, key), s)))
 
 
