@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkmill.llm import exact_dedup, language, mixing, near_jaccard, packing
+from inkmill.llm import exact_dedup, language, mixing, packing, simhash
 from inkmill.llm.common import shared_folder, table
 
 
@@ -26,7 +26,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies: a Jaccard similarity of 0.8 or more on five-word shingles."""
-    return near_jaccard.dedup(docs, shingle=5, similarity=0.8)
+    return simhash.near_dedup(docs, shingle=5, similarity=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,26 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of a text that are looked at together.
+PIECE = 1 << 20
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
 #: A side under this many rows (of at most ROW_BYTES each) is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 50_000
 
 
+def word_pieces(data: bytes, size: int = PIECE) -> Iterator[list[bytes]]:
+    """The words of data in order, a list for about every size bytes; no word is cut."""
+    at = 0
+    while at < len(data):
+        end = min(at + size, len(data))
+        while end < len(data) and data[end] not in b" \t\n\x0b\x0c\r":
+            end += 1
+        if words := data[at:end].split():
+            yield words
+        at = end
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the test data, read by Spark alone, so that any store that Spark knows will do."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -68,16 +85,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keep_rows(docs: DataFrame, key: tuple[Column, ...], stays: DataFrame) -> DataFrame:
-    """The rows of docs whose key is among the rows of stays, all columns kept; rows with the same key count once.
+def keep_rows(docs: DataFrame, key: tuple[Column, ...], rows: DataFrame, stays: DataFrame) -> DataFrame:
+    """The rows of docs whose key is among the rows of stays, all columns kept; rows with the same key count once. rows: the keys of
+    all rows of docs, as columns with the names of those of stays.
 
-    Nulls in a key are equal to each other. The join deals the rows out by key, so dropping repeated ones
-    needs no further shuffle.
+    Nulls in a key are equal to each other. Only the keys that go are joined with docs, and the rows of keys that stay but come again are
+    taken apart, so that what stays isn't shuffled where little goes.
     """
 
     def text_of(parts) -> Column:
-        return F.concat_ws(":", *(F.coalesce(p.cast("string"), F.lit("null")) for p in parts))
-
-    rows = docs.select(text_of(key).alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    keys = stays.select(text_of([F.col(c) for c in stays.columns]).alias("key"))
-    return rows.join(keys, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+        return F.concat_ws(":", *(F.coalesce(p.cast("string"), F.lit("null")) for p in parts)).alias("key")
+
+    keys = rows.select(text_of(F.col(c) for c in stays.columns)).groupBy("key").agg((F.count("*") > 1).alias("twice"))
+    kept = stays.select(text_of(F.col(c) for c in stays.columns)).withColumn("stays", F.lit(True))
+    special = staged(keys.join(kept, "key", "left").where("twice or stays is null").select("key", (F.col("stays").isNotNull()).alias("stays")))
+    marked = docs.select(text_of(key), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    plain = marked.join(small_side(special.select("key")), "key", "left_anti").select("row.*")
+    again = special.where("stays").select("key")
+    if not again.limit(1).count():
+        return plain
+    return plain.union(marked.join(small_side(again), "key", "left_semi").dropDuplicates(["key"]).select("row.*"))

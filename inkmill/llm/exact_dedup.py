@@ -7,11 +7,9 @@ if and only if length and last name agree.
 
 A name is (h, r): h the 64-bit hash of the content, r the content's place in the sort order of the distinct
 contents that share h, 0 for the first. Names never collide: the contents that share a hash are sorted and numbered
-exactly. So that this doesn't move every text, the distinct contents are first reduced within each task
-(a block that a third of all documents hold is sent once a task), then grouped by h; what comes back is only the
-table of the contents that aren't the first of their hash, empty but for a true 64-bit collision. Blocks
-take r from that table by a join on the content itself, which Spark answers without a shuffle when the table
-is empty. One such round is run a level, log2 of the longest document's blocks in all.
+exactly. The least and the greatest content of each hash, taken within each task first (a block that a third of all documents hold
+is sent once a task), tell whether it has several. Only where they differ, that is for a true 64-bit collision, are the contents
+themselves numbered, and blocks take r from that table by a join on the content. One such round is run a level, log2 of the longest document's blocks in all.
 
 Edge cases: null counts as the empty text; all empty texts are equal; rows with the same id are rows of their own;
 a null id is kept and sorts after all others; other columns are kept by dedup() and ignored by identities().
@@ -29,18 +27,15 @@ BLOCK_BYTES = 4096
 _NAME = "array<struct<h:bigint,r:int>>"
 
 
-def _numbered(contents: DataFrame) -> DataFrame:
-    """contents: h, content. The distinct contents that aren't the first of their h in sort order, with r from 1."""
-    distinct = contents.groupBy("h", "content").agg(F.lit(1).alias("one"))
-    shared = distinct.groupBy("h").agg(F.count("*").alias("n"), F.min("content").alias("first")).where("n > 1")
-    later = distinct.join(shared.select("h"), "h", "left_semi")
-    return later.select("h", "content", (F.row_number().over(Window.partitionBy("h").orderBy("content")) - 1).alias("r")).where("r > 0")
-
-
-def _collisions(contents: DataFrame) -> DataFrame | None:
-    """The table of _numbered, staged, or None if it is empty."""
-    found = staged(_numbered(contents))
-    return found if found.limit(1).count() else None
+def _numbered(contents: DataFrame) -> DataFrame | None:
+    """contents: h, content. The distinct contents that aren't the first of their h in sort order, with r from 1, staged; None if there are none."""
+    # least and greatest content of each hash: one shuffle, after as much is done within each task
+    shared = contents.groupBy("h").agg(F.min("content").alias("first"), F.max("content").alias("last")).where("first <> last")
+    shared = staged(shared.select("h"))
+    if not shared.limit(1).count():
+        return None
+    later = contents.join(small_side(shared), "h", "left_semi").distinct()
+    return staged(later.select("h", "content", (F.row_number().over(Window.partitionBy("h").orderBy("content")) - 1).alias("r")).where("r > 0"))
 
 
 def _blocks(norm: Column) -> Column:
@@ -78,7 +73,7 @@ def _pair_hash(p: Column) -> Column:
 def named(norms: DataFrame, hashed=F.xxhash64) -> DataFrame:
     """norms: row (an id of the row), norm (the text without white space), and more columns. Adds n_bytes, h and r, the
     collision-free identity; the column norm goes. hashed: the hash of a block, another one in tests."""
-    found = _collisions(_exploded(norms, _blocks(F.col("norm")), hashed).select("h", "content"))
+    found = _numbered(_exploded(norms, _blocks(F.col("norm")), hashed).select("h", "content"))
     if found is not None:
         norms = staged(norms)  # rows are numbered once and for all before they are joined by number
     level = norms.withColumn("n_bytes", F.octet_length("norm").cast("long")).withColumn(
@@ -91,7 +86,7 @@ def named(norms: DataFrame, hashed=F.xxhash64) -> DataFrame:
     while level.where(F.size("names") > 1).limit(1).count():  # log2 of the longest document's blocks
         pairs = level.where(F.size("names") > 1)
         contents = _exploded(pairs, _paired(F.col("names")), _pair_hash)
-        found = _collisions(contents.select("h", "content"))
+        found = _numbered(contents.select("h", "content"))
         named_pairs = F.transform(_paired(F.col("names")), lambda p: F.struct(_pair_hash(p).alias("h"), F.lit(0).alias("r"))).cast(_NAME)
         level = level.withColumn("names", F.when(F.size("names") > 1, named_pairs).otherwise(F.col("names")))
         if found is not None:
@@ -127,10 +122,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, all columns kept. Rows that agree in id, length and normalised text count once."""
     best = F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha256"))
-    stays = identities(docs, id_col, text_col).groupBy("n_bytes", "h", "r").agg(best.alias("b"))
+    rows = identities(docs, id_col, text_col).select("n_bytes", "h", "r", "text_sha256", "n_points", "doc_id")
+    stays = rows.groupBy("n_bytes", "h", "r").agg(best.alias("b"))
     sha = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
     points = F.length(F.coalesce(F.col(text_col), F.lit("")))
-    return keep_rows(docs, (sha, points, F.col(id_col)), stays.select("b.text_sha256", (-F.col("b.p")).alias("n_points"), "b.doc_id"))
+    return keep_rows(docs, (sha, points, F.col(id_col)), rows, stays.select("b.text_sha256", (-F.col("b.p")).alias("n_points"), "b.doc_id"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

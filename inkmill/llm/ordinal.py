@@ -28,8 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import map_in_arrow
-from .common import small_side, staged, table
-from .simhash import word_pieces
+from .common import small_side, staged, table, word_pieces
 
 BITS = 16
 DIMENSIONS = 1 << BITS

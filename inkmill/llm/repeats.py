@@ -43,8 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..session import map_in_arrow
-from .common import SPACE_RUN, SPACES, shuffle_partitions, small_side, staged, word_count
-from .simhash import word_pieces
+from .common import SPACE_RUN, SPACES, shuffle_partitions, small_side, staged, word_count, word_pieces
 
 TABLE = 500_000
 #: Words whose anchors a task holds before it sends them.

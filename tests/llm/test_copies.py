@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from corpora import clashing, edge_rows, listed, random_texts, rows, table
-from inkmill.llm import components, exact_dedup, simhash
+from inkmill.llm import common, components, exact_dedup, simhash
 
 
 def brute_exact(found):
@@ -84,14 +84,14 @@ def test_fingerprints_of_pieces():
         assert simhash.fingerprint(t.encode()) == brute_fingerprint(t)
     text = " ".join(f"w{i * i % 1009}" for i in range(3000)).encode()
     whole = simhash.fingerprint(text)
-    pieces = [w for p in simhash.word_pieces(text, 50) for w in p]
+    pieces = [w for p in common.word_pieces(text, 50) for w in p]
     assert pieces == text.split() and whole == brute_fingerprint(text.decode())
 
 
 def test_fingerprint_is_the_same_in_small_pieces(monkeypatch):
     text = (" ".join(f"w{i * i % 1009}" for i in range(500)) + " \n").encode()
     want = simhash.fingerprint(text)
-    real = simhash.word_pieces
+    real = common.word_pieces
     for size in (1, 7, 64):
         monkeypatch.setattr(simhash, "word_pieces", lambda d, size=size: real(d, size))
         assert simhash.fingerprint(text) == want
@@ -133,17 +133,6 @@ def test_every_close_pair_shares_a_table(n):
         assert any(flipped & m == 0 for m in masks)
 
 
-def test_near_dedup_keeps_all_columns(spark):
-    found = edge_rows()
-    docs = clashing(spark, found)
-    kept = simhash.near_dedup(docs)
-    assert kept.columns == docs.columns
-    fps = [brute_fingerprint(r[1]) for r in found]
-    comps = brute_components(list(range(len(found))), fps)
-    assert kept.count() == len(set(comps))
-    assert simhash.near_dedup(docs.limit(0)).count() == 0
-
-
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 200)] + [(1000 + i, 1000) for i in range(1, 300)] + [(5000, 5001), (5001, 5000), (7, 7)]
     got = dict(listed(components.components(spark.createDataFrame(chain, "x long, y long"))))
