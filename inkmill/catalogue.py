@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from .functions.text import SPACE_CLASS
 from .operators import aggregates, dedup, filters, order
 from .plans import report, triage
 from .schema import DEEP, TRIAGE, WORK_DDL
+from .session import scratch, ship
 from .sources import feed, tables, works
 
 TERMS, CONFIG, SCORES = testviews.TERMS, testviews.CONFIG, Scoring()
@@ -120,6 +124,16 @@ def t1_is_missing(spark, sf_dir):
     return e.select("event_id", text.is_missing("value").alias("missing"), F.when(text.is_missing("value"), "").otherwise(F.col("event_type")).alias("shown"))
 
 
+_HALF = "cast(event_id % 50 as double) / 4"
+
+
+@_query(f"SELECT event_id, CASE WHEN event_id % 5 = 0 THEN '' ELSE cast({_HALF} as varchar) END AS cleaned, cleaned AS key, cleaned AS stripped, cleaned AS category FROM events")
+def t2_clean_double(spark, sf_dir):
+    """Of a column of doubles in which NaN stands for what is missing."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("x", F.expr(f"CASE WHEN event_id % 5 = 0 THEN double('NaN') ELSE {_HALF} END"))
+    return e.select("event_id", text.clean_text("x").alias("cleaned"), text.normalize_key("x").alias("key"), text.strip("x").alias("stripped"), text.normalize_category("x").alias("category"))
+
+
 @_query(f"SELECT doc_id, lower({_clean('text')}) AS out FROM documents")
 def t3_normalize_key(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", text.normalize_key("text").alias("out"))
@@ -163,20 +177,28 @@ def t10_truncate(spark, sf_dir):
 # --- nested values
 
 
-def _index(words: DataFrame) -> DataFrame:
-    """doc_id, index: the inverted index of texts, from rows doc_id, pos, word."""
-    by_word = words.groupBy("doc_id", "word").agg(F.array_sort(F.collect_list("pos")).alias("at"))
-    return by_word.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "at"))).alias("index"))
+def _index(column: F.Column) -> F.Column:
+    """The inverted index of a text, a map of word to positions, null where it has no word: the words are sorted with their positions and cut where the word changes."""
+    words = F.filter(F.split(text.clean_text(column), " "), lambda w: w != "")
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+
+    def first_places(s):
+        return F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda k: (k == 0) | (F.get(s, k - 1)["w"] != F.get(s, k)["w"]))
 
+    def entries(s, starts):
+        def entry(k, j):
+            after = F.coalesce(F.get(starts, j + 1), F.size(s))
+            return F.struct(F.get(s, k)["w"].alias("word"), F.transform(F.slice(s, k + 1, after - k), lambda x: x["i"]).alias("at"))
 
-def _with_index(docs: DataFrame) -> DataFrame:
-    words = docs.select("doc_id", F.posexplode(F.filter(F.split(text.clean_text("text"), " "), lambda w: w != "")).alias("pos", "word"))
-    return docs.join(_index(words), "doc_id", "left")
+        return F.map_from_entries(F.transform(starts, entry))
+
+    made = F.transform(F.array(placed), lambda s: F.transform(F.array(F.when(F.size(s) > 0, first_places(s))), lambda starts: F.when(F.size(s) > 0, entries(s, starts)))[0])[0]
+    return made
 
 
 @_query(f"SELECT doc_id, {_clean('text')} AS out FROM documents")
 def p1_invert_abstract(spark, sf_dir):
-    return _with_index(_docs(spark, sf_dir)).select("doc_id", nested.invert_index(F.col("index")).alias("out"))
+    return _docs(spark, sf_dir).select("doc_id", _index(F.col("text")).alias("index")).select("doc_id", nested.invert_index(F.col("index")).alias("out"))
 
 
 @_query("SELECT seq, doi AS found, '' AS absent FROM p")
@@ -229,8 +251,7 @@ def p4_best_venue(spark, sf_dir):
 
 def _responses(spark, sf_dir) -> DataFrame:
     """Answers of the works API made of documents: one query a source, each with its documents as results."""
-    docs = _docs(spark, sf_dir)
-    papers = _papers(spark, sf_dir).join(_with_index(docs).select("doc_id", "index"), F.col("seq") == F.col("doc_id"))
+    papers = _papers(spark, sf_dir).withColumn("index", _index(F.col("abstract")))
     item = F.struct(
         F.col("paper_id").alias("id"),
         "title",
@@ -263,10 +284,15 @@ def p5_paper_projection(spark, sf_dir):
     )
 
 
-@_query("""SELECT query, count(*) AS n, max(place) AS last_rank, count(DISTINCT paper_id) AS n_ids FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY seq) - 1 AS place FROM p) GROUP BY query""")
+_PAGE = "query || '#' || cast(seq // 500 as varchar)"
+
+
+@_query(f"""SELECT query, count(*) AS n, max(place) AS last_rank, count(DISTINCT paper_id) AS n_ids FROM
+    (SELECT {_PAGE} AS query, paper_id, row_number() OVER (PARTITION BY {_PAGE} ORDER BY seq) - 1 AS place FROM p) GROUP BY query""")
 def s1_scan_offline(spark, sf_dir):
-    """Whole captured answers, one a query: every result becomes a row with its place."""
-    items = _responses(spark, sf_dir).groupBy("query").agg(F.array_sort(F.collect_list(F.struct("seq", "item"))).alias("found"))
+    """Whole captured answers, one a query and page of at most 500 results: every result becomes a row with its place."""
+    page = F.concat_ws("#", "query", F.floor(F.col("seq") / 500).cast("string"))
+    items = _responses(spark, sf_dir).withColumn("query", page).groupBy("query").agg(F.array_sort(F.collect_list(F.struct("seq", "item"))).alias("found"))
     body = F.concat(F.lit('{"results":['), F.array_join(F.transform("found", lambda x: x["item"]), ","), F.lit("]}"))
     answers = items.select(F.lit(0).alias("query_ordinal"), F.lit("t").alias("search_topic"), "query", body.alias("body"))
     out = works.project(works.from_responses(answers))
@@ -312,7 +338,7 @@ def p7_default_columns(spark, sf_dir):
 
 # --- query texts and lists
 
-_RAW = "CASE WHEN doc_id % 3 = 0 THEN '\"' || substr(text, 1, 9) || '\" ' || source WHEN doc_id % 3 = 1 THEN substr(text, 1, 25) ELSE lang || ' \"a b\" \"\" \" \"' END"
+_RAW = "CASE WHEN doc_id % 3 = 0 THEN '\"' || split_part(text, chr(10), 1) || '\" ' || text || ' ' || source WHEN doc_id % 3 = 1 THEN text ELSE lang || ' \"a b\" \"\" \" \" ' || text END"
 _FEED_SQL = f"""WITH q AS (SELECT doc_id, {_RAW} AS q FROM documents),
 x AS (SELECT doc_id, q, list_concat(
   list_transform(list_filter(list_transform(regexp_extract_all(q, '"([^"]+)"', 1), lambda s: {_strip('s')}), lambda s: s <> ''), lambda s: 'all:"' || s || '"'),
@@ -326,16 +352,6 @@ def s4_query_compile(spark, sf_dir):
     return q.select("doc_id", nested.feed_query(F.col("q")).alias("compiled"))
 
 
-_RAW_WHOLE = "CASE WHEN doc_id % 3 = 0 THEN '\"' || split_part(text, chr(10), 1) || '\" ' || text || ' ' || source WHEN doc_id % 3 = 1 THEN text ELSE lang || ' \"a b\" \"\" \" \" ' || text END"
-
-
-@_query(_FEED_SQL.replace(_RAW, _RAW_WHOLE))
-def s4_query_compile_whole(spark, sf_dir):
-    """As s4_query_compile, over the whole text of every row."""
-    q = _docs(spark, sf_dir).select("doc_id", F.expr(_RAW_WHOLE).alias("q"))
-    return q.select("doc_id", nested.feed_query(F.col("q")).alias("compiled"))
-
-
 @_query("SELECT page_id, list_extract(string_split(rtrim(url, '/'), '/'), -1) AS id FROM pages")
 def s6_id_extract(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", nested.last_segment(F.col("url")).alias("id"))
@@ -349,24 +365,30 @@ def s8_query_flatten(spark, sf_dir):
     return tables.flatten_queries(topics).select("topic", "query", F.col("query_idx").cast("long").alias("query_idx"))
 
 
-_SCANS = "SELECT lang, search_topic, paper_id, seq FROM (SELECT 0 AS lang, 'even' AS search_topic, paper_id, seq FROM p WHERE seq % 2 = 0 UNION ALL SELECT 1, 'third', paper_id, seq FROM p WHERE seq % 3 = 0)"
-
-
-@_query(_SCANS.replace("lang,", "lang AS scan,", 1))
-def s9_union_scan(spark, sf_dir):
-    p = _papers(spark, sf_dir)
-    both = tables.union_scans([("even", p.where("seq % 2 = 0")), ("third", p.where("seq % 3 = 0").drop("venue"))])
-    return both.select(F.col("seq.scan").alias("scan"), "search_topic", "paper_id", F.col("seq.rank").alias("seq"))
-
-
 @_query("SELECT 0 AS scan, 'all' AS search_topic, paper_id, venue, seq FROM p UNION ALL SELECT 1, 'no venue', paper_id, NULL, seq FROM p")
-def s9_union_scan_whole(spark, sf_dir):
-    """As s9_union_scan, with every row in each scan."""
+def s9_union_scan(spark, sf_dir):
+    """Two scans of every row, of which one lacks a column."""
     p = _papers(spark, sf_dir)
     both = tables.union_scans([("all", p), ("no venue", p.drop("venue"))])
     return both.select(F.col("seq.scan").alias("scan"), "search_topic", "paper_id", "venue", F.col("seq.rank").alias("seq"))
 
 
+_ASKED = ["deep fake", 'a "b c" & d', '""']
+_ASKED_SQL = "VALUES (0, 'all:deep AND all:fake'), (1, 'all:\"b c\" AND all:a AND all:& AND all:d'), (2, 'all:\"\"')"
+
+
+@_query(
+    f"""WITH q(query_ordinal, t) AS ({_ASKED_SQL}), e AS (SELECT *, length(replace(t, '&', '&amp;')) AS n FROM q, (VALUES (1), (2)) AS m(m))
+    SELECT query_ordinal, m - 1 AS rank, 'arxiv:' || n || '.' || m || 'v1' AS paper_id, n || ' ' || t AS title, t AS abstract, 'A' || m AS authors, '2024-0' || m || '-02' AS published_date FROM e"""
+)
+def s3_feed_scan(spark, sf_dir):
+    """The feed's data source from its options to records; only the transport is canned."""
+    options = {"fetcher": "inkmill.testviews:canned_feed", "sleep_seconds": 0}
+    ship(spark)
+    found = feed.scan(spark, [(i, "t", q) for i, q in enumerate(_ASKED)], options)
+    return found.select("seq.query_ordinal", "seq.rank", "paper_id", "title", "abstract", "authors", "published_date")
+
+
 # --- scores
 
 
@@ -513,7 +535,7 @@ _TABLE_ORDER = "triage_score DESC NULLS LAST, published_date DESC NULLS LAST, se
 @_query(f"{_WS} SELECT seq, cast(row_number() OVER (ORDER BY {_TABLE_ORDER}) as int) AS place FROM scored")
 def o1_table_sort(spark, sf_dir):
     s = _scored(spark, sf_dir)
-    return order.with_ordinal(s, order.table_order(s), "place").select("seq", "place")
+    return order.with_ordinal(s, order.table_order(s), "place").select("seq", F.col("place").cast("int").alias("place"))
 
 
 _RANK = f"CASE {_strip('lower(llm_priority)')} WHEN 'read' THEN 0 WHEN 'skim' THEN 1 ELSE 2 END"
@@ -523,7 +545,7 @@ _REPORT_ORDER = f"{_RANK}, {_number('triage_score')} DESC, published_date DESC N
 @_query(f"{_WITH}, r AS (SELECT *, score_text AS triage_score FROM p) SELECT seq, cast(row_number() OVER (ORDER BY {_REPORT_ORDER}) as int) AS place FROM r")
 def o2_report_order(spark, sf_dir):
     p = _papers(spark, sf_dir).withColumn("triage_score", F.col("score_text"))
-    return order.with_ordinal(p, order.report_order(p), "place").select("seq", "place")
+    return order.with_ordinal(p, order.report_order(p), "place").select("seq", F.col("place").cast("int").alias("place"))
 
 
 @_query("SELECT doc_id, array_to_string(list_sort(string_split(" + _clean("text") + ", ' ')), ' ') AS sorted_words FROM documents")
@@ -584,9 +606,11 @@ def a5_any(spark, sf_dir):
     return p.groupBy("query").agg(aggregates.any_text(p, "deep_summary").alias("any_deep"))
 
 
-@_query("SELECT query, string_agg(title, chr(10) ORDER BY seq) AS titles FROM p GROUP BY query")
+@_query(f"SELECT {_PAGE} AS query, string_agg(title, chr(10) ORDER BY seq) AS titles FROM p GROUP BY 1")
 def a6_ordered_concat(spark, sf_dir):
-    return _papers(spark, sf_dir).groupBy("query").agg(aggregates.concat_ordered("title", "seq").alias("titles"))
+    """By source and page of 500, as a group's texts become one."""
+    page = F.concat_ws("#", "query", F.floor(F.col("seq") / 500).cast("string"))
+    return _papers(spark, sf_dir).groupBy(page.alias("query")).agg(aggregates.concat_ordered("title", "seq").alias("titles"))
 
 
 @_query("SELECT seq, greatest(length(title), coalesce(citation_count, 0)) AS most, least(length(title), coalesce(citation_count, 0)) AS least FROM p")
@@ -662,18 +686,11 @@ def l8_deep_fallback(spark, sf_dir):
     return out.select("seq", "deep_summary", "deep_datasets", "deep_reading_notes", "deep_confidence")
 
 
-def _folder(spark) -> str:
-    """Where replies are staged: the session's shared folder, as executors write there."""
-    import tempfile
-
-    return spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="inkmill-")
-
-
 @_query(f"{_WITH}, {_SCORED}, c AS (SELECT seq FROM scored WHERE triage_score >= 40 ORDER BY seq LIMIT 50) SELECT scored.seq, c.seq IS NOT NULL AS called FROM scored LEFT JOIN c ON scored.seq = c.seq")
 def l5_triage_stub(spark, sf_dir):
     cfg = testviews.Config.of({"output_dir": "o", "sota_table_path": "t", "ollama": {"enabled": True, "classify_min_triage_score": 40, "max_papers_per_run": 50}}).triage
     p = _scored(spark, sf_dir).drop("llm_priority", "llm_relevance")
-    out = stage.triage(p, cfg, StubClient(), "", _folder(spark))
+    out = stage.triage(p, cfg, StubClient(), "", scratch(spark, "replies"))
     return out.select("seq", F.col("llm_priority").isNotNull().alias("called"))
 
 
@@ -687,7 +704,7 @@ def l9_deep_defaults(spark, sf_dir):
 )
 def l10_deep_stub(spark, sf_dir):
     cfg = testviews.Config.of({"output_dir": "o", "sota_table_path": "t", "ollama_deep_analysis": {"enabled": True, "max_papers_per_run": 20}}).deep
-    out = stage.deep(_papers(spark, sf_dir), cfg, StubClient(), "", _folder(spark))
+    out = stage.deep(_papers(spark, sf_dir), cfg, StubClient(), "", scratch(spark, "replies"))
     return out.select("seq", F.col("deep_confidence").isNotNull().alias("called"))
 
 
@@ -722,7 +739,7 @@ def _reported(spark, sf_dir) -> DataFrame:
 def r1_paper_block(spark, sf_dir):
     p = _reported(spark, sf_dir)
     rows = order.with_ordinal(report.recommended(p), order.report_order(p))
-    return rows.select("ordinal", report.paper_block(rows.columns).alias("block"))
+    return rows.select(F.col("ordinal").cast("int").alias("ordinal"), report.paper_block(rows.columns).alias("block"))
 
 
 def _counts_sql(section: int, title: str, column: str) -> str:
@@ -730,28 +747,41 @@ def _counts_sql(section: int, title: str, column: str) -> str:
     UNION ALL SELECT {section}, row_number() OVER (ORDER BY n DESC, f), '- ' || label || ': **' || n || '**' FROM (SELECT coalesce({column}, 'Unknown') AS label, count(*) AS n, min(ordinal) AS f FROM q GROUP BY 1)"""
 
 
-@_query(
-    f"""{_WITH}, {_RECOMMENDED},
+_R2 = f"""{_WITH}, {_RECOMMENDED},
     h AS (SELECT count(*) AS n, count(*) FILTER ({_RANK} = 0) AS a, count(*) FILTER ({_RANK} = 1) AS b, bool_or({_cell('deep_summary')} <> '') AS d FROM r),
     lines AS (SELECT 0 AS section, unnest(range(0, 7)) AS place, unnest(['# Recommended Papers Summary', '', 'Total recommended papers: **' || n || '**', '- Read: **' || a || '**', '- Skim: **' || b || '**',
       '- Contains deep-analysis notes: **' || CASE WHEN d THEN 'yes' ELSE 'no' END || '**', '']) AS text FROM h
     {_counts_sql(1, '## Counts by topic', 'topic_label')} {_counts_sql(2, '## Counts by LLM relevance', 'llm_relevance')}
     UNION ALL SELECT 3, -2, '## Papers' UNION ALL SELECT 3, -1, '' UNION ALL SELECT 3, 2 * ordinal, block FROM blocks UNION ALL SELECT 3, 2 * ordinal + 1, chr(10) || '---' || chr(10) FROM blocks)
     SELECT section, cast(row_number() OVER (ORDER BY section, place) as int) AS line_no, text FROM lines"""
-)
+
+
+@_query(_R2)
 def r2_report_lines(spark, sf_dir):
     return report.report_lines(_reported(spark, sf_dir))
 
 
-@_query(
-    f"""{_WITH}, u0 AS (SELECT *, {_KEY} AS k FROM p WHERE seq % 4 <> 1),
+@_query(f"SELECT string_agg(text, chr(10) ORDER BY line_no) AS report FROM ({_R2})")
+def m2_report_entry(spark, sf_dir):
+    """The report's entry point, from a saved table to the file that it writes."""
+    folder = scratch(spark, "report")
+    with tempfile.TemporaryDirectory() as own:  # the report is a file of the driver
+        cfg = testviews.Config.of({"output_dir": own, "sota_table_path": f"{folder}/table", "recommended_summary_path": f"{own}/report.md"})
+        _reported(spark, sf_dir).write.parquet(cfg.sota_table_path)
+        report.run(spark, cfg)
+        return spark.createDataFrame([(Path(cfg.recommended_summary_path).read_text(encoding="utf-8"),)], "report string")
+
+
+_M1 = f"""{_WITH}, u0 AS (SELECT *, {_KEY} AS k FROM p WHERE seq % 4 <> 1),
     u AS (SELECT * EXCLUDE (k, place) FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq) AS place FROM u0 WHERE k <> '') WHERE place = 1),
     {_SCORED.replace('FROM p', 'FROM u')},
     kept AS (SELECT seq, doi, arxiv_id, url, title, topic, triage_score FROM scored WHERE triage_score >= 30 AND {_ALLOWED}),
     old AS (SELECT seq, doi, arxiv_id, url, title, 'by hand' AS topic, cast(seq % 100 as double) AS triage_score FROM p WHERE seq % 4 = 1),
     m AS (SELECT *, {_KEY} AS k, 0 AS side FROM old UNION ALL SELECT *, {_KEY}, 1 FROM kept)
     SELECT seq, title, topic, triage_score FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY side, seq) AS place FROM m) WHERE place = 1 AND triage_score >= 30"""
-)
+
+
+@_query(_M1)
 def m1_pipeline(spark, sf_dir):
     """The triage pipeline from records to the next cumulative table, without the model stages: deduplicate, score, filter, merge into an
     existing table (a quarter of the papers, edited by hand), prune."""
@@ -759,3 +789,20 @@ def m1_pipeline(spark, sf_dir):
     _, kept = triage.score_and_filter(p.where("seq % 4 <> 1"), TERMS, CONFIG)
     old = p.where("seq % 4 = 1").withColumns({"topic": F.lit("by hand"), "triage_score": (F.col("seq") % 100).cast("double")})
     return triage.next_table(old, kept, CONFIG).select("seq", "title", "topic", "triage_score")
+
+
+@_query(
+    _M1.replace("m AS (SELECT *,", "called AS (SELECT seq FROM kept ORDER BY seq LIMIT 40), m AS (SELECT *,").replace(
+        "SELECT seq, title, topic, triage_score FROM (", "SELECT seq, title, topic, triage_score, seq IN (SELECT seq FROM called) AS triaged FROM ("
+    )
+)
+def m1_pipeline_with_models(spark, sf_dir):
+    """The pipeline's entry point with both model stages, which a stub answers: from records to the saved table."""
+    folder = scratch(spark, "pipeline")
+    p = _papers(spark, sf_dir).drop("llm_priority", "llm_relevance", "deep_summary", "deep_reading_notes")
+    made = {"output_dir": folder, "sota_table_path": f"{folder}/table", "min_triage_score": 30, "drop_existing_below_min_score": True, "include_repositories": False}
+    cfg = testviews.Config.of(made | {"ollama": {"enabled": True, "max_papers_per_run": 40}, "ollama_deep_analysis": {"enabled": True, "max_papers_per_run": 10}})
+    old = p.where("seq % 4 = 1").withColumns({"topic": F.lit("by hand"), "triage_score": (F.col("seq") % 100).cast("double")})
+    old.write.parquet(cfg.sota_table_path)
+    triage.run(spark, cfg, TERMS, p.where("seq % 4 <> 1"), StubClient(), ("", ""))
+    return tables.read_table(spark, cfg.sota_table_path).select("seq", "title", "topic", "triage_score", F.col("llm_priority").isNotNull().alias("triaged"))

@@ -1,7 +1,7 @@
-"""Scores of papers as column expressions, and their relational form for large dictionaries.
+"""Scores of papers as column expressions, none of which needs a shuffle or a join.
 
-The unrolled form makes one CASE for each term and field, which fuses with the scan into one code-generated stage without a
-shuffle; past a few hundred terms the relational form (texts joined to a broadcast table of terms) keeps the generated code small.
+The unrolled form makes one CASE for each term and field, which fuses with the scan into one code-generated stage; past
+a few hundred terms the array form (functions over a literal array of terms) keeps the generated code small.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ..config import Scoring, SearchTerms
 from .text import normalize_category, to_number, to_text
 
 OUT_OF_SCOPE = ("out_of_scope", "Out of scope")
-#: Above so many terms in all topics together, topic_scores() takes the relational form.
+#: Above so many terms in all topics together, score() takes the array form.
 UNROLLED_TERMS = 300
 
 
@@ -34,17 +34,28 @@ def topic_score(terms, cfg: Scoring) -> Column:
     return reduce(add, (F.lit(float(w)) * term_score(F.lower(to_text(c)), terms) for c, w in _fields(cfg).items()))
 
 
+def topic_score_array(terms: SearchTerms, cfg: Scoring) -> Column:
+    """The scores of all topics, in their order, as an array: the dictionary is one literal, the texts are made once a row."""
+    if not terms.topics:
+        return F.array().cast("array<double>")
+    none = F.array().cast("array<struct<term:string,weight:int>>")
+    topics = F.array(*(F.array(*(F.struct(F.lit(term.lower()).alias("term"), F.lit(w).cast("int").alias("weight")) for term, w in t.terms)) if t.terms else none for t in terms.topics))
+    fields = F.struct(*(F.lower(to_text(c)).alias(c) for c in _fields(cfg)))
+
+    def found(text: Column, listed: Column) -> Column:
+        return F.aggregate(F.filter(listed, lambda x: F.contains(text, x["term"])), F.lit(0).cast("long"), lambda total, x: total + x["weight"])
+
+    def scored(texts: Column) -> Column:
+        return F.transform(topics, lambda listed: reduce(add, (F.lit(float(w)) * found(texts[c], listed) for c, w in _fields(cfg).items())))
+
+    return F.transform(F.array(fields), scored)[0]
+
+
 def topic_scores_relational(papers: DataFrame, terms: SearchTerms, cfg: Scoring, key: str = "seq") -> DataFrame:
-    """key, topic_idx, topic, score for every paper and topic. The table of terms comes from a configuration file and is broadcast."""
-    rows = [(i, t.key, term.lower(), w) for i, t in enumerate(terms.topics) for term, w in t.terms]
-    spark = papers.sparkSession
-    dictionary = F.broadcast(spark.createDataFrame(rows, "topic_idx int, topic string, term string, weight int"))
-    texts = F.array(*(F.struct(F.lower(to_text(c)).alias("text"), F.lit(float(w)).alias("field_weight")) for c, w in _fields(cfg).items()))
-    long = papers.select(key, F.inline(texts))
-    hits = long.join(dictionary, F.contains("text", "term")).groupBy(key, "topic_idx").agg(F.sum(F.col("weight") * F.col("field_weight")).alias("score"))
-    all_topics = F.array(*(F.struct(F.lit(i).alias("topic_idx"), F.lit(t.key).alias("topic")) for i, t in enumerate(terms.topics)))
-    grid = papers.select(key, F.inline(all_topics))
-    return grid.join(hits, [key, "topic_idx"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    """key, topic_idx, topic, score for every paper and topic."""
+    names = F.array(*(F.lit(t.key) for t in terms.topics)).cast("array<string>")
+    long = papers.select(key, F.posexplode(topic_score_array(terms, cfg)).alias("topic_idx", "score"))
+    return long.select(key, "topic_idx", F.get(names, F.col("topic_idx")).alias("topic"), "score")
 
 
 def best_topic(scores: list[tuple[str, str, Column]]) -> Column:
@@ -93,13 +104,11 @@ def citation_bonus(cfg: Scoring, citations: str | Column = "citation_count") ->
 def score(papers: DataFrame, terms: SearchTerms, cfg: Scoring) -> DataFrame:
     """papers with topic, topic_label, topic_score, generic_priority_score, triage_score (and relevance_score, the same)."""
     n_terms = sum(len(t.terms) for t in terms.topics)
-    if n_terms > UNROLLED_TERMS and "seq" in papers.columns:
-        wide = topic_scores_relational(papers, terms, cfg).groupBy("seq").agg(*(F.max(F.when(F.col("topic_idx") == i, F.col("score"))).alias(f"_s{i}") for i in range(len(terms.topics))))
-        scored = papers.join(wide, "seq")
-        best = best_topic([(t.key, t.label, F.col(f"_s{i}")) for i, t in enumerate(terms.topics)])
+    if n_terms > UNROLLED_TERMS:
+        scored = papers.withColumn("_s", topic_score_array(terms, cfg)).withColumns({f"_s{i}": F.get("_s", F.lit(i)) for i in range(len(terms.topics))}).drop("_s")
     else:
         scored = papers.withColumns({f"_s{i}": topic_score(t.terms, cfg) for i, t in enumerate(terms.topics)})
-        best = best_topic([(t.key, t.label, F.col(f"_s{i}")) for i, t in enumerate(terms.topics)])
+    best = best_topic([(t.key, t.label, F.col(f"_s{i}")) for i, t in enumerate(terms.topics)])
     # the total is made from the largest score alone, so that a filter on it, which Spark moves below this projection, stays small
     most = F.array_max(F.array(*(F.col(f"_s{i}") for i in range(len(terms.topics))))) if terms.topics else F.lit(0.0)
     scored = scored.withColumns({"_best": best, "_most": most, "_generic": generic_score(terms.generic, cfg).cast("double")})

@@ -28,7 +28,7 @@ def to_text(c: Column | str) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """Runs of white space become one space, none at the ends; missing values are empty."""
-    return F.trim(F.regexp_replace(F.coalesce(_text(c).cast("string"), F.lit("")), SPACE_CLASS + "+", " "))
+    return F.trim(F.regexp_replace(to_text(c), SPACE_CLASS + "+", " "))
 
 
 def normalize_key(c: Column | str) -> Column:
@@ -37,12 +37,12 @@ def normalize_key(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """No white space at the ends; what is inside stays."""
-    return F.regexp_replace(F.coalesce(_text(c).cast("string"), F.lit("")), f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+    """No white space at the ends; what is inside stays; missing values are empty."""
+    return F.regexp_replace(to_text(c), f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
 
 
 def normalize_category(c: Column | str) -> Column:
-    return strip(F.lower(F.coalesce(_text(c).cast("string"), F.lit(""))))
+    return strip(F.lower(to_text(c)))
 
 
 def contains_ci(c: Column | str, term: str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import priority_rank
 from ..functions.text import to_number
+from ..session import scratch
 
 
 def _tie(df: DataFrame) -> list[Column]:
@@ -46,5 +47,12 @@ def first_n(df: DataFrame, candidate: Column, n: int | None) -> DataFrame:
 
 
 def with_ordinal(df: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
-    """Numbers from 1 in the given order. One task sees all rows: for reports, not for corpora."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    """Numbers (long) from 1 in the given order, in which no rows should be equal. Rows are dealt out by range and sorted within their partition; a row's
+    number is its place there plus the rows of the partitions before. What is numbered is written once, as the ranges are a sample's."""
+    folder = scratch(df.sparkSession, "ordinals")
+    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).write.mode("overwrite").parquet(folder)
+    rows = df.sparkSession.read.parquet(folder).withColumn("_part", F.shiftright("_at", 33))
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))  # one row a partition
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+    return rows.join(F.broadcast(before), "_part").withColumn(name, place).drop("_at", "_part", "_before")

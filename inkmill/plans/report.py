@@ -97,7 +97,7 @@ def report_lines(table: DataFrame, priorities: tuple[str, ...] = PRIORITIES) ->
     both = F.array(paper_block(n), F.lit("\n---\n"))
     parts.append(papers.select(F.lit(3).alias("section"), (2 * F.col("ordinal")).alias("at"), F.posexplode(both).alias("p", "text")).select("section", (F.col("at") + F.col("p")).alias("place"), "text"))
     lines = reduce(DataFrame.unionByName, parts)
-    return with_ordinal(lines, [F.col("section"), F.col("place")], "line_no").select("section", "line_no", "text")
+    return with_ordinal(lines, [F.col("section"), F.col("place")], "line_no").select("section", F.col("line_no").cast("int").alias("line_no"), "text")
 
 
 def run(spark: SparkSession, cfg: Config, priorities: tuple[str, ...] = PRIORITIES) -> bool:

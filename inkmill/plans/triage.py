@@ -13,6 +13,7 @@ from ..enrich.stage import deep, triage
 from ..functions.scoring import score
 from ..operators.dedup import keep_first, merge
 from ..operators.filters import drop_low_scores, passes
+from ..session import remove
 from ..sinks import make_folder, save_table
 from ..sources import works
 from ..sources.tables import exists, read_prompt, read_table
@@ -74,4 +75,5 @@ def run(spark: SparkSession, cfg: Config, terms: SearchTerms, papers: DataFrame
     kept = deep(kept, cfg.deep, client or _client(cfg.deep), second, staging)
     existing = read_table(spark, cfg.sota_table_path) if exists(spark, cfg.sota_table_path) else None
     save_table(next_table(existing, kept, cfg), cfg.sota_table_path)
+    remove(spark, f"{cfg.output_dir}/_run")
     return RunReport(n_raw, n_unique, n_kept, spark.read.parquet(cfg.sota_table_path).count())

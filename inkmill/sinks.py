@@ -5,29 +5,37 @@ from __future__ import annotations
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .operators.order import table_order
-from .sources.tables import _path
+from .session import hadoop_path, remove
+from .sources.tables import set_aside
 
 
 def make_folder(path: str) -> None:
     Path(path).mkdir(parents=True, exist_ok=True)
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, source = hadoop_path(spark, old)
+    if not fs.rename(source, hadoop_path(spark, new)[1]):
+        raise OSError(f"could not rename {old} to {new}")
+
+
 def save_table(df: DataFrame, path: str) -> None:
     """Write df, sorted, in place of the table at path, which df may be read from: the new one is written beside it and then
-    takes its name, so a failed write leaves the old one."""
+    takes its name. A failed write leaves the old one; a run that ends between the two renames leaves it beside its place, where
+    read_table finds it."""
     spark = df.sparkSession
     by = table_order(df)
     new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
     (df.orderBy(*by) if by else df).write.parquet(new)
-    fs, target = _path(spark, path)
+    fs, target = hadoop_path(spark, path)
     if fs.exists(target):
-        fs.rename(target, _path(spark, old)[1])
-    if not fs.rename(_path(spark, new)[1], target):
-        raise OSError(f"could not rename {new} to {path}")
-    fs.delete(_path(spark, old)[1], True)
+        _rename(spark, path, old)
+    _rename(spark, new, path)
+    for left in set_aside(spark, path):
+        remove(spark, left)
 
 
 def write_markdown(lines: DataFrame, path: str, ordinal: str = "line_no", text: str = "text") -> None:

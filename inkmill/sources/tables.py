@@ -9,22 +9,30 @@ from pyspark.sql import functions as F
 
 from ..config import SearchTerms
 from ..schema import PAPER
+from ..session import hadoop_path
 
 
-def _path(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+def set_aside(spark: SparkSession, path: str) -> list[str]:
+    """What sinks.save_table has put beside the table at path and not deleted yet, the latest first."""
+    fs, p = hadoop_path(spark, f"{path}.old-*")
+    found = sorted(fs.globStatus(p) or [], key=lambda x: -x.getModificationTime())
+    return [x.getPath().toString() for x in found]
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """Where the table at path is: there, or beside it if a run ended while it was being replaced."""
+    fs, p = hadoop_path(spark, path)
+    return path if fs.exists(p) else next(iter(set_aside(spark, path)), None)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _path(spark, path)
-    return fs.exists(p)
+    return current(spark, path) is not None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The table at path, or an empty one with the columns of a paper if there is none."""
-    return spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], PAPER)
+    found = current(spark, path)
+    return spark.read.parquet(found) if found else spark.createDataFrame([], PAPER)
 
 
 def read_prompt(path: str) -> str:

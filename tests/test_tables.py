@@ -1,10 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from inkmill import session, sinks
 from inkmill.config import Config
 from inkmill.operators import aggregates, dedup, filters, order
 from inkmill.sinks import save_table, write_markdown
-from inkmill.sources.tables import query_rows, read_prompt, read_table
+from inkmill.sources.tables import exists, query_rows, read_prompt, read_table
 from inkmill.testviews import TERMS
 
 DDL = "seq int, doi string, arxiv_id string, semantic_scholar_id string, openalex_id string, url string, title string"
@@ -93,6 +94,49 @@ def test_save_over_the_table_it_came_from(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["table"]
 
 
+def test_a_save_that_ends_between_the_renames(spark, tmp_path, monkeypatch):
+    path, real = str(tmp_path / "table"), sinks._rename
+    first = spark.createDataFrame([(1, 5.0)], "seq int, relevance_score double")
+    save_table(first, path)
+
+    def stops(spark, old, new):
+        if new == path:
+            raise KeyboardInterrupt
+        real(spark, old, new)
+
+    monkeypatch.setattr(sinks, "_rename", stops)
+    with pytest.raises(KeyboardInterrupt):
+        save_table(read_table(spark, path).union(spark.createDataFrame([(2, 9.0)], first.schema)), path)
+    monkeypatch.setattr(sinks, "_rename", real)
+    assert not (tmp_path / "table").exists() and exists(spark, path)
+    assert [tuple(r) for r in read_table(spark, path).collect()] == [(1, 5.0)]
+    save_table(read_table(spark, path).union(spark.createDataFrame([(3, 1.0)], first.schema)), path)
+    assert [tuple(r) for r in read_table(spark, path).coalesce(1).collect()] == [(1, 5.0), (3, 1.0)]
+    assert not list(tmp_path.glob("table.old-*"))
+
+
+def test_ordinals(spark):
+    df = spark.range(2000).select((F.col("id") * 7919 % 2003).alias("seq")).repartition(7)
+    for spread in (1, 4):
+        spark.conf.set("spark.sql.shuffle.partitions", spread)
+        got = order.with_ordinal(df, [F.col("seq").desc()])
+        assert [(r["seq"], r["ordinal"]) for r in got.orderBy("ordinal").collect()] == [(s, i + 1) for i, s in enumerate(sorted((r["seq"] for r in df.collect()), reverse=True))]
+    assert order.with_ordinal(df.limit(0), [F.col("seq")]).count() == 0
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(dict)
+
+    class Session:
+        sparkContext = Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session)
+
+
 def test_files(spark, tmp_path):
     lines = spark.createDataFrame([(2, "b\n"), (1, "ä"), (3, "")], "line_no int, text string")
     write_markdown(lines, str(tmp_path / "x" / "out.md"))
