@@ -1,17 +1,17 @@
 """A corpus pipeline of five stages, each one an operator of inkmill.llm applied to all that the stage before kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. A stage's
-result is written as Parquet and read again as the next one's input, which also cuts the lineage.
+result is written as Parquet and read again as the next one's input, which also cuts the lineage; a stage's input goes when its result is written, the
+last intermediate result when the driver ends.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from inkmill.llm import exact_dedup, language, mixing, packing, simhash
-from inkmill.llm.common import shared_folder, table
+from inkmill.llm.common import table
+from inkmill.session import remove, scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; the result is the last stage's."""
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder, before = scratch(spark, "pipeline"), None
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)

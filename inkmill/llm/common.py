@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 #: White space of the word rule ``[^\x20\x09-\x0D]+``: the six ASCII characters.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -38,19 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's folder for intermediate results, which all executors share."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="inkmill-checkpoint-"))
-    return sc.getCheckpointDir()
-
-
 def staged(df: DataFrame) -> DataFrame:
     """Compute df once and cut its lineage, in the folder all executors share (``spark.checkpoint.dir``).
 
-    Where the session names no such folder (tests on one machine) a temporary one is set. The files go when
-    the driver's garbage collector finds the DataFrame unused and
+    The files go when the driver's garbage collector finds the DataFrame unused and
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
     """
     shared_folder(df.sparkSession)

@@ -12,7 +12,7 @@ no shuffle, bounded memory, and a repeated task gives the same sequences. A sequ
 number and a count.
 
 Edge cases: null counts as the empty text and has the end id alone; rows with the same id are documents of their own;
-null ids are kept; an empty table gives no pieces; other columns are ignored.
+null ids are kept; ids may be of any type; an empty table gives no pieces; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -101,6 +101,7 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID, size:
         held: dict[int, tuple[int | None, bytes]] = {}  # document number -> id, ids
         items: list[tuple[int, int, int]] = []
         n = total = 0
+        id_type = None
 
         def rows(sequences: list[list[tuple[int, int, int]]]) -> Iterator[pa.RecordBatch]:
             nonlocal sequence
@@ -114,7 +115,7 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID, size:
                         offset += length
                     sequence += 1
                 names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
-                kinds = [pa.binary() if x == "ids" else pa.int64() for x in names]
+                kinds = [pa.binary() if x == "ids" else id_type if x == "doc_id" else pa.int64() for x in names]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), kinds)], list(names))
 
         def settle() -> list[list[tuple[int, int, int]]]:
@@ -124,6 +125,7 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID, size:
             return own + full
 
         for batch in batches:
+            id_type = batch.schema.field("doc_id").type
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 ids = (encode(text.as_buffer().to_pybytes()) if text.is_valid else b"") + end
                 held[n] = (doc_id, ids)
@@ -137,8 +139,8 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID, size:
         yield from rows(settle())
         yield from rows(remainder(items))
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return map_in_arrow(rows, run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    return map_in_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

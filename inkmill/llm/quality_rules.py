@@ -2,8 +2,8 @@
 
 Every document is measured against a few rules. The failures are then counted by host (``source``), each
 host's failure rate is shrunk towards the mean of all hosts by a beta prior whose strength is estimated from
-the spread between hosts (empirical Bayes, method of moments), and a host whose shrunk rate is above a limit
-loses all its documents. DataFrame functions only: one pass over the texts, one row of measures a document is
+the spread between hosts (empirical Bayes, method of moments), and a host whose shrunk rate is above half, or
+twice that of all documents and a tenth at least, loses all its documents. DataFrame functions only: one pass over the texts, one row of measures a document is
 kept (staged), hosts are aggregated with partial sums before the shuffle, so a host with a third of all rows
 costs no more than any other, and the verdicts come back over a join whose small side is checked before it is
 broadcast.
@@ -24,8 +24,11 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SYMBOL_PERCENT = 10
 MAX_DUP_LINE_PERCENT = 30
-#: A host goes if the shrunk share of its documents that fail a rule is above this.
+#: A host goes if the shrunk share of its documents that fail a rule is above MAX_HOST_RATE, or above MAX_HOST_RATIO times the share of all documents that
+#: do and no less than MIN_HOST_RATE.
 MAX_HOST_RATE = 0.5
+MAX_HOST_RATIO = 2
+MIN_HOST_RATE = 0.1
 #: Bounds of the prior's strength, in documents.
 STRENGTH = (1.0, 1e6)
 RULES = ("base_failed", "symbols_failed", "lines_failed")
@@ -108,19 +111,21 @@ def host_verdicts(measured: DataFrame) -> DataFrame:
 
     Prior of a rule over hosts with n documents and k failures: mean m = sum(k)/sum(n); v = the variance of
     k/n around m, hosts weighted by n; strength = m(1-m)/v - 1 within STRENGTH (its upper end if v is 0);
-    shrunk rate = (k + m * strength) / (n + strength).
+    shrunk rate = (k + m * strength) / (n + strength). It is held against the limit
+    min(MAX_HOST_RATE, max(MIN_HOST_RATE, MAX_HOST_RATIO * m)).
     """
     hosts = staged(measured.groupBy("host").agg(F.count("*").alias("n"), *(F.count_if(F.col(r)).alias(r) for r in RULES)))
     sums = [F.sum(r).alias(r) for r in RULES]
     total = hosts.agg(F.sum("n").alias("n"), *sums).first()  # one row
     mean = {r: (total[r] or 0) / (total["n"] or 1) for r in RULES}
     spread = hosts.agg(*(F.sum(F.col("n") * (F.col(r) / F.col("n") - mean[r]) ** 2).alias(r) for r in RULES)).first()
-    out = hosts
+    out, kept = hosts, F.lit(True)
     for r in RULES:
         v = (spread[r] or 0.0) / (total["n"] or 1)
         strength = min(max(mean[r] * (1 - mean[r]) / v - 1 if v > 1e-12 else STRENGTH[1], STRENGTH[0]), STRENGTH[1])
         out = out.withColumn(f"{r}_rate", (F.col(r) + mean[r] * strength) / (F.col("n") + strength))
-    return out.withColumn("host_kept", F.greatest(*(F.col(f"{r}_rate") for r in RULES)) <= MAX_HOST_RATE)
+        kept &= F.col(f"{r}_rate") <= min(MAX_HOST_RATE, max(MIN_HOST_RATE, MAX_HOST_RATIO * mean[r]))
+    return out.withColumn("host_kept", kept)
 
 
 def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
@@ -171,7 +176,7 @@ WITH d AS (
 ), s AS (
   SELECT rule, m, least(greatest(CASE WHEN v > 1e-12 THEN m * (1 - m) / v - 1 ELSE {STRENGTH[1]} END, {STRENGTH[0]}), {STRENGTH[1]}) AS strength FROM p
 ), verdict AS (
-  SELECT h.source, max((k + m * strength) / (n + strength)) <= {MAX_HOST_RATE} AS host_kept FROM h JOIN s USING (rule) GROUP BY h.source
+  SELECT h.source, bool_and((k + m * strength) / (n + strength) <= least({MAX_HOST_RATE}, greatest({MIN_HOST_RATE}, {MAX_HOST_RATIO} * m))) AS host_kept FROM h JOIN s USING (rule) GROUP BY h.source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_kept AS kept
 FROM f JOIN verdict ON f.source IS NOT DISTINCT FROM verdict.source

@@ -5,18 +5,18 @@ partition), encoded, and written in segments of about a million ids, each one bl
 row of a Parquet table, which serves as the container: its commit protocol makes a lost executor or a repeated task
 leave no half-written file, and any store that Spark knows will do. A row also has the documents' ids and lengths,
 the partition, and the ids before it in its partition; a second, small table has the ids before each partition. So the
-place of any token in the whole corpus is known, and one token is read by opening one segment.
+place of any token in the whole corpus is known: to read one, the row of its partition is found first, then the segment by literal bounds, which
+Parquet's statistics answer (row groups hold a few segments), and the look-up itself is done where the segment is read.
 
 Memory: one segment a task, and the ids of the longest document. Nothing but the table of partitions is
 brought together.
 
 Edge cases: null counts as the empty text and has the end id alone; rows with the same id follow each other in the order
-of their texts; null ids come first; an empty table gives no segments and an empty result; other columns are ignored.
+of the first 16 bytes of their texts, then of a hash of them, and may lie in several partitions, so that no id fills one; null ids come first; ids may be of any type; an empty table gives no segments and an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,19 +25,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import map_in_arrow
+from ..session import map_in_arrow, scratch
 from . import codes
-from .common import shared_folder, table
+from .common import small_side, table
 from .tokens import BYTE_BPE, encoder, vocabulary
 
 END_ID = 2
 SEGMENT_IDS = 1 << 20
 #: Pieces in the encoder's table; more of them cost memory and save time.
 PIECES = 500_000
-_SEGMENT = pa.schema(
-    [("part", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary())]
-)
-_SEGMENT_DDL = "part int, segment int, before long, n_tokens long, doc_ids array<long>, lengths array<long>, codes binary"
+#: Bytes of a row group of the table of segments.
+ROW_GROUP = 4 << 20
 
 
 def write_tokens(docs: DataFrame, path: str, vocab: str | None = None, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -53,10 +51,12 @@ def write_tokens(docs: DataFrame, path: str, vocab: str | None = None, end_id: i
 
         def flush() -> pa.RecordBatch:
             blob = codes.encode(np.frombuffer(b"".join(held), "<u4"))
-            row = [part], [segment], [before], [n], [ids], [lengths], [blob]
-            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _SEGMENT)], schema=_SEGMENT)
+            row = {"part": (part, pa.int32()), "segment": (segment, pa.int32()), "before": (before, pa.int64()), "n_tokens": (n, pa.int64())}
+            row |= {"doc_ids": (ids, pa.list_(kind)), "lengths": (lengths, pa.list_(pa.int64())), "codes": (blob, pa.binary())}
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in row.values()], list(row))
 
         for batch in batches:
+            kind = batch.schema.field("doc_id").type
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 if text.is_valid:
                     held.append(encode(text.as_buffer().to_pybytes()))
@@ -72,18 +72,22 @@ def write_tokens(docs: DataFrame, path: str, vocab: str | None = None, end_id: i
         if n:
             yield flush()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    map_in_arrow(rows, run, _SEGMENT_DDL).write.parquet(f"{path}/segments")
-    ends = docs.sparkSession.read.parquet(f"{path}/segments").groupBy("part").agg(F.max(F.col("before") + F.col("n_tokens")).alias("n_tokens"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.substring(text.cast("binary"), 1, 16).alias("first"), F.xxhash64(text).alias("mark"), F.monotonically_increasing_id().alias("row"), text.cast("binary").alias("text"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    place = ("doc_id", "first", "mark", "row")
+    rows = rows.repartitionByRange(*place).sortWithinPartitions(*place)
+    ddl = f"part int, segment int, before long, n_tokens long, doc_ids array<{id_type}>, lengths array<long>, codes binary"
+    map_in_arrow(rows.select("doc_id", "text"), run, ddl).write.option("parquet.block.size", ROW_GROUP).parquet(f"{path}/segments")
+    ends = docs.sparkSession.read.parquet(f"{path}/segments").groupBy("part").agg(F.max(F.col("before") + F.col("n_tokens")).alias("n_tokens"), F.max("n_tokens").alias("longest"))
     start = F.sum("n_tokens").over(Window.orderBy("part")) - F.col("n_tokens")  # one row a partition
-    ends.select("part", start.alias("start")).coalesce(1).write.parquet(f"{path}/parts")
+    ends.select("part", start.alias("start"), "n_tokens", "longest").coalesce(1).write.parquet(f"{path}/parts")
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
     """The segments with start, the ids of the corpus before each."""
-    parts = spark.read.parquet(f"{path}/parts")  # one short row for each of the writer's partitions
-    found = spark.read.parquet(f"{path}/segments").join(F.broadcast(parts), "part")
+    parts = spark.read.parquet(f"{path}/parts").select("part", "start")  # one short row for each of the writer's partitions
+    found = spark.read.parquet(f"{path}/segments").join(small_side(parts), "part")
     return found.withColumn("start", F.col("start") + F.col("before"))
 
 
@@ -107,18 +111,36 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     }
                 )
 
-    return map_in_arrow(segments(spark, path).select("doc_ids", "lengths", "start", "codes"), run, "doc_id long, start long, n_tokens long, ids binary")
+    rows = segments(spark, path).select("doc_ids", "lengths", "start", "codes")
+    id_type = rows.schema["doc_ids"].dataType.elementType.simpleString()
+    return map_in_arrow(rows, run, f"doc_id {id_type}, start long, n_tokens long, ids binary")
 
 
-def token_at(spark: SparkSession, path: str, position: int) -> int:
-    """The id at a position of the whole corpus: one segment is fetched, a few bytes of it are read."""
-    row = segments(spark, path).where((F.col("start") <= position) & (F.col("start") + F.col("n_tokens") > position)).select("start", "codes").first()
-    if row is None:
+def segment_of(spark: SparkSession, path: str, position: int) -> tuple[DataFrame, int]:
+    """The segments that may hold the id at a position of the whole corpus (its own, rarely others), and the position within their partition."""
+    part = spark.read.parquet(f"{path}/parts").where(F.col("start") <= position).orderBy(F.col("start").desc()).first() if position >= 0 else None
+    if part is None or position - part["start"] >= part["n_tokens"]:
         raise IndexError(position)
-    return codes.Segment(row["codes"])[position - row["start"]]
+    at = position - part["start"]
+    near = (F.col("part") == part["part"]) & (F.col("before") <= at) & (F.col("before") > at - part["longest"])
+    return spark.read.parquet(f"{path}/segments").where(near).select("before", "codes"), at
+
+
+def token_at(spark: SparkSession, path: str, position: int) -> int:
+    """The id at a position of the whole corpus: a few bytes of one segment are looked at, and only the id reaches the driver."""
+    rows, at = segment_of(spark, path, position)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for before, data in zip(batch.column("before").to_pylist(), batch.column("codes")):
+                found = codes.Segment(data.as_buffer())
+                if before <= at < before + len(found):
+                    yield pa.RecordBatch.from_pydict({"id": pa.array([found[at - before]], pa.int64())})
+
+    return map_in_arrow(rows, run, "id long").first()["id"]
 
 
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    path = scratch(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path)
     return read_documents(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

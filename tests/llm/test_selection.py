@@ -47,11 +47,18 @@ def test_host_verdicts(spark):
 
 def test_a_small_host_is_shrunk_towards_the_others(spark):
     good = " ".join(f"w{i}" for i in range(60))
-    found = [(i, good if i % 10 else "bad " * 60, "en", f"h{i % 20}", 1) for i in range(2000)] + [(5000, "bad " * 60, "en", "small", 1), (5001, good, "en", "small", 1)]
+    found = [(i, good if i % 9 else "bad " * 60, "en", f"h{i % 20}", 1) for i in range(1980)] + [(5000, "bad " * 60, "en", "small", 1), (5001, good, "en", "small", 1)]
     got = {r["host"]: r for r in quality_rules.host_verdicts(quality_rules.measures(table(spark, found))).collect()}
     assert got["small"]["base_failed_rate"] < 0.5 and got["small"]["host_kept"]
 
 
+def test_a_host_that_is_twice_as_bad_goes(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    found = [(i, good if i % 19 else "bad " * 60, "en", f"h{i % 20}", 1) for i in range(1900)] + [(5000 + i, good if i % 3 else "bad " * 60, "en", "third", 1) for i in range(90)]
+    got = quality_rules.apply_rules(table(spark, found)).groupBy("host").agg(F.max("kept").alias("kept")).collect()
+    assert {r["host"] for r in got if not r["kept"]} == {"third"}
+
+
 def brute_targets(sizes, weights=(1, 2, 3), epochs=3):
     """Exact water-filling, dealing out what is above the caps by weight until nothing is."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))

@@ -60,12 +60,38 @@ def test_token_files(spark, tmp_path):
     assert token_output.segments(spark, path).count() > 3
     for at in (0, 299, 300, len(stream) // 2, len(stream) - 1):
         assert token_output.token_at(spark, path, at) == stream[at]
-    with pytest.raises(IndexError):
-        token_output.token_at(spark, path, len(stream))
+    for at in (-1, len(stream)):
+        with pytest.raises(IndexError):
+            token_output.token_at(spark, path, at)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = token_output.segment_of(spark, path, 300)[0]._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :]
+    assert all(x in pushed for x in ("EqualTo(part,", "LessThanOrEqual(before,", "GreaterThan(before,"))
     token_output.write_tokens(docs.limit(0), str(tmp_path / "none"))
     assert token_output.read_documents(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_one_id_fills_no_partition(spark, tmp_path):
+    """Rows that are all alike are dealt out too."""
+    docs = spark.createDataFrame([(None, "one two three")] * 400, "doc_id string, text string").repartition(3)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # so few rows would be put together again
+    spark.conf.set(key, "false")
+    token_output.write_tokens(docs, str(tmp_path / "t"))
+    spark.conf.unset(key)
+    parts = spark.read.parquet(str(tmp_path / "t" / "parts")).collect()
+    assert len(parts) > 2 and max(p["n_tokens"] for p in parts) < 0.6 * sum(p["n_tokens"] for p in parts)
+    got = token_output.read_documents(spark, str(tmp_path / "t")).collect()
+    assert sorted(r["start"] for r in got) == list(range(0, 400 * got[0]["n_tokens"], got[0]["n_tokens"])) and {r["doc_id"] for r in got} == {None}
+
+
+def test_ids_of_any_type(spark, tmp_path):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "z")], "doc_id string, text string")
+    token_output.write_tokens(docs, str(tmp_path / "t"))
+    assert [r["doc_id"] for r in token_output.read_documents(spark, str(tmp_path / "t")).orderBy("start").collect()] == ["a", "b"]
+    assert sorted({r["doc_id"] for r in packing.pack(docs).collect()}) == ["a", "b"]
+
+
 def checked_pieces(found, pieces, size=2048):
     want = direct(WORD_BPE)
     left = {}
@@ -104,8 +130,19 @@ def test_balance():
     full, left = packing.balance(items)
     assert all(sum(x[2] for x in s) == 2048 for s in full) and sum(x[2] for x in left) < 2048
     costs = [sum(packing.cost(x[2]) for x in s) for s in full]
-    naive = sorted(packing.cost(x[2]) for x in items)
-    assert max(costs) <= packing.cost(2048) and naive
+    assert max(costs) <= packing.cost(2048)
+    # first fit, the other way of filling as few sequences, spreads the costs more
+    items = [(i, 0, r.randint(20, 700)) for i in range(1200)]
+    costs = [sum(packing.cost(x[2]) for x in s) for s in packing.balance(items)[0]]
+    room, fitted = [], []
+    for x in sorted(items, key=lambda x: -x[2]):
+        k = next((i for i, free in enumerate(room) if free >= x[2]), len(room))
+        if k == len(room):
+            room.append(2048)
+            fitted.append(0.0)
+        room[k] -= x[2]
+        fitted[k] += packing.cost(x[2])
+    assert np.std(costs) < 0.1 * np.std([c for c, free in zip(fitted, room) if free < 100])
     assert packing.balance([(0, 0, 5)]) == ([], [(0, 0, 5)]) and packing.remainder([]) == []
     assert [sum(x[2] for x in s) for s in packing.remainder([(0, 0, 700), (1, 0, 300)])] == [512, 256, 128, 64, 32, 8]
 
