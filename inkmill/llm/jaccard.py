@@ -1,11 +1,12 @@
-"""Sets of word shingles, and the exact links between those whose Jaccard similarity is high enough, within given groups of candidates.
+"""Sets of word shingles, and the groups that exact links between those of high Jaccard similarity make, within given groups of candidates.
 
 A text is lower-cased (A-Z alone), split into words at ASCII white space and turned into the set of the XXH64 hashes of its
 shingles. Each candidate's set is sent once to one place, and a walk there takes one set at a time, links what is similar by exact intersection and
 leaves it out of further comparisons, so a crowd of near copies costs about one comparison and one link each.
 
 Bounds: equal sets are searched once. Candidates of more than CHUNK hashes are cut into chunks, and each pair of chunks is a
-group of its own, so no task holds more than that (or one text) at once and nothing is capped.
+group of its own, so no task holds more than that (or one text) at once and nothing is capped. Only what these pairs link needs components over
+all tasks; candidates that one task holds are grouped there.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import map_in_arrow
 from .common import LOWER, small_side, staged, word_pieces
+from .components import components
 
 CHUNK = 1 << 20
 
@@ -69,12 +71,25 @@ def _walk(nodes: np.ndarray, sets: list[np.ndarray], least: Fraction) -> tuple[l
     return left, right
 
 
-def _linker(least: Fraction):
-    """Input: rows grp, node, hashes, where the rows of a grp follow each other. Output: links a, b."""
+def _own_groups(members: dict, least: Fraction) -> pa.RecordBatch:
+    """node, root of what links within these members connect: root is the smallest node."""
+    a, b = _walk(np.fromiter(members, np.int64, len(members)), [np.frombuffer(x, np.uint64) for x in members.values()], least)
+    root = {}
+    for x, y in zip(a, b):  # a link's left end comes before as a right end, unless it begins a group
+        root[y] = root.setdefault(x, x)
+    smallest = {}
+    for node, r in root.items():
+        smallest[r] = min(smallest.get(r, node), node)
+    return pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x in root], pa.int64()), "b": pa.array([int(smallest[r]) for r in root.values()], pa.int64())})
 
-    def links(members: dict) -> pa.RecordBatch:
-        a, b = _walk(np.fromiter(members, np.int64, len(members)), [np.frombuffer(x, np.uint64) for x in members.values()], least)
-        return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+def _own_links(members: dict, least: Fraction) -> pa.RecordBatch:
+    a, b = _walk(np.fromiter(members, np.int64, len(members)), [np.frombuffer(x, np.uint64) for x in members.values()], least)
+    return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _by_group(made, least: Fraction):
+    """Input: rows grp, node, hashes, where the rows of a grp follow each other. Output: made of each group with several nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, members = None, {}
@@ -82,20 +97,21 @@ def _linker(least: Fraction):
             for grp, node, hashes in zip(batch.column("grp").to_pylist(), batch.column("node").to_pylist(), batch.column("hashes")):
                 if grp != now:
                     if len(members) > 1:
-                        yield links(members)
+                        yield made(members, least)
                     now, members = grp, {}
                 members.setdefault(node, hashes.as_py())
         if len(members) > 1:
-            yield links(members)
+            yield made(members, least)
 
     return run
 
 
-def links(docs: DataFrame, found: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """found: root (of a group of candidates), node (of a set), n (its size), mark (xxhash64 of a text that has it). Links a, b between nodes that
-    connect what all links of similar sets within groups connect."""
-    sizes = found.groupBy("root").agg(F.ceil(F.sum("n") / (CHUNK // 2)).cast("int").alias("chunks"), (F.sum("n") > CHUNK).alias("hot"))
-    found = staged(found.join(staged(sizes), "root").select("root", "node", "mark", "chunks", "hot"))
+def groups(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """nodes: root (of a group of candidates), node (of a set), n (its size), mark (xxhash64 of a text that has it). node, root for
+    each node that is linked to others: the smallest node that links of similar sets within its candidates reach."""
+    sizes = nodes.groupBy("root").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where("k > 1")
+    sizes = staged(sizes.select("root", F.ceil(F.col("n") / (CHUNK // 2)).cast("int").alias("chunks"), (F.col("n") > CHUNK).alias("hot")))
+    found = staged(nodes.select("root", "node", "mark").join(small_side(sizes), "root"))
     text = F.col(text_col).cast("string")
     texts = docs.select(F.xxhash64(text).alias("mark"), text.cast("binary").alias("text")).join(small_side(found), "mark")
 
@@ -106,12 +122,18 @@ def links(docs: DataFrame, found: DataFrame, text_col: str, shingle: int, simila
             yield pa.RecordBatch.from_pydict(kept | {"hashes": made})
 
     sets = map_in_arrow(texts.select("root", "node", "chunks", "hot", "text"), run, "root long, node long, chunks int, hot boolean, hashes binary")
-    if found.where("hot").limit(1).count():
+    least = Fraction(str(similarity))
+
+    def dealt(rows: DataFrame, made) -> DataFrame:
+        return map_in_arrow(rows.repartition("grp").sortWithinPartitions("grp"), _by_group(made, least), "a long, b long")
+
+    crowded = sizes.where("hot").limit(1).count() > 0
+    if crowded:
         sets = staged(sets)
-        mine = F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int")
-        hot = sets.where("hot").select("root", "node", "hashes", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"))
-        pairs = hot.select(F.xxhash64("root", F.least("i", "j"), F.greatest("i", "j")).alias("grp"), "node", "hashes")
-        out = sets.where("not hot").select(F.col("root").alias("grp"), "node", "hashes").union(pairs)
-    else:
-        out = sets.select(F.col("root").alias("grp"), "node", "hashes")
-    return map_in_arrow(out.repartition("grp").sortWithinPartitions("grp"), _linker(Fraction(str(similarity))), "a long, b long").distinct()
+    own = dealt(sets.where("not hot").select(F.col("root").alias("grp"), "node", "hashes"), _own_groups).toDF("node", "root")
+    if not crowded:
+        return own
+    mine = F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int")
+    hot = sets.where("hot").select("root", "node", "hashes", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"))
+    pairs = hot.select(F.xxhash64("root", F.least("i", "j"), F.greatest("i", "j")).alias("grp"), "node", "hashes")
+    return own.union(components(dealt(pairs, _own_links).distinct()))

@@ -305,9 +305,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = staged(nodes.select("node", "x.mark", "x.n", "x.fp", "wide"))
     roots = staged(components(candidate_links(nodes, similarity)))
     found = nodes.drop("wide").join(small_side(roots.withColumnRenamed("node", "fp")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    several = staged(found.groupBy("root").agg(F.count("*").alias("k")).where("k > 1"))
-    found = staged(found.join(small_side(several), "root", "left_semi"))
-    linked = staged(components(jaccard.links(docs, found, text_col, shingle, similarity)))
+    linked = staged(jaccard.groups(docs, found, text_col, shingle, similarity))
     grouped = prints.drop("wide").join(small_side(linked), "node", "left").withColumn("group", F.coalesce("root", "node"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("b")
     stays = grouped.groupBy("group").agg(best).select("b.mark", "b.doc_id")
