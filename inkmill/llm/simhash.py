@@ -124,13 +124,13 @@ def _walk(fps: np.ndarray, distance: int) -> tuple[list, list]:
     """Links that connect what the links within distance connect among fps: one for each fingerprint but the first of a group."""
     left, right, rest = [], [], fps
     while len(rest):
-        todo, rest = [rest[0]], rest[1:]
+        first, todo, rest = rest[0], [rest[0]], rest[1:]
         while todo and len(rest):
             at = todo.pop()
             near = np.bitwise_count(rest ^ at) <= distance
             if near.any():
                 hit = rest[near]
-                left.append(np.full(len(hit), at, np.uint64))
+                left.append(np.full(len(hit), first, np.uint64))  # any link will do that connects the same, and the smallest come again in other blocks
                 right.append(hit)
                 todo.extend(hit)
                 rest = rest[~near]
@@ -295,7 +295,11 @@ def candidate_links(nodes: DataFrame, similarity: float) -> DataFrame:
         hot = rows.join(side, "grp").select("grp", "fp", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"))
         hot = hot.select(F.xxhash64("grp", F.least("i", "j"), F.greatest("i", "j")).alias("grp"), "fp")
         rows = rows.join(side, "grp", "left_anti").union(hot)
-    return map_in_arrow(rows.repartition("grp").sortWithinPartitions("grp", "fp"), _linker(wide_distance(similarity)), "a long, b long").distinct()
+    found = map_in_arrow(rows.repartition("grp").sortWithinPartitions("grp", "fp"), _linker(wide_distance(similarity)), "a long, b long")
+    # near copies meet in many blocks: each keeps its link to the smallest it met, and the others it met are linked to that one
+    met = found.groupBy("b").agg(F.collect_set("a").alias("met"))  # a few for each block
+    met = met.select("b", "met", F.array_min("met").alias("a"))
+    return met.select("a", F.explode(F.array_append("met", F.col("b"))).alias("b")).where("a <> b").distinct()
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
