@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in sequences of at most 2048 token ids."""
-    return packing.pack(docs)
+    return packing.pack(docs, table_size=100_000)  # the workers that serve all stages keep this table
 
 
 STAGES = [
