@@ -12,7 +12,7 @@ Memory: one segment a task, and the ids of the longest document. Nothing but the
 brought together.
 
 Edge cases: null counts as the empty text and has the end id alone; rows with the same id follow each other in the order
-of the first 16 bytes of their texts, then of a hash of them, and may lie in several partitions, so that no id fills one; null ids come first; ids may be of any type; an empty table gives no segments and an empty result; other columns are ignored.
+of their texts, but may lie in several partitions, so that no id fills one: then those of each partition do, and partitions follow the order of the input; null ids come first; ids may be of any type; an empty table gives no segments and an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -73,10 +73,9 @@ def write_tokens(docs: DataFrame, path: str, vocab: str | None = None, end_id: i
             yield flush()
 
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.substring(text.cast("binary"), 1, 16).alias("first"), F.xxhash64(text).alias("mark"), F.monotonically_increasing_id().alias("row"), text.cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), text.cast("binary").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    place = ("doc_id", "first", "mark", "row")
-    rows = rows.repartitionByRange(*place).sortWithinPartitions(*place)
+    rows = rows.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "text", "row")  # bounds of ranges are found without reading texts
     ddl = f"part int, segment int, before long, n_tokens long, doc_ids array<{id_type}>, lengths array<long>, codes binary"
     map_in_arrow(rows.select("doc_id", "text"), run, ddl).write.option("parquet.block.size", ROW_GROUP).parquet(f"{path}/segments")
     ends = docs.sparkSession.read.parquet(f"{path}/segments").groupBy("part").agg(F.max(F.col("before") + F.col("n_tokens")).alias("n_tokens"), F.max("n_tokens").alias("longest"))
