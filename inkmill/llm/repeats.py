@@ -170,7 +170,7 @@ def load(data, *widths: int) -> list[np.ndarray]:
     return out
 
 
-#: Bytes of an anchor's hash that are sent, besides those that chose its share.
+#: Bytes of an anchor's hash that are sent.
 HASH_BYTES = 5
 #: The columns of a row of keys: hash, document's number in the run, position, times it occurs in the run (65535 stands for more).
 _KEY_WIDTHS = (HASH_BYTES, 4, 4, 2)
@@ -184,8 +184,8 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def share_of(hashes: np.ndarray, shares: int) -> np.ndarray:
-    """Ascending with the hash."""
-    return ((hashes >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
+    """The share of each hash. Hashed once more, as those of minimisers are small numbers."""
+    return ((mixed(hashes ^ _MIX) >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
 
 
 def _anchor_rows(scheme: Scheme, shares: int):
@@ -213,6 +213,8 @@ def _anchor_rows(scheme: Scheme, shares: int):
                 (home, number, _REPEATS, dump(name[again], pos[again], name[by], pos[by])),
             ]
             share = share_of(k[lead], shares)
+            order = np.argsort(share, kind="stable")
+            share, lead, times = share[order], lead[order], times[order]
             found, start = np.unique(share, return_index=True)
             for s, i, j in zip(found.tolist(), start, np.append(start[1:], len(lead))):
                 at = lead[i:j]

@@ -197,8 +197,10 @@ def _suffix_rows(s: MinimiserScheme, shares: int):
                 head = _rows(doc[again], d[again], pos[again], h1[again], h2[again], many[again])
                 rows.append(((part + 7919 * count) % shares, _DONE, head, np.concatenate((left[again], right[again]), axis=1).tobytes()))
             lead = np.flatnonzero(lead)
-            lead = lead[np.argsort(h1[lead], kind="stable")]
-            found, start = np.unique(repeats.share_of(h1[lead], shares), return_index=True)
+            share = repeats.share_of(h1[lead], shares)
+            order = np.argsort(share, kind="stable")
+            lead = lead[order]
+            found, start = np.unique(share[order], return_index=True)
             for share, i, j in zip(found.tolist(), start, np.append(start[1:], len(lead))):
                 at = lead[i:j]
                 rows.append((share, _SENT, _rows(doc[at], d[at], pos[at], h1[at], h2[at], many[at]), np.concatenate((left[at], right[at]), axis=1).tobytes()))

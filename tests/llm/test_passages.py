@@ -82,6 +82,15 @@ def test_many_batches_and_runs(spark, small_batches, monkeypatch):
         assert listed(got, "doc_id", "n_words", "n_removed", "n_shared") == sorted(((r[0], r[1], r[2], r[4]) for r in want), key=repr)
 
 
+def test_shares_are_even():
+    """Also those of minimisers, whose hashes are the least of many."""
+    r = np.random.default_rng(2)
+    s = suffix_array.scheme()
+    grams = s.anchors(r.integers(0, 1 << 63, 40_000, dtype=np.uint64))[1]
+    sizes = np.bincount(repeats.share_of(grams, 8).astype(int), minlength=8)
+    assert sizes.max() < 1.3 * sizes.mean()
+
+
 def test_two_orders_of_suffixes():
     """Windows around equal beginnings, by the two orders and pair by pair."""
     r = np.random.default_rng(5)
