@@ -20,7 +20,8 @@ Bounds: copies share one fingerprint and are searched once. A group is read in s
 fingerprints all pairs are compared; above, a walk takes one fingerprint at a time, links what is near and leaves it out of
 further comparisons, so a crowd of near copies costs about one comparison and one link each, never all its
 pairs. Groups above 4096 fingerprints are cut into chunks, and each pair of chunks is a group of its own, so no
-task holds more than that at once and nothing is capped. Components come from links alone (components.py).
+task holds more than that at once and nothing is capped. Where chunks would repeat each fingerprint more than C(8, 4) = 70 times, near_groups first splits the group by
+all choices of 4 of 8 blocks, again without missing a pair, and only what is crowded still is cut into chunks. Components come from links alone (components.py).
 
 Edge cases: null, empty and blank texts have fingerprint 0; near_groups links them like any other, in near_dedup they are one group, linked to nothing else. Under
 four (five) words the whole sequence is the one shingle; very long texts are hashed in pieces of a megabyte; rows with the same id
@@ -50,6 +51,8 @@ DISTANCE = 4
 SEED = 42
 ALL_PAIRS = 16
 CHUNK = 4096
+#: Blocks of the tables that the most crowded groups get of their own.
+FINER = 8
 WIDE = 16
 #: Of a pair at the threshold, to share no block.
 MISS = 0.005
@@ -100,14 +103,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_in_arrow(source, run, schema)
 
 
+def tables_of(k: int) -> list[int]:
+    """The masks of the tables of k blocks, as signed longs: every choice of k - 4 of them."""
+    edges = [64 * i // k for i in range(k + 1)]
+    blocks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(edges, edges[1:])]
+    return [_signed(sum(blocks[i] for i in chosen)) for chosen in combinations(range(k), k - DISTANCE)]
+
+
 def block_masks(n: int) -> list[int]:
-    """The masks of the tables for n distinct fingerprints, as signed longs: every choice of k - 4 of k blocks."""
+    """The masks of the tables for n distinct fingerprints."""
     k = DISTANCE + 2
     while n > 4 << (64 * (k - DISTANCE) // k):
         k += 1
-    edges = [64 * i // k for i in range(k + 1)]
-    blocks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(edges, edges[1:])]
-    return [_signed(sum(blocks[i] for i in chosen)) for chosen in combinations(range(k), k - DISTANCE)]
+    return tables_of(k)
 
 
 def _near_pairs(fps: np.ndarray, runs: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -186,9 +194,16 @@ def links(fps: DataFrame, n: int) -> DataFrame:
     one = met.where("not hot").select(F.xxhash64("t", "key").alias("grp"), "fp")
     out = one
     if crowded.where("hot").limit(1).count():
+        finer = tables_of(FINER)
+        hot = met.where("hot").select(F.xxhash64("t", "key").alias("grp"), "fp", "chunks")
+        split = F.posexplode(F.transform(F.array(*(F.lit(m) for m in finer)), lambda m: F.col("fp").bitwiseAND(m))).alias("t", "key")
+        most = hot.where(F.col("chunks") > len(finer)).select("grp", "fp", split).select(F.xxhash64("grp", "t", "key").alias("grp"), "fp")
+        sizes = staged(most.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > 1))
+        sizes = sizes.select("grp", F.when(F.col("n") > CHUNK, F.ceil(F.col("n") / (CHUNK // 2))).otherwise(1).cast("int").alias("chunks"))
+        hot = hot.where(F.col("chunks") <= len(finer)).unionByName(most.join(sizes, "grp"))
         mine = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("chunks")).cast("int")
-        hot = met.where("hot").select("t", "key", "fp", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"))
-        out = one.union(hot.select(F.xxhash64("t", "key", F.least("i", "j"), F.greatest("i", "j")).alias("grp"), "fp"))
+        hot = hot.select("grp", "fp", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"))
+        out = one.union(hot.select(F.xxhash64("grp", F.least("i", "j"), F.greatest("i", "j")).alias("grp"), "fp"))
     return map_in_arrow(out.repartition("grp").sortWithinPartitions("grp", "fp"), _linker(DISTANCE), "a long, b long").distinct()
 
 

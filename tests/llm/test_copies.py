@@ -104,11 +104,12 @@ def test_near_groups(spark, found):
     assert listed(got) == sorted(((d, f"{f:016x}", c) for d, f, c in zip(ids, fps, brute_components(ids, fps))), key=repr)
 
 
-@pytest.mark.parametrize("all_pairs, chunk", [(16, 4096), (4, 4096), (2, 8)])
-def test_crowds_of_near_copies(spark, monkeypatch, all_pairs, chunk):
+@pytest.mark.parametrize("all_pairs, chunk, finer", [(16, 4096, 8), (4, 4096, 8), (2, 8, 8), (2, 8, 5), (2, 4, 6)])
+def test_crowds_of_near_copies(spark, monkeypatch, all_pairs, chunk, finer):
     """Fingerprints around a few centres, up to 6 bits off, and chains of steps of 4 bits, in every way of searching a group."""
     monkeypatch.setattr(simhash, "ALL_PAIRS", all_pairs)
     monkeypatch.setattr(simhash, "CHUNK", chunk)
+    monkeypatch.setattr(simhash, "FINER", finer)
     r = np.random.default_rng(5)
     fps = set()
     for centre in r.integers(0, 1 << 64, 3, dtype=np.uint64).tolist():
