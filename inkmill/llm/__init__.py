@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, ordinal, packing, quality_rules, simhash, substring_dedup, suffix_array, token_output
+from . import clicks, exact_dedup, language, lexical, main_text, mixing, ordinal, packing, quality_rules, simhash, substring_dedup, suffix_array, token_output
 
 
 def queries() -> dict:
@@ -18,6 +18,9 @@ def queries() -> dict:
         "op8_packing": packing.op8_packing,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_ordinal": ordinal.op10_ordinal,
+        "op11_main_text": main_text.op11_main_text,
+        "op12_clicks": clicks.op12_clicks,
+        "op13_lexical": lexical.op13_lexical,
     }
 
 
@@ -29,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_substring_dedup": substring_dedup.OP6_SQL,
         "op7_mixing": mixing.OP7_SQL,
         "op9_exact_dedup": exact_dedup.OP9_SQL,
+        "op13_lexical": lexical.OP13_SQL,
     }
