@@ -3,16 +3,17 @@
 A click's repeats come again under its click_id, late and out of order. The first of them opens a window, which takes all that are at most WINDOW hours later, tells how many
 came and which differ from it, and closes when the stream is so far on that no more can come.
 
-The stream is applyInPandasWithState with EventTimeTimeout. Its watermark lies LATENESS hours behind the largest hour seen. Spark drops what is behind it, keeps it in the checkpoint, so that a query
-that is started anew goes on where the last one was, and wakes up the states whose deadline it has passed: they emit their windows. An hour's second is taken from the delay, so that rows
-and deadlines exactly at the bound are on its right side. In each micro-batch what came in several chunks is folded in the order of hour and hash.
+The stream is applyInPandasWithState with EventTimeTimeout. Its watermark lies LATENESS hours behind the largest hour that earlier micro-batches saw. Spark keeps it in the checkpoint, so that a query
+that is started anew goes on where the last one was, and wakes up the states whose deadline it has passed: they emit their windows. What comes behind the watermark is dropped. A second is added to the
+delay, so that rows and deadlines exactly at the bound are on its right side. In each micro-batch what came in several chunks is folded in the order of hour and hash.
 
 State: click_ids are dealt by hash into groups, and a group's state is one packed table of its open windows (click_id, start, repeats, conflicts, sum of checksums, hash: 72 bytes each); its timeout is
 the earliest deadline among them. With groups=None every click_id has a state of its own. The results are the same (tests compare them); but each call of the Python
 function costs some 0.4 ms however small its group, and a click comes two times on average. README has the figures.
 
 run_batches() plays a table as a stream: rows are copied, put into batches by a delay, written once, a folder a batch, and for each batch the query is started anew
-on the same checkpoint and reads that batch's folder. At the end a sentinel row far ahead lets the watermark pass every deadline.
+on the same checkpoint and reads that batch's folder. A deadline that a batch's rows pass is seen when the next one starts, and its window says after which batch it closed; micro-batches without data,
+which would see it earlier, are switched off, as each costs as much as one with data. At the end a sentinel row far ahead lets the watermark pass every deadline.
 
 Bounds: a call holds the rows of a group of about ROWS_A_GROUP rows a batch. A click_id that has more than CROWDED rows comes reduced: only what may open a window (the least hash of one of
 its hours, wherever it comes) is kept apart, with its number; of all others, which can only be conflicts, one row an hour goes on with their number and the sum of their checksums. So a click_id's rows in a batch are
@@ -25,6 +26,7 @@ props are empty in the hash, NaN counts as 0 there; equal rows are repeats; a ba
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -53,46 +55,46 @@ def _hashes(packed: np.ndarray) -> list[bytes]:
     return [x.ljust(32, b"\0") for x in packed["hash"].tolist()]  # numpy takes zeros from the end
 
 
-def folder_of(window: int, closed_batch: int, first_hour: int):
-    """The function of a group's rows and state. first_hour: the hour that ORIGIN stands for."""
+def folder_of(window: int, batch: int, before: int, last: int, flush: int, first_hour: int):
+    """The function of a group's rows and state. batch: the number of the batch at hand; before: that of the one before; last: of the last, after which all close: from
+    the watermark flush (in milliseconds) on. first_hour: the hour that ORIGIN stands for."""
 
     def told(closed: list) -> pd.DataFrame:
-        ids, starts, repeats, conflicts, crcs, hashes = zip(*closed)
-        made = {"click_id": ids, "start_hour": [s + first_hour - ORIGIN for s in starts], "closed_batch": [closed_batch] * len(ids), "n_repeats": repeats, "n_conflicts": conflicts, "conflict_crc": crcs}
+        batches, found = zip(*closed)
+        ids, starts, repeats, conflicts, crcs, hashes = zip(*found)
+        made = {"click_id": ids, "start_hour": [s + first_hour - ORIGIN for s in starts], "closed_batch": batches, "n_repeats": repeats, "n_conflicts": conflicts, "conflict_crc": crcs}
         return pd.DataFrame({c: np.array(v, np.int64) for c, v in made.items()} | {"hash": pd.Series([h.hex() for h in hashes], dtype=object)})
 
     def fold(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        mark = state.getCurrentWatermarkMs()
         opened: dict[int, list] = {}
         if state.exists:
             packed = np.frombuffer(state.get[0], _STATE)
             columns = [packed[c].tolist() for c in ("click_id", "start", "repeats", "conflicts", "crc")]
             opened = {x[0]: list(x) for x in zip(*columns, _hashes(packed))}
-        closed = []
-        if state.hasTimedOut:
-            mark = state.getCurrentWatermarkMs()
-            closed = [w for w in opened.values() if (w[1] + window) * HOUR < mark]
-            for w in closed:
-                del opened[w[0]]
-        else:
-            rows: dict[tuple, list] = {}  # equal rows are one
-            for chunk in chunks:
-                chunk = chunk[chunk["click_id"].notna()]  # all but the sentinel, which is alone
-                hours = (chunk["at"].to_numpy("datetime64[ms]").astype(np.int64) // HOUR).tolist()
-                for click_id, hour, digest, n, crc in zip(chunk["click_id"].tolist(), hours, chunk["hash"].tolist(), chunk["n"].tolist(), chunk["crc"].tolist()):
-                    had = rows.setdefault((click_id, hour, digest is None, digest), [0, 0])
+        closed = [(last if mark >= flush else before, w) for w in opened.values() if (w[1] + window) * HOUR < mark]
+        for _, w in closed:
+            del opened[w[0]]
+        rows: dict[tuple, list] = {}  # equal rows are one
+        for chunk in () if state.hasTimedOut else chunks:
+            chunk = chunk[chunk["click_id"].notna()]  # all but the sentinel, which is alone
+            times = chunk["at"].to_numpy("datetime64[ms]").astype(np.int64).tolist()
+            for click_id, at, digest, n, crc in zip(chunk["click_id"].tolist(), times, chunk["hash"].tolist(), chunk["n"].tolist(), chunk["crc"].tolist()):
+                if at > mark:
+                    had = rows.setdefault((click_id, at // HOUR, digest is None, digest), [0, 0])
                     had[0] += n
                     had[1] += crc
-            for (click_id, hour, _, digest), (n, crc) in sorted(rows.items()):
-                w = opened.get(click_id)
-                if w is None or hour > w[1] + window:
-                    if w is not None:
-                        closed.append(w)
-                    opened[click_id] = [click_id, hour, n - 1, 0, 0, digest]  # the first of an hour has a hash
-                    continue
-                w[2] += n
-                if digest != w[5]:
-                    w[3] += n
-                    w[4] += crc
+        for (click_id, hour, _, digest), (n, crc) in sorted(rows.items()):
+            w = opened.get(click_id)
+            if w is None or hour > w[1] + window:
+                if w is not None:
+                    closed.append((batch, w))
+                opened[click_id] = [click_id, hour, n - 1, 0, 0, digest]  # the first of an hour has a hash
+                continue
+            w[2] += n
+            if digest != w[5]:
+                w[3] += n
+                w[4] += crc
         if opened:
             state.update((np.array([tuple(w) for w in opened.values()], _STATE).tobytes(),))
             state.setTimeoutTimestamp((min(w[1] for w in opened.values()) + window) * HOUR)
@@ -104,11 +106,11 @@ def folder_of(window: int, closed_batch: int, first_hour: int):
     return fold
 
 
-def windows(rows: DataFrame, closed_batch: int, first_hour: int, window: int = WINDOW, lateness: int = LATENESS) -> DataFrame:
-    """rows: a stream of grp, click_id, at, hash, n, crc. The windows that close, as a stream."""
+def windows(rows: DataFrame, fold, lateness: int = LATENESS) -> DataFrame:
+    """rows: a stream of grp, click_id, at, hash, n, crc. The windows that close, as a stream. fold: of folder_of()."""
     ship(rows.sparkSession)
     known = rows.withWatermark("at", f"{lateness * 3600 + 1} seconds")
-    return known.groupBy("grp").applyInPandasWithState(folder_of(window, closed_batch, first_hour), OUT, "windows binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return known.groupBy("grp").applyInPandasWithState(fold, OUT, "windows binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def _hours(ts: Column, kind: str) -> Column:
@@ -176,20 +178,37 @@ def run_batches(spark: SparkSession, clicks: DataFrame, batches: int = BATCHES,
     span = write_batches(spark, clicks, f"{folder}/rows", batches, crowded, groups)
     if span is None:
         return spark.createDataFrame([], OUT)
-    schema = ROW if groups is not None else ROW.replace("grp int", "grp long")
-    end = spark.range(1).select(F.lit(_SENTINEL).alias("grp"), F.lit(None).cast("long").alias("click_id"), F.timestamp_millis(F.lit((span[1] - span[0] + ORIGIN + BEYOND) * HOUR)).alias("at"))
-    end = end.select(F.col("grp").cast(schema.split()[1].rstrip(",")).alias("grp"), "click_id", "at", F.lit(None).cast("binary").alias("hash"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("crc"))
-    end.write.parquet(f"{folder}/rows/batch={batches}")
+    kind = "long" if groups is None else "int"
+    schema, end = ROW.replace("grp int", f"grp {kind}"), (span[1] - span[0] + ORIGIN + BEYOND) * HOUR
+    sentinel = spark.range(1).select(F.lit(_SENTINEL).cast(kind).alias("grp"), F.lit(None).cast("long").alias("click_id"), F.timestamp_millis(F.lit(end)).alias("at"))
+    sentinel = sentinel.select("*", F.lit(None).cast("binary").alias("hash"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("crc"))
+    sentinel.write.parquet(f"{folder}/rows/batch={batches}")
     fs, _ = hadoop_path(spark, folder)
+    before = -1
     for number in range(batches + 1):
         if not fs.exists(hadoop_path(spark, f"{folder}/rows/batch={number}")[1]):
             continue
-        rows = spark.readStream.schema(schema).parquet(f"{folder}/rows/batch={number}")
-        closing = windows(rows, min(number, batches - 1), span[0], window, lateness)
-        query = closing.writeStream.format("parquet").option("path", f"{folder}/windows").option("checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True).start()
+        # braces make it a pattern: on a restart Spark looks at the last batch's files again, which lie elsewhere
+        rows = spark.readStream.schema(schema).parquet(f"{folder}/rows/batch={{{number}}}")
+        fold = folder_of(window, number, before, batches - 1, end - (lateness + 1) * HOUR, span[0])
+        with _without_idle_batches(spark, number < batches):
+            query = windows(rows, fold, lateness).writeStream.format("parquet").option("path", f"{folder}/windows").option("checkpointLocation", f"{folder}/checkpoint")
+            query = query.outputMode("append").trigger(availableNow=True).start()
         query.awaitTermination()
+        before = number
     return spark.read.schema(OUT).parquet(f"{folder}/windows")
 
 
+@contextmanager
+def _without_idle_batches(spark: SparkSession, without: bool) -> Iterator[None]:
+    """Queries that are started meanwhile run no micro-batches without data; a query takes the setting when it starts."""
+    key, had = "spark.sql.streaming.noDataMicroBatches.enabled", spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
+    spark.conf.set(key, str(not without).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set(key, had)
+
+
 def op12_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_batches(spark, table(spark, sf_dir, "clicks"))
