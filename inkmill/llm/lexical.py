@@ -7,10 +7,11 @@ w * (10^9 * tf div (1000 * tf + 20 * m)), w = floor(1000 * ln((2N + 2) / (2df +
 The documents are read once. Every task deals its documents out in blocks of BLOCK and makes a list for each block and term: which documents, how often. Lists go by term and block
 to one place each and are written: the postings. Only terms that a fixed bitmap of the items' terms knows are kept; one that it knows by mistake is in no item.
 
-1. Heads: of each term the K largest parts. Summed by item and document they are lower bounds; the K-th largest of an item's is tau1.
-2. Threshold: an item's terms, T of them, all get the threshold ceil(tau1 / T). A document without a part that reaches it can't reach tau1. Every list's entries that reach the lowest threshold
+1. Heads: of each term the K largest parts. Summed by item and document they are lower bounds; the K-th largest of an item's is tau1. The exact scores of its HEADS * K best documents by heads
+   are looked up: the K-th largest of them, tau, is a better bound.
+2. Threshold: an item's terms, T of them, all get the threshold ceil(tau1 / T) (from tau it would be higher, but leave more open). A document without a part that reaches it can't reach tau1. Every list's entries that reach the lowest threshold
    of a group of items are fetched to the documents' blocks, where each item sums those that reach its own. What a document has not shown is bounded: a part
-   below the threshold, and at most the term's largest. Documents whose upper bound reaches tau1 and the K-th lower bound of their block are candidates, and
+   below the threshold, and at most the term's largest. Documents whose upper bound reaches tau and the K-th lower bound of their block are candidates, and
    of these, all whose upper bound reaches tau2, the K-th lower bound of all.
 3. Look-up: the candidates' parts below the threshold are taken from the lists, and the exact scores ranked.
 
@@ -42,6 +43,7 @@ from .common import LOWER, PIECE, small_side, staged, table
 K = 50
 #: Documents of a block; offsets in it have 16 bits.
 BLOCK = 8192
+HEADS = 4
 #: Items whose lists are fetched together.
 ITEMS = 64
 BITMAP_BITS = 22
@@ -139,7 +141,7 @@ def postings(docs: DataFrame, bitmap: bytes, id_col: str = "doc_id", text_col: s
                     if keep is None:
                         bit = _bit(term)
                         keep = bool(marked[bit >> 3] >> (bit & 7) & 1)
-                        if len(known) < 1 << 20:
+                        if len(known) < 1 << 17:
                             known[term] = keep
                     if keep:
                         one = lists.get(term)
@@ -292,15 +294,26 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id"
     lists = lists.drop("df")
 
     # 1: heads
-    best = F.row_number().over(Window.partitionBy("term").orderBy(F.col("part").desc()))
+    first = lambda by, value: F.row_number().over(Window.partitionBy(by).orderBy(F.col(value).desc()))
     heads = map_in_arrow(lists.join(small_side(terms), "term"), _heads(k, n, length), "term binary, block long, place int, part long")
-    heads = staged(heads.withColumn("r", best).where(F.col("r") <= k).drop("r"))
+    heads = staged(heads.withColumn("r", first("term", "part")).where(F.col("r") <= k).drop("r"))
     lower = asked.select("item", "term").join(heads, "term").groupBy("item", "block", "place").agg(F.sum("part").alias("low"))
+    lower = staged(lower.withColumn("r", first("item", "low")).where(F.col("r") <= HEADS * k))
+    scored = staged(asked.join(terms, "term").select("item", "item_id", "term", "n_terms", "w"))
+
+    def looked_up(near: DataFrame, of: DataFrame) -> DataFrame:
+        """The parts below least, by the terms in of, of the documents near: item, block, place, part."""
+        wanted = near.groupBy("item", "block").agg(F.collect_list("place").alias("places"))  # at most a block's documents
+        wanted = wanted.join(small_side(of.select("item", "term", "w", "least")), "item")
+        return map_in_arrow(wanted.join(lists, ["term", "block"]).drop("term"), _looked_up(n, length), "item long, block long, place int, part long")
+
+    whole = looked_up(lower, staged(scored.withColumn("least", F.lit((1 << 63) - 1)))).groupBy("item", "block", "place").agg(F.sum("part").alias("score"))
+    bounds = _kth(lower, "low", k).withColumnRenamed("tau", "tau1").join(_kth(whole, "score", k), "item")
 
     # 2: one threshold for all lists of an item
     groups = -(-asked.select("item").distinct().count() // ITEMS)
-    uses = asked.join(terms, "term").join(heads.groupBy("term").agg(F.max("part").alias("most")), "term").join(_kth(lower, "low", k), "item", "left")
-    uses = uses.withColumn("tau", F.coalesce("tau", F.lit(0))).withColumn("least", F.greatest(F.expr("(tau + n_terms - 1) div n_terms"), F.lit(1)))
+    uses = scored.join(heads.groupBy("term").agg(F.max("part").alias("most")), "term").join(bounds, "item", "left")
+    uses = uses.withColumn("tau", F.coalesce("tau", F.lit(0))).withColumn("least", F.greatest(F.expr("(coalesce(tau1, 0) + n_terms - 1) div n_terms"), F.lit(1)))
     uses = uses.withColumn("rest", F.sum(F.least(F.col("least") - 1, "most")).over(Window.partitionBy("item")))
     uses = staged(uses.select("item", "item_id", F.pmod(F.xxhash64("item"), F.lit(max(groups, 1))).cast("int").alias("grp"), "term", "w", "most", "tau", "least", "rest"))
     shared = uses.groupBy("term", "grp").agg(F.collect_list(F.struct("item", "least", "tau", "rest")).alias("uses"), F.min("least").alias("lowest"), F.first("w").alias("w"), F.first("most").alias("most"))
@@ -311,16 +324,14 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id"
     dealt = dealt.unionByName(fetched, allowMissingColumns=True).repartition("block", "grp").sortWithinPartitions("block", "grp", "kind")
     kind = docs.select(F.col(id_col).alias("doc_id")).schema["doc_id"].dataType.simpleString()
     near = staged(map_in_arrow(dealt, _summed(k, n, length), f"block long, item long, place int, doc_id {kind}, low long, high long"))
-    near = near.join(small_side(staged(_kth(near, "low", k))), "item", "left").where("tau is null or high >= tau").drop("tau", "high")
+    near = staged(near.join(small_side(staged(_kth(near, "low", k))), "item", "left").where("tau is null or high >= tau").drop("tau", "high"))
 
     # 3: exact scores of the candidates
-    wanted = near.groupBy("item", "block").agg(F.collect_list("place").alias("places"))  # at most a block's documents
-    wanted = wanted.join(small_side(uses.where("least > 1").select("item", "term", "w", "least")), "item")
-    missing = map_in_arrow(wanted.join(lists, ["term", "block"]).drop("term"), _looked_up(n, length), "item long, block long, place int, part long")
+    missing = looked_up(near, uses.where("least > 1"))
     parts = near.select("item", "block", "place", F.col("low").alias("part"), "doc_id").unionByName(missing, allowMissingColumns=True)
-    scored = parts.groupBy("item", "block", "place").agg(F.sum("part").alias("score"), F.first("doc_id", ignorenulls=True).alias("doc_id"))
+    exact = parts.groupBy("item", "block", "place").agg(F.sum("part").alias("score"), F.first("doc_id", ignorenulls=True).alias("doc_id"))
     place = F.row_number().over(Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last(), "block", "place"))
-    ranked = staged(scored.where("score > 0").withColumn("rank", place).where(F.col("rank") <= k).select("item", "rank", "doc_id", "score"))
+    ranked = staged(exact.where("score > 0").withColumn("rank", place).where(F.col("rank") <= k).select("item", "rank", "doc_id", "score"))
     return ranked.join(uses.select("item", "item_id").distinct(), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
 
 

@@ -4,16 +4,17 @@
    that leads to it, numbers in them left out; its score is the text in it, less the text that is mostly links, with a
    premium on what its tag or classes call an article. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments count for nothing:
    they are told by tag, role, class and id, and lists of nothing but links are menus.
-2. Every page votes for the path of its best container. In Spark, votes are counted by host and path; the paths with at least WINNING of a host's votes win, and
-   the one with the most does in any case. A path whose text hardly changes from page to page, while the article's does, is a notice or the like, and counts as such.
-3. Every page is read again: the text is that of the best of the winning paths that it has; of its own best container if it has none of them.
+2. In Spark, pages and texts are counted by host and path. A path whose text hardly changes from page to page, while the pages do, is a notice or the like, and counts as such; what
+   the tags call an article isn't.
+3. Every page votes for the path of its best container, less those. The paths with at least WINNING of a host's votes win, and the one with the most does in any case.
+4. Every page is read again: the text is that of the best of the winning paths that it has, less what hardly changes; of its own best container if it has none of them.
 
 A block is what stands between the borders of block-level elements; a line break within one is white space. White space, also the non-breaking one, becomes
 one space, character references are decoded as HTML 5 says, blocks without text are left out, the others are joined by line ends in page order. Nothing else
 is dropped. Pages without a single container are read as if they were one.
 
 Bounds: a host has at most 1 / WINNING winning paths and, as each page has a few, a bounded number of paths that hardly change; votes and texts by
-path are summed within each task before they are sent. A page goes to Python with the lists of its host. Where the hosts' lists are small by
+path are summed within each task before they are sent. Votes are cast from a table of the containers' sizes, not from the pages. A page goes to Python with the lists of its host. Where the hosts' lists are small by
 a count, they are broadcast; else pages are joined by host and one of SALTS numbers, so that a host with a third of all pages is dealt out.
 
 Edge cases: null and empty html give the empty text; a page whose url has no host keeps to its own best container; a container without
@@ -45,6 +46,10 @@ SALTS = 32
 #: Of a page's text, and so many blocks, for an element to be the page's frame, whatever its class says.
 FRAME, FRAME_BLOCKS = 0.8, 3
 
+_MASK = (1 << 64) - 1
+#: The path of the page itself, and the weight of what its tag calls an article.
+ROOT, ARTICLE = xxhash.xxh3_64_intdigest("page"), 1.3
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr keygen frame basefont bgsound".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
 BLOCKS = frozenset(
@@ -98,9 +103,10 @@ class _Drop:
 
 @dataclass
 class _Container:
+    """Of its own text, without that of the containers in it: characters of text, of text that is mostly links, and the sum of its blocks' hashes."""
+
     path: int
     up: int
-    depth: int
     weight: float
     good: int = 0
     junk: int = 0
@@ -114,36 +120,40 @@ class Page:
     containers: list[_Container] = field(default_factory=list)
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
-    def scores(self) -> list[float]:
-        return [c.weight * c.good - c.junk for c in self.containers]
+    def totals(self, gone: frozenset[int] = frozenset()) -> list[list[int]]:
+        """Of each container with all in it, but for containers at a path in gone: good, junk, mark."""
+        out = [[c.good, c.junk, c.mark] for c in self.containers]
+        for i in range(len(out) - 1, 0, -1):  # what is within comes later
+            c = self.containers[i]
+            if c.path in gone:
+                out[i] = [0, 0, 0]
+            up = out[c.up]
+            up[0], up[1], up[2] = up[0] + out[i][0], up[1] + out[i][1], (up[2] + out[i][2]) & _MASK
+        return out
 
-    def paths(self) -> dict[int, tuple[float, int]]:
-        """For each path with text: the score and the mark of its text, of all its containers together."""
-        out: dict[int, tuple[float, int]] = {}
-        for c, score in zip(self.containers, self.scores()):
-            if c.good or c.junk:
-                had = out.get(c.path, (0.0, 0))
-                out[c.path] = had[0] + score, (had[1] + c.mark) & 0xFFFFFFFFFFFFFFFF
+    def scores(self, gone: frozenset[int] = frozenset()) -> dict[int, float]:
+        """The score of each path with text: of all its containers together."""
+        out: dict[int, float] = {}
+        for c, (good, junk, _) in zip(self.containers, self.totals(gone)):
+            if good or junk:
+                out[c.path] = out.get(c.path, 0.0) + c.weight * good - junk
         return out
 
-    def best(self) -> int | None:
-        """The place of the container with the largest score, the innermost of equals; None for a page without text."""
-        found = [(s, c.depth, -i) for i, (c, s) in enumerate(zip(self.containers, self.scores())) if c.good or c.junk]
-        return -max(found)[2] if found else None
+    def best(self, gone: frozenset[int] = frozenset()) -> int | None:
+        """The path with the largest score, the innermost of equals; None for a page without text."""
+        scores = self.scores(gone)
+        return max(reversed(scores), key=scores.get) if scores else None
 
     def text(self, winning: list[int] = (), repeated: frozenset[int] = frozenset()) -> str:
-        """The text of the containers at the best of the winning paths, without those at repeated ones within."""
-        paths = self.paths()
-        had = [p for p in winning if p in paths]
-        own = self.best()
-        if own is None:
-            return ""
-        path = max(had, key=lambda p: (paths[p][0], -had.index(p))) if had else None
+        """The text at the best of the winning paths, without that at repeated ones, unless nothing else is left."""
+        scores = self.scores(repeated)
+        if not scores:
+            scores, repeated = self.scores(), frozenset()
+        had = [p for p in winning if p in scores]
+        path = max(had, key=scores.get) if had else self.best(repeated)
         inside: list[bool] = []
-        for i, c in enumerate(self.containers):
-            within = c.up >= 0 and inside[c.up]
-            starts = c.path == path if path is not None else i == own
-            inside.append((within and c.path not in repeated) or starts)
+        for c in self.containers:
+            inside.append(c.path not in repeated and (c.path == path or (c.up >= 0 and inside[c.up])))
         return "\n".join(text for at, text in self.blocks if inside[at])
 
 
@@ -179,7 +189,7 @@ def _kind(tag: str, words: list[str], role: str, in_article: bool) -> str | None
 
 def read(html: str) -> Page:
     """A page's containers and blocks, in one pass."""
-    page = Page([_Container(xxhash.xxh3_64_intdigest("page"), -1, 0, 0.9)])
+    page = Page([_Container(ROOT, -1, 0.9)])
     containers, drops = page.containers, []
     # open elements: tag, container, drop, whether in a link, in an article, in a heading
     stack: list[tuple[str, int, int, bool, bool, bool]] = [("", 0, -1, False, False, False)]
@@ -260,9 +270,9 @@ def read(html: str) -> Page:
         if tag == "li" and drop >= 0:
             drops[drop].items += 1
         if tag in CONTAINERS:
-            weight = 1.3 if is_article else 0.9 if tag == "body" else 1.2 if not GOOD.isdisjoint(words) else 1.0
+            weight = ARTICLE if is_article else 0.9 if tag == "body" else 1.2 if not GOOD.isdisjoint(words) else 1.0
             path = xxhash.xxh3_64_intdigest(f"{tag}.{label}", containers[container].path)
-            containers.append(_Container(path, container, containers[container].depth + 1, weight))
+            containers.append(_Container(path, container, weight))
             container = len(containers) - 1
         if tag in BLOCKS:
             heading = tag in HEADINGS or (heading and tag not in CONTAINERS)
@@ -348,11 +358,7 @@ def read(html: str) -> Page:
             c.junk += n
         else:
             c.good += n - links
-        c.mark = (c.mark + xxhash.xxh3_64_intdigest(text)) & 0xFFFFFFFFFFFFFFFF
-    for c in reversed(containers):
-        if c.up >= 0:
-            up = containers[c.up]
-            up.good, up.junk, up.mark = up.good + c.good, up.junk + c.junk, (up.mark + c.mark) & 0xFFFFFFFFFFFFFFFF
+        c.mark = (c.mark + xxhash.xxh3_64_intdigest(text)) & _MASK
     return page
 
 
@@ -365,45 +371,64 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def votes(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
-    """A row for each page with a host and each path with text on it: host, path, mark (of the text), best (whether the page votes for it)."""
+def containers(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """A row for each page with a host: host, found (its containers in page order)."""
     source = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html")).where("host is not null and html is not null")
+    kinds = {"path": pa.int64(), "up": pa.int32(), "weight": pa.float64(), "good": pa.int64(), "junk": pa.int64(), "mark": pa.int64(), "total": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, paths, marks, best = [], [], [], []
-            for host, html in zip(batch.column("host").to_pylist(), batch.column("html")):
+            made: list[list[dict]] = []
+            for html in batch.column("html"):
                 page = read(html.as_py())
-                own = page.best()
-                for path, (_, mark) in page.paths().items():
-                    hosts.append(host)
-                    paths.append(_signed(path))
-                    marks.append(_signed(mark))
-                    best.append(own is not None and page.containers[own].path == path)
-            yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "path": pa.array(paths, pa.int64()), "mark": pa.array(marks, pa.int64()), "best": pa.array(best, pa.bool_())})
-
-    return map_in_arrow(source, run, "host string, path long, mark long, best boolean")
-
-
-def host_paths(voted: DataFrame) -> DataFrame:
-    """host, winning (paths, the one with the most votes first), repeated (paths whose text hardly changes), of the rows of votes()."""
-    texts = voted.groupBy("host", "path", "mark").agg(F.count("*").alias("pages"), F.count_if("best").alias("votes"))
-    paths = staged(texts.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("votes").alias("votes"), F.count("*").alias("texts")))
-    best = F.max_by(F.struct("path", (F.col("texts") / F.col("pages")).alias("change")), F.struct("votes", "path")).alias("top")
-    hosts = staged(paths.groupBy("host").agg(F.sum("votes").alias("all"), best))
-    known = paths.join(hosts, "host")
-    wins = (F.col("votes") >= F.col("all") * WINNING) & (F.col("votes") > 0) | (F.col("path") == F.col("top.path"))
-    same = (F.col("pages") >= REPEATED_PAGES) & (F.col("pages") >= F.col("all") * REPEATED_SHARE) & (F.col("pages") >= F.col("texts") * PAGES_A_TEXT)
-    same &= F.col("texts") / F.col("pages") * PAGES_A_TEXT <= F.col("top.change")
-    told = known.select("host", "path", "votes", wins.alias("wins"), (same & ~wins).alias("same")).where("wins or same")
-    ranked = told.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.col("votes").desc(), "path")))
-    of = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col(c), F.struct("place", "path")))), lambda x: x["path"])
-    return ranked.groupBy("host").agg(of("wins").alias("winning"), of("same").alias("repeated"))
+                totals = page.totals()
+                made.append([{"path": _signed(c.path), "up": c.up, "weight": c.weight, "good": c.good, "junk": c.junk, "mark": _signed(t[2]), "total": t[0] + t[1]} for c, t in zip(page.containers, totals)])
+            kind = pa.list_(pa.struct(list(kinds.items())))
+            yield pa.RecordBatch.from_pydict({"host": batch.column("host"), "found": pa.array(made, kind)})
+
+    return map_in_arrow(source, run, "host string, found array<struct<path:bigint,up:int,weight:double,good:bigint,junk:bigint,mark:bigint,total:bigint>>")
+
+
+def repeated_paths(read_pages: DataFrame) -> DataFrame:
+    """host, repeated (the paths whose text hardly changes), where there are any."""
+    told = read_pages.select("host", F.explode(F.filter("found", lambda c: c["total"] > 0)).alias("c")).select("host", "c.path", "c.mark", (F.col("c.weight") == ARTICLE).alias("article"))
+    texts = told.groupBy("host", "path", "article", "mark").agg(F.count("*").alias("pages"))
+    paths = staged(texts.groupBy("host", "path", "article").agg(F.sum("pages").alias("pages"), F.count("*").alias("texts")))
+    whole = paths.where(F.col("path") == _signed(ROOT)).select("host", F.col("pages").alias("all"), (F.col("texts") / F.col("pages")).alias("change"))
+    same = (F.col("pages") >= REPEATED_PAGES) & (F.col("pages") >= F.col("all") * REPEATED_SHARE) & ~F.col("article")
+    same &= (F.col("pages") >= F.col("texts") * PAGES_A_TEXT) & (F.col("texts") / F.col("pages") * PAGES_A_TEXT <= F.col("change"))
+    return paths.join(whole, "host").where(same).groupBy("host").agg(F.collect_list("path").alias("repeated"))
+
+
+def votes(read_pages: DataFrame, repeated: DataFrame) -> DataFrame:
+    """host, path: a vote of each page with text."""
+    rows = read_pages.join(small_side(repeated), "host", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = []
+            for found, repeated in zip(batch.column("found").to_pylist(), batch.column("repeated").to_pylist()):
+                best.append(Page([_Container(c["path"], c["up"], c["weight"], c["good"], c["junk"]) for c in found]).best(frozenset(repeated or ())))
+            yield pa.RecordBatch.from_pydict({"host": batch.column("host"), "path": pa.array(best, pa.int64())})
+
+    return map_in_arrow(rows, run, "host string, path long").where("path is not null")
+
+
+def host_paths(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """host, winning (paths, the one with the most votes first), repeated (paths whose text hardly changes)."""
+    found = staged(containers(pages, html_col, url_col))
+    repeated = staged(repeated_paths(found))
+    paths = votes(found, repeated).groupBy("host", "path").agg(F.count("*").alias("votes"))
+    place = F.row_number().over(Window.partitionBy("host").orderBy(F.col("votes").desc(), "path"))
+    paths = paths.withColumn("place", place).withColumn("all", F.sum("votes").over(Window.partitionBy("host")))
+    wins = paths.where((F.col("place") == 1) | (F.col("votes") >= F.col("all") * WINNING))
+    wins = wins.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "path"))), lambda x: x["path"]).alias("winning"))
+    return wins.join(repeated, "host", "full")
 
 
 def extract(pages: DataFrame, hosts: DataFrame | None = None, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
     """One row a page: page_id, url, text, n_chars (code points). hosts: of host_paths(), where it is known already."""
-    hosts = staged(host_paths(votes(pages, html_col, url_col)) if hosts is None else hosts)
+    hosts = staged(host_paths(pages, html_col, url_col) if hosts is None else hosts)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host_of(F.col(url_col)).alias("host"))
     side = small_side(hosts)
     if side is hosts:  # too many for every task: by shuffle, a host's pages dealt out
@@ -418,7 +443,7 @@ def extract(pages: DataFrame, hosts: DataFrame | None = None, id_col: str = "pag
         for batch in batches:
             texts = []
             for html, winning, repeated in zip(batch.column("html"), batch.column("winning").to_pylist(), batch.column("repeated").to_pylist()):
-                unsigned = [[p & 0xFFFFFFFFFFFFFFFF for p in x or ()] for x in (winning, repeated)]
+                unsigned = [[p & _MASK for p in x or ()] for x in (winning, repeated)]
                 texts.append(read(html.as_py()).text(unsigned[0], frozenset(unsigned[1])) if html.is_valid else "")
             kept = {c: batch.column(c) for c in ("page_id", "url")}
             yield pa.RecordBatch.from_pydict(kept | {"text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
