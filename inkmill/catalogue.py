@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-from pathlib import Path
-
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +17,7 @@ from .plans import report, triage
 from .schema import DEEP, TRIAGE, WORK_DDL
 from .session import scratch, ship
 from .sources import feed, tables, works
+from .sources.http import url_of
 
 TERMS, CONFIG, SCORES = testviews.TERMS, testviews.CONFIG, Scoring()
 _Q: dict = {}
@@ -317,7 +316,8 @@ def _feeds(spark, sf_dir) -> DataFrame:
         links.alias("link"),
     )
     body = F.to_xml(F.struct(F.array(entry).alias("entry")), {"rowTag": "feed"})
-    return _papers(spark, sf_dir).select(F.col("seq").cast("int").alias("query_ordinal"), "search_topic", "query", body.alias("body"))
+    asked = F.concat(F.col("title"), F.lit(" "), F.col("paper_id"))
+    return _papers(spark, sf_dir).select(F.col("seq").cast("int").alias("query_ordinal"), "search_topic", "query", asked.alias("asked"), body.alias("body"))
 
 
 @_query(
@@ -373,20 +373,25 @@ def s9_union_scan(spark, sf_dir):
     return both.select(F.col("seq.scan").alias("scan"), "search_topic", "paper_id", "venue", F.col("seq.rank").alias("seq"))
 
 
-_ASKED = ["deep fake", 'a "b c" & d', '""']
-_ASKED_SQL = "VALUES (0, 'all:deep AND all:fake'), (1, 'all:\"b c\" AND all:a AND all:& AND all:d'), (2, 'all:\"\"')"
-
-
 @_query(
-    f"""WITH q(query_ordinal, t) AS ({_ASKED_SQL}), e AS (SELECT *, length(replace(t, '&', '&amp;')) AS n FROM q, (VALUES (1), (2)) AS m(m))
-    SELECT query_ordinal, m - 1 AS rank, 'arxiv:' || n || '.' || m || 'v1' AS paper_id, n || ' ' || t AS title, t AS abstract, 'A' || m AS authors, '2024-0' || m || '-02' AS published_date FROM e"""
+    f"""SELECT cast(seq as int) AS query_ordinal, 0 AS rank, search_topic, 'arxiv:' || seq || 'v2' AS paper_id, {_clean('title')} AS title, {_clean('abstract')} AS abstract, authors || ', B' AS authors,
+    coalesce(published_date, '') AS published_date, title || ' ' || paper_id AS query FROM p"""
 )
 def s3_feed_scan(spark, sf_dir):
-    """The feed's data source from its options to records; only the transport is canned."""
-    options = {"fetcher": "inkmill.testviews:canned_feed", "sleep_seconds": 0}
+    """The feed asked by the queries of a table, one a paper, and answered by what was captured: each answer lies under the address that the live reader would ask, which the
+    plan has to arrive at by its own expressions."""
+    options = {"max_results": 10}
+
+    @F.pandas_udf("string")
+    def address(queries: pd.Series) -> pd.Series:
+        return queries.map(lambda q: url_of(feed.BASE_URL, feed.request_parameters(q, options)))
+
     ship(spark)
-    found = feed.scan(spark, [(i, "t", q) for i, q in enumerate(_ASKED)], options)
-    return found.select("seq.query_ordinal", "seq.rank", "paper_id", "title", "abstract", "authors", "published_date")
+    asked = F.concat(F.col("title"), F.lit(" "), F.col("paper_id"))
+    queries = _papers(spark, sf_dir).select(F.col("seq").alias("query_ordinal"), "search_topic", asked.alias("query"))
+    captured = _feeds(spark, sf_dir).select(address("asked").alias("url"), "body")
+    found = feed.replay(queries, captured, options)
+    return found.select("seq.query_ordinal", "seq.rank", "search_topic", "paper_id", "title", "abstract", "authors", "published_date", "query")
 
 
 # --- scores
@@ -534,8 +539,11 @@ _TABLE_ORDER = "triage_score DESC NULLS LAST, published_date DESC NULLS LAST, se
 
 @_query(f"{_WS} SELECT seq, cast(row_number() OVER (ORDER BY {_TABLE_ORDER}) as int) AS place FROM scored")
 def o1_table_sort(spark, sf_dir):
-    s = _scored(spark, sf_dir)
-    return order.with_ordinal(s, order.table_order(s), "place").select("seq", F.col("place").cast("int").alias("place"))
+    """The scores are written, as a table has them, before they are ranked."""
+    folder = scratch(spark, "scores")
+    _scored(spark, sf_dir).select("seq", "relevance_score", "published_date").write.mode("overwrite").parquet(folder)
+    s = spark.read.parquet(folder)
+    return order.with_ordinal(s, order.table_keys(s), "place").select("seq", F.col("place").cast("int").alias("place"))
 
 
 _RANK = f"CASE {_strip('lower(llm_priority)')} WHEN 'read' THEN 0 WHEN 'skim' THEN 1 ELSE 2 END"
@@ -545,7 +553,7 @@ _REPORT_ORDER = f"{_RANK}, {_number('triage_score')} DESC, published_date DESC N
 @_query(f"{_WITH}, r AS (SELECT *, score_text AS triage_score FROM p) SELECT seq, cast(row_number() OVER (ORDER BY {_REPORT_ORDER}) as int) AS place FROM r")
 def o2_report_order(spark, sf_dir):
     p = _papers(spark, sf_dir).withColumn("triage_score", F.col("score_text"))
-    return order.with_ordinal(p, order.report_order(p), "place").select("seq", F.col("place").cast("int").alias("place"))
+    return order.with_ordinal(p, order.report_keys(p), "place").select("seq", F.col("place").cast("int").alias("place"))
 
 
 @_query("SELECT doc_id, array_to_string(list_sort(string_split(" + _clean("text") + ", ' ')), ' ') AS sorted_words FROM documents")
@@ -572,7 +580,7 @@ def o6_deep_cap(spark, sf_dir):
 
 @_query("SELECT seq, cast(row_number() OVER (ORDER BY published_date DESC NULLS LAST, seq) as int) AS ordinal FROM p")
 def o7_ordinal(spark, sf_dir):
-    return order.with_ordinal(_papers(spark, sf_dir), [F.col("published_date").desc_nulls_last(), F.col("seq")]).select("seq", "ordinal")
+    return order.with_ordinal(_papers(spark, sf_dir), [order.Key("published_date", descending=True), order.Key("seq")]).select("seq", "ordinal")
 
 
 # --- aggregates
@@ -738,7 +746,7 @@ def _reported(spark, sf_dir) -> DataFrame:
 @_query(f"{_WITH}, {_RECOMMENDED} SELECT cast(ordinal as int) AS ordinal, block FROM blocks")
 def r1_paper_block(spark, sf_dir):
     p = _reported(spark, sf_dir)
-    rows = order.with_ordinal(report.recommended(p), order.report_order(p))
+    rows = order.with_ordinal(report.recommended(p), order.report_keys(p))
     return rows.select(F.col("ordinal").cast("int").alias("ordinal"), report.paper_block(rows.columns).alias("block"))
 
 
@@ -761,15 +769,14 @@ def r2_report_lines(spark, sf_dir):
     return report.report_lines(_reported(spark, sf_dir))
 
 
-@_query(f"SELECT string_agg(text, chr(10) ORDER BY line_no) AS report FROM ({_R2})")
+@_query(f"SELECT unnest(string_split(regexp_replace(string_agg(text, chr(10) ORDER BY line_no), chr(10) || '$', ''), chr(10))) AS value FROM ({_R2})")
 def m2_report_entry(spark, sf_dir):
-    """The report's entry point, from a saved table to the file that it writes."""
+    """The report's entry point, from a saved table to the file that it writes, a row a line; a line end at the end of the file begins none."""
     folder = scratch(spark, "report")
-    with tempfile.TemporaryDirectory() as own:  # the report is a file of the driver
-        cfg = testviews.Config.of({"output_dir": own, "sota_table_path": f"{folder}/table", "recommended_summary_path": f"{own}/report.md"})
-        _reported(spark, sf_dir).write.parquet(cfg.sota_table_path)
-        report.run(spark, cfg)
-        return spark.createDataFrame([(Path(cfg.recommended_summary_path).read_text(encoding="utf-8"),)], "report string")
+    cfg = testviews.Config.of({"output_dir": folder, "sota_table_path": f"{folder}/table", "recommended_summary_path": f"{folder}/report.md"})
+    _reported(spark, sf_dir).write.parquet(cfg.sota_table_path)
+    report.run(spark, cfg)
+    return spark.read.text(cfg.recommended_summary_path, lineSep="\n")
 
 
 _M1 = f"""{_WITH}, u0 AS (SELECT *, {_KEY} AS k FROM p WHERE seq % 4 <> 1),

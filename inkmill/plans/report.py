@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.text import strip, to_text
 from ..operators.aggregates import any_text, counts_by, priority_counts
 from ..operators.filters import has_deep_analysis, has_priority, require_columns
-from ..operators.order import report_order, with_ordinal
+from ..operators.order import report_keys, with_ordinal
 from ..sinks import write_markdown
 from ..sources.tables import read_table
 
@@ -67,11 +67,13 @@ def recommended(table: DataFrame, priorities: tuple[str, ...] = PRIORITIES) -> D
 def report_lines(table: DataFrame, priorities: tuple[str, ...] = PRIORITIES) -> DataFrame:
     """section, line_no (1, 2, ... over the whole report), text. No rows where nothing is recommended. Every text is one or more lines; joined by line
     ends they are the report."""
-    papers = with_ordinal(recommended(table, priorities), report_order(table))
-    n = papers.columns
-    counts = priority_counts(papers, any_text(papers, "deep_summary").alias("has_deep"))
-    say = F.concat
-    texts = F.array(
+    wanted = recommended(table, priorities)
+    papers = with_ordinal(wanted, report_keys(wanted))
+    n, say = wanted.columns, F.concat
+    sections = [(title, column) for title, column in (("## Counts by topic", "topic_label"), ("## Counts by LLM relevance", "llm_relevance")) if column in n]
+    distinct = [F.count_distinct(F.coalesce(F.col(c), F.lit("Unknown"))).alias(f"lines_{c}") for _, c in sections]
+    counts = priority_counts(wanted, any_text(wanted, "deep_summary").alias("has_deep"), *distinct).where("n_total > 0")
+    head = [
         F.lit("# Recommended Papers Summary"),
         F.lit(""),
         say(F.lit("Total recommended papers: **"), F.col("n_total"), F.lit("**")),
@@ -79,25 +81,28 @@ def report_lines(table: DataFrame, priorities: tuple[str, ...] = PRIORITIES) ->
         say(F.lit("- Skim: **"), F.col("n_skim"), F.lit("**")),
         say(F.lit("- Contains deep-analysis notes: **"), F.when(F.col("has_deep"), "yes").otherwise("no"), F.lit("**")),
         F.lit(""),
-    )
-    first = counts.where("n_total > 0")
-    parts = [first.select(F.lit(0).alias("section"), F.posexplode(texts).alias("place", "text"))]
-
-    def heading(section: int, title: str) -> DataFrame:
-        both = F.array(F.lit(title), F.lit(""))
-        return first.select(F.lit(section).alias("section"), (F.posexplode(both)).alias("place", "text")).withColumn("place", F.col("place") - 2)
-
-    for section, title, column in ((1, "## Counts by topic", "topic_label"), (2, "## Counts by LLM relevance", "llm_relevance")):
-        if column in n:
-            rows = with_ordinal(counts_by(papers, column, F.col("ordinal")), [F.col("n").desc(), F.col("first")], "place")
-            shown = say(F.lit("- "), F.col("label"), F.lit(": **"), F.col("n"), F.lit("**"))
-            parts += [heading(section, title), rows.select(F.lit(section).alias("section"), "place", shown.alias("text"))]
-            parts.append(first.select(F.lit(section).alias("section"), F.lit(1 << 30).alias("place"), F.lit("").alias("text")))
-    parts.append(heading(3, "## Papers"))
+    ]
+
+    def fixed(section: int, after: Column, texts: list[Column]) -> DataFrame:
+        """Lines that every report has, after so many others."""
+        return counts.select(F.lit(section).alias("section"), after.alias("after"), F.posexplode(F.array(*texts)).alias("place", "text")).select("section", (F.col("after") + F.col("place") + 1).alias("line_no"), "text")
+
+    parts, after = [fixed(0, F.lit(0).cast("long"), head)], F.lit(len(head)).cast("long")
+    for i, (title, column) in enumerate(sections, 1):
+        parts.append(fixed(i, after, [F.lit(title), F.lit("")]))
+        # a line for each label, of which there are as many as the configuration has topics
+        place = F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("first")))
+        shown = say(F.lit("- "), F.col("label"), F.lit(": **"), F.col("n"), F.lit("**"))
+        lines = counts_by(papers, column, F.col("ordinal")).select(place.alias("place"), shown.alias("text")).withColumn("after", counts.select(after).scalar())
+        parts.append(lines.select(F.lit(i).alias("section"), (F.col("after") + 2 + F.col("place")).alias("line_no"), "text"))
+        after = after + 2 + F.col(f"lines_{column}")
+        parts.append(fixed(i, after, [F.lit("")]))
+        after = after + 1
+    parts.append(fixed(3, after, [F.lit("## Papers"), F.lit("")]))
     both = F.array(paper_block(n), F.lit("\n---\n"))
-    parts.append(papers.select(F.lit(3).alias("section"), (2 * F.col("ordinal")).alias("at"), F.posexplode(both).alias("p", "text")).select("section", (F.col("at") + F.col("p")).alias("place"), "text"))
-    lines = reduce(DataFrame.unionByName, parts)
-    return with_ordinal(lines, [F.col("section"), F.col("place")], "line_no").select("section", F.col("line_no").cast("int").alias("line_no"), "text")
+    blocks = papers.select("ordinal", F.posexplode(both).alias("place", "text")).withColumn("after", counts.select(after).scalar())
+    parts.append(blocks.select(F.lit(3).alias("section"), (F.col("after") + 2 * F.col("ordinal") + F.col("place") + 1).alias("line_no"), "text"))
+    return reduce(DataFrame.unionByName, parts).withColumn("line_no", F.col("line_no").cast("int"))
 
 
 def run(spark: SparkSession, cfg: Config, priorities: tuple[str, ...] = PRIORITIES) -> bool:

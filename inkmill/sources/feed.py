@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-import importlib
 import json
 import re
-import time
+from collections.abc import Iterator
+from urllib.parse import urlencode
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from ..functions.nested import last_segment
+from ..functions.nested import feed_query, last_segment
 from ..functions.text import clean_text
 from ..schema import FEED_DDL
-from .http import fetch_patiently, get, url_of
-from .works import _Query
+from ..session import map_in_arrow
+from .http import fetch_patiently, url_of
+from .lanes import Lane, lanes, paced
+from .works import fetcher
 
 BASE_URL = "https://export.arxiv.org/api/query"
 RAW_DDL = "query_ordinal int, search_topic string, query string, body string"
@@ -47,22 +51,34 @@ def request_parameters(query: str, options: dict) -> dict:
     }
 
 
+def _pause(options: dict) -> float:
+    return float(options.get("sleep_seconds", 3.0))
+
+
+def ask(query: str, options: dict) -> str:
+    """The service's answer to a query."""
+    url = url_of(options.get("base_url", BASE_URL), request_parameters(query, options))
+    agent = f"inkmill (mailto:{options['mailto']})" if options.get("mailto") else "inkmill"
+    return fetch_patiently(url, timeout=float(options.get("timeout", 60)), agent=agent, fetch=fetcher(options))
+
+
+def request_url(query: Column, options: dict) -> Column:
+    """The address of a query's request, the one that ask() asks, as an expression."""
+    encoded = F.replace(F.replace(F.url_encode(feed_query(query)), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    rest = {k: v for k, v in request_parameters("", options).items() if k != "search_query"}
+    return F.concat(F.lit(f"{options.get('base_url', BASE_URL)}?search_query="), encoded, F.lit(f"&{urlencode(rest)}"))
+
+
 class FeedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
 
-    def partitions(self) -> list[_Query]:
-        return [_Query(*q) for q in json.loads(self.options["queries"])]
+    def partitions(self) -> list[Lane]:
+        return lanes(json.loads(self.options["queries"]), int(self.options.get("lanes", 1)))
 
-    def read(self, part: _Query):
-        fetch = get
-        if name := self.options.get("fetcher"):
-            module, _, function = name.partition(":")
-            fetch = getattr(importlib.import_module(module), function)
-        url = url_of(self.options.get("base_url", BASE_URL), request_parameters(part.query, self.options))
-        agent = f"inkmill (mailto:{self.options['mailto']})" if self.options.get("mailto") else "inkmill"
-        yield part.ordinal, part.topic, part.query, fetch_patiently(url, timeout=float(self.options.get("timeout", 60)), agent=agent, fetch=fetch)
-        time.sleep(float(self.options.get("sleep_seconds", 3.0)))
+    def read(self, lane: Lane):
+        for ordinal, topic, query in paced(lane.queries, _pause(self.options), lane.number, lane.of):
+            yield ordinal, topic, query, ask(query, self.options)
 
 
 class FeedDataSource(DataSource):
@@ -112,3 +128,25 @@ def scan(spark, queries: list[tuple[int, str, str]], options: dict) -> DataFrame
         if v is not None:
             reader = reader.option(k, str(v))
     return project(reader.load())
+
+
+def scan_rows(queries: DataFrame, options: dict) -> DataFrame:
+    """Paper records of the queries of a table (query_ordinal, search_topic, query) from the service, in as many lanes as the options say. Every evaluation asks anew: write the result."""
+    n = int(options.get("lanes", 1))
+    rows = queries.select(F.col("query_ordinal").cast("int").alias("query_ordinal"), "search_topic", "query")
+    rows = (rows.coalesce(1) if n == 1 else rows.repartition(n, "query_ordinal")).sortWithinPartitions("query_ordinal")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
+        for one in paced((b.slice(i, 1) for b in batches for i in range(len(b))), _pause(options), number, n):
+            body = ask(one.column("query")[0].as_py(), options)
+            yield pa.RecordBatch.from_pydict({c: one.column(c) for c in one.schema.names} | {"body": pa.array([body], pa.string())})
+
+    return project(map_in_arrow(rows, run, RAW_DDL))
+
+
+def replay(queries: DataFrame, captured: DataFrame, options: dict) -> DataFrame:
+    """Paper records of the queries of a table from answers that were kept (url, body), each under the address it was asked at. Queries without one have no records."""
+    asked = queries.select(F.col("query_ordinal").cast("int").alias("query_ordinal"), "search_topic", "query", F.sha2(request_url(F.col("query"), options).cast("binary"), 256).alias("at"))
+    kept = captured.select(F.sha2(F.col("url").cast("binary"), 256).alias("at"), "body")
+    return project(asked.join(kept, "at").drop("at"))

@@ -1,4 +1,7 @@
-"""The cumulative table (Parquet), prompt texts, and the list of queries as rows."""
+"""The cumulative table (Parquet), prompt texts, and the list of queries as rows.
+
+The table is a folder with a folder for each run (``_run=...``) that holds the run's new rows. A table that was made elsewhere may be plain Parquet.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +14,9 @@ from ..config import SearchTerms
 from ..schema import PAPER
 from ..session import hadoop_path
 
+#: The column that names a row's run, of the table's folders alone.
+RUN = "_run"
+
 
 def set_aside(spark: SparkSession, path: str) -> list[str]:
     """What sinks.save_table has put beside the table at path and not deleted yet, the latest first."""
@@ -32,7 +38,18 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The table at path, or an empty one with the columns of a paper if there is none."""
     found = current(spark, path)
-    return spark.read.parquet(found) if found else spark.createDataFrame([], PAPER)
+    return read_runs(spark, found).drop(RUN) if found else spark.createDataFrame([], PAPER)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all runs, with RUN where the table has it. A run may bring columns that others lack."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def by_run(spark: SparkSession, path: str) -> bool:
+    """Whether the table at path has a folder for each run."""
+    fs, p = hadoop_path(spark, f"{path}/{RUN}=*")
+    return bool(fs.globStatus(p))
 
 
 def read_prompt(path: str) -> str:

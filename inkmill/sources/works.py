@@ -3,7 +3,7 @@
     spark.dataSource.register(WorksDataSource)
     spark.read.format("works").option("queries", json.dumps([[0, "topic", "text"]])).load()
 
-One partition a query; each row is one record of the answer as JSON, with its place. Offline, captured answers are read with
+One partition a lane (lanes.py); each row is one record of the answer as JSON, with its place. Offline, captured answers are read with
 from_responses(). Both give what project() takes.
 """
 
@@ -12,16 +12,16 @@ from __future__ import annotations
 import datetime
 import importlib
 import json
-import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from ..functions.nested import author_list, best_venue, external_id, invert_index
 from ..functions.text import clean_text
 from ..schema import WORK_DDL
 from .http import fetch_once, get, url_of
+from .lanes import Lane, lanes, paced
 
 BASE_URL = "https://api.openalex.org/works"
 RAW_DDL = "query_ordinal int, rank int, search_topic string, query string, item string"
@@ -45,33 +45,33 @@ def request_parameters(query: str, options: dict) -> dict:
     return made | ({"mailto": options["mailto"]} if options.get("mailto") else {})
 
 
-class _Query(InputPartition):
-    def __init__(self, ordinal: int, topic: str, query: str):
-        self.ordinal, self.topic, self.query = ordinal, topic, query
+def fetcher(options: dict):
+    """The transport that the options name as module:function, for tests and others; else HTTP."""
+    if not (name := options.get("fetcher")):
+        return get
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
 
 
 class WorksReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
 
-    def partitions(self) -> list[_Query]:
-        return [_Query(*q) for q in json.loads(self.options["queries"])]
+    def partitions(self) -> list[Lane]:
+        return lanes(json.loads(self.options["queries"]), int(self.options.get("lanes", 1)))
 
-    def read(self, part: _Query):
-        fetch = get
-        if name := self.options.get("fetcher"):  # module:function, for tests and other transports
-            module, _, function = name.partition(":")
-            fetch = getattr(importlib.import_module(module), function)
-        url = url_of(self.options.get("base_url", BASE_URL), request_parameters(part.query, self.options))
-        answer = json.loads(fetch_once(url, float(self.options.get("timeout", 30)), fetch))
-        for rank, item in enumerate(answer.get("results") or []):
-            yield part.ordinal, rank, part.topic, part.query, json.dumps(item, ensure_ascii=False)
-        time.sleep(float(self.options.get("sleep_seconds", 1.0)))
+    def read(self, lane: Lane):
+        fetch = fetcher(self.options)
+        for ordinal, topic, query in paced(lane.queries, float(self.options.get("sleep_seconds", 1.0)), lane.number, lane.of):
+            url = url_of(self.options.get("base_url", BASE_URL), request_parameters(query, self.options))
+            answer = json.loads(fetch_once(url, float(self.options.get("timeout", 30)), fetch))
+            for rank, item in enumerate(answer.get("results") or []):
+                yield ordinal, rank, topic, query, json.dumps(item, ensure_ascii=False)
 
 
 class WorksDataSource(DataSource):
     """Options: queries (JSON of [ordinal, topic, text]), max_results, mailto, from_publication_date, to_publication_date, sleep_seconds,
-    timeout, base_url, fetcher."""
+    lanes, timeout, base_url, fetcher."""
 
     @classmethod
     def name(cls) -> str:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import parse_qs, urlparse
-from xml.sax.saxutils import escape
-
 from pyspark.sql import DataFrame, SparkSession
 
 from .config import Config, SearchTerms
@@ -51,10 +48,3 @@ from {documents}
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PAPERS, documents=spark.read.parquet(f"{sf_dir}/documents.parquet"))
-
-
-def canned_feed(url: str, timeout: float, headers: dict | None) -> tuple[int, dict, str]:
-    """The answer of a feed service without a network: two entries, made of the text that was asked for."""
-    asked = escape(parse_qs(urlparse(url).query)["search_query"][0])
-    entry = "<entry><id>http://a.org/abs/{n}.{m}v1</id><published>2024-0{m}-02</published><updated>2024</updated><title> {n}\n{t}</title><summary>{t}</summary><author><name>A{m}</name></author></entry>"
-    return 200, {}, "<feed>" + "".join(entry.format(n=len(asked), m=m, t=asked) for m in (1, 2)) + "</feed>"

@@ -1,6 +1,7 @@
 """Answers and clients for tests; Python workers import this module."""
 
 import json
+import time
 from dataclasses import dataclass
 
 from inkmill.enrich.clients import StubClient
@@ -59,3 +60,12 @@ class Logged:
         with open(self.path, "a") as f:
             f.write(system + "\n")
         return self.client.chat(system, user, schema)
+
+
+def timed(url, timeout, headers):
+    """An entry whose title is the time."""
+    return 200, {}, f"<feed><entry><id>http://a/abs/{time.time()}</id></entry></feed>"
+
+
+def timed_works(url, timeout, headers):
+    return 200, {}, json.dumps({"results": [{"id": str(time.time())}]})

@@ -9,6 +9,7 @@ from inkmill.enrich import prompts, stage
 from inkmill.enrich.clients import ChatClient, ClientError, StubClient
 from inkmill.plans import report, triage
 from inkmill.schema import DEEP, PAPER, SCAN, TRIAGE
+from inkmill.sources.tables import read_table
 from inkmill.streaming.accumulate import accumulate
 
 from fake_http import Logged
@@ -197,3 +198,60 @@ def test_stream_is_the_same_as_batches(spark, tmp_path):
     triage.run(spark, whole, TERMS, scanned(spark, 10))
     ids = lambda c: sorted(r["paper_id"] for r in spark.read.parquet(c.sota_table_path).collect())
     assert ids(cfg) == ids(whole)
+
+
+def test_a_stream_from_which_nothing_passes_leaves_the_table(spark, tmp_path):
+    """A batch without rows, and one of which none passes, prune nothing, as in a batch run; one that passes does."""
+    source, cfg = str(tmp_path / "in"), config(tmp_path)
+    triage.run(spark, cfg, TERMS, scanned(spark, 6))
+    ids = lambda: sorted(r["paper_id"] for r in read_table(spark, cfg.sota_table_path).collect())
+    before = ids()
+    high = config(tmp_path, min_triage_score=32, drop_existing_below_min_score=True)
+    stream = lambda: spark.readStream.schema(scanned(spark, 0).schema).parquet(source)
+    for rows in (scanned(spark, 0), scanned(spark, 2, 20)):
+        rows.coalesce(1).write.mode("append").parquet(source)
+        accumulate(spark, stream(), TERMS, high, str(tmp_path / "cp")).awaitTermination(120)
+        assert ids() == before
+    assert triage.run(spark, high, TERMS, scanned(spark, 2, 20)).n_table is None and ids() == before
+    low = config(tmp_path, min_triage_score=31, drop_existing_below_min_score=True)
+    triage.run(spark, low, TERMS, scanned(spark, 6, 30))
+    kept = read_table(spark, cfg.sota_table_path)
+    assert kept.where("triage_score < 31").count() == 0 and kept.count() > 0
+
+
+def test_a_stream_after_an_interrupted_swap(spark, tmp_path):
+    cfg, source = config(tmp_path), str(tmp_path / "in")
+    triage.run(spark, cfg, TERMS, scanned(spark, 4))
+    table = Path(cfg.sota_table_path)
+    table.rename(f"{table}.old-x")
+    scanned(spark, 4, 2).coalesce(1).write.parquet(source)
+    accumulate(spark, spark.readStream.schema(scanned(spark, 0).schema).parquet(source), TERMS, cfg, str(tmp_path / "cp")).awaitTermination(120)
+    assert sorted(r["seq"] for r in spark.read.parquet(str(table)).collect()) == [1, 2, 4, 5]
+
+
+def test_a_table_made_elsewhere(spark, tmp_path):
+    """Its copies go when it is laid out by runs; later runs write beside it."""
+    cfg = config(tmp_path)
+    old = scanned(spark, 3).unionByName(scanned(spark, 2)).withColumns({"notes": F.lit("mine"), "relevance_score": F.lit(50.0)})
+    old.write.parquet(cfg.sota_table_path)
+    assert triage.run(spark, cfg, TERMS, scanned(spark, 4, 1)) == triage.RunReport(4, 4, 3, 4)
+    first = {str(p) for p in Path(cfg.sota_table_path).rglob("part-*")}
+    assert triage.run(spark, cfg, TERMS, scanned(spark, 3, 4)) == triage.RunReport(3, 3, 2, 5)
+    assert first < {str(p) for p in Path(cfg.sota_table_path).rglob("part-*")}
+    assert sorted((r["seq"], r["notes"]) for r in read_table(spark, cfg.sota_table_path).collect()) == [(0, "mine"), (1, "mine"), (2, "mine"), (4, ""), (5, "")]
+
+
+def test_a_run_leaves_nothing_behind_and_counts_on_its_way(spark, tmp_path):
+    cfg, shared = config(tmp_path), Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    left = lambda: {p.name for p in shared.glob("run-*")}
+    before = left()
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{tmp_path.name}"
+    spark.sparkContext.setJobGroup(group, "")
+    none = config(tmp_path, min_triage_score=1000)
+    assert triage.run(spark, none, TERMS, scanned(spark, 5)) == triage.RunReport(5, 5)
+    assert len(tracker.getJobIdsForGroup(group)) <= 4  # what was scanned is written, then what passes (a shuffle's stages are jobs of their own)
+    spark.sparkContext._jsc.clearJobGroup()
+    with pytest.raises(Exception, match="stop"):
+        triage.run(spark, cfg, TERMS, scanned(spark, 5).withColumn("title", F.raise_error(F.lit("stop")).cast("string")))
+    triage.run(spark, cfg, TERMS, scanned(spark, 5))
+    assert left() == before and sorted(p.name for p in Path(cfg.output_dir).iterdir()) == ["table"]

@@ -2,8 +2,12 @@ import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from inkmill.functions.nested import feed_query
 from inkmill.sources import feed, works
 from inkmill.sources.http import HttpError, fetch_once, fetch_patiently, url_of
+from inkmill.sources.lanes import lanes, paced
 from inkmill.sources.tables import flatten_queries, union_scans
 
 from fake_http import FEED, Script
@@ -72,3 +76,52 @@ def test_lists_of_queries(spark):
     a, b = spark.createDataFrame([(0, "x")], "seq int, t string"), spark.createDataFrame([(0, 1)], "seq int, n int")
     both = union_scans([("one", a), ("two", b)]).orderBy("seq").collect()
     assert [(tuple(r["seq"]), r["search_topic"], r["t"], r["n"]) for r in both] == [((0, 0), "one", "x", None), ((1, 0), "two", None, 1)]
+
+
+def times(df, column):
+    return sorted(float(r[0]) for r in df.select(column).collect())
+
+
+def test_a_service_is_asked_at_its_pace(spark):
+    """On four cores: queries come one after another with the pause between, or in lanes that together come as seldom."""
+    queries = [(i, "t", f"q{i}") for i in range(5)]
+    table = spark.createDataFrame(queries, "query_ordinal int, search_topic string, query string").repartition(4)
+    options = {"sleep_seconds": 0.3}
+    for found in (
+        times(feed.scan(spark, queries, options | {"fetcher": "fake_http:timed"}), "arxiv_id"),
+        times(works.scan(spark, queries, options | {"fetcher": "fake_http:timed_works"}), "openalex_id"),
+        times(feed.scan_rows(table, options | {"fetcher": "fake_http:timed"}), "arxiv_id"),
+    ):
+        assert len(found) == 5 and min(b - a for a, b in zip(found, found[1:])) >= 0.29
+    found = times(feed.scan(spark, queries, options | {"fetcher": "fake_http:timed", "lanes": 2}), "arxiv_id")
+    assert len(found) == 5 and min(found[i + 2] - found[i] for i in range(3)) >= 0.29
+    assert [(x.number, x.of, x.queries) for x in lanes([1, 2, 3], 2)] == [(0, 2, [1, 3]), (1, 2, [2])] and lanes([], 3) == []
+
+
+def test_pauses_of_lanes():
+    waits = []
+    assert list(paced("abc", 2.0, 1, 3, waits.append)) == ["a", "b", "c"] and waits == [2.0, 6.0, 6.0]
+
+
+def test_order_of_the_requests_of_a_table(spark):
+    table = spark.createDataFrame([(i, "t", f"q{i}") for i in (3, 1, 2, 0)], "query_ordinal int, search_topic string, query string").repartition(3)
+    found = feed.scan_rows(table, {"sleep_seconds": 0.05, "fetcher": "fake_http:timed"}).select("seq.query_ordinal", "arxiv_id").collect()
+    assert [r[0] for r in sorted(found, key=lambda r: float(r[1]))] == [0, 1, 2, 3]
+
+
+QUERIES = ['a "b c" d', '""', "", "  ", '"x', 'x"', '"a""b"', '""x"', '" a "', '" "', "tilde~ star* per%7E ä ö", 'a"b c"d', "x" * 9000 + ' "' + "y" * 9000]
+
+
+def test_requests_as_expressions(spark):
+    """The compiled query and the address are those of the live reader, for odd texts too."""
+    df = spark.createDataFrame([(q,) for q in QUERIES], "q string")
+    got = df.select("q", feed_query(F.col("q")).alias("c"), feed.request_url(F.col("q"), {"max_results": 3, "base_url": "http://h"}).alias("u")).collect()
+    for r in got:
+        assert r.c == feed.compile_query(r.q) and r.u == url_of("http://h", feed.request_parameters(r.q, {"max_results": 3}))
+
+
+def test_replay(spark):
+    queries = spark.createDataFrame([(i, "t", q) for i, q in enumerate(QUERIES[:10])], "query_ordinal int, search_topic string, query string")
+    captured = spark.createDataFrame([(url_of(feed.BASE_URL, feed.request_parameters(QUERIES[0], {})), FEED), ("http://other", FEED)], "url string, body string")
+    found = feed.replay(queries, captured, {}).orderBy("seq").collect()
+    assert [(tuple(r["seq"]), r["title"]) for r in found] == [((0, 0), "One title"), ((0, 1), "Two")]

@@ -119,9 +119,9 @@ def test_ordinals(spark):
     df = spark.range(2000).select((F.col("id") * 7919 % 2003).alias("seq")).repartition(7)
     for spread in (1, 4):
         spark.conf.set("spark.sql.shuffle.partitions", spread)
-        got = order.with_ordinal(df, [F.col("seq").desc()])
+        got = order.with_ordinal(df, [order.Key("seq", descending=True)])
         assert [(r["seq"], r["ordinal"]) for r in got.orderBy("ordinal").collect()] == [(s, i + 1) for i, s in enumerate(sorted((r["seq"] for r in df.collect()), reverse=True))]
-    assert order.with_ordinal(df.limit(0), [F.col("seq")]).count() == 0
+    assert order.with_ordinal(df.limit(0), [order.Key("seq")]).count() == 0
 
 
 def test_no_local_folder_on_a_cluster(spark, monkeypatch):
@@ -143,3 +143,113 @@ def test_files(spark, tmp_path):
     assert (tmp_path / "x" / "out.md").read_text(encoding="utf-8") == "ä\nb\n\n"
     assert read_prompt(str(tmp_path / "x" / "out.md")).startswith("ä")
     assert [tuple(r) for r in query_rows(spark, TERMS).orderBy("query_ordinal").collect()][:2] == [(0, "en", "the"), (1, "en", "tion here")]
+
+
+PAIR = "seq int, relevance_score double, doi string"
+
+
+def pairs(spark, *found):
+    return spark.createDataFrame([(i, s, f"10.1/{i}") for i, s in found], PAIR)
+
+
+def files(path):
+    return {p for p in path.rglob("part-*")}
+
+
+def test_a_run_writes_its_new_rows_alone(spark, tmp_path):
+    path = tmp_path / "table"
+    sinks.append_run(pairs(spark, (1, 5.0), (2, 9.0)), str(path), "a")
+    first = files(path)
+    new = dedup.new_rows(read_table(spark, str(path)), pairs(spark, (2, 1.0), (3, 7.0)).withColumn("more", F.lit("x")))
+    sinks.append_run(new, str(path), "b")
+    assert rows(read_table(spark, str(path)), "seq", "relevance_score", "more") == [(1, 5.0, None), (2, 9.0, None), (3, 7.0, "x")]
+    assert first < files(path)
+    sinks.append_run(pairs(spark, (3, 8.0)), str(path), "b")  # done again: its own folder alone
+    assert rows(read_table(spark, str(path)), "seq", "relevance_score") == [(1, 5.0), (2, 9.0), (3, 8.0)] and first < files(path)
+    sinks.append_run(pairs(spark), str(path), "c")
+    assert read_table(spark, str(path)).count() == 3
+    assert read_table(spark, str(path)).where("_metadata.file_path is not null").columns == ["seq", "relevance_score", "doi"]
+
+
+def test_a_run_that_fails_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.append_run(pairs(spark, (1, 5.0)), path, "a")
+    bad = pairs(spark, (2, 1.0)).withColumn("doi", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.append_run(bad, path, "b")
+    assert rows(read_table(spark, path), "seq") == [(1,)]
+    with pytest.raises(Exception, match="stop"):
+        save_table(bad, path)
+    assert rows(read_table(spark, path), "seq") == [(1,)] and not list(tmp_path.glob("table.new-*"))
+
+
+def test_pruning_writes_the_runs_that_lose_rows(spark, tmp_path):
+    path = tmp_path / "table"
+    for run, found in (("a", [(1, 5.0), (2, 9.0)]), ("b", [(3, 1.0)]), ("c", [(4, 8.0)])):
+        sinks.append_run(pairs(spark, *found), str(path), run)
+    kept = files(path / "_run=c")
+    sinks.keep_in_runs(spark, str(path), lambda t: t.where("relevance_score >= 6"))
+    assert rows(read_table(spark, str(path)), "seq") == [(2,), (4,)] and files(path / "_run=c") == kept and not (path / "_run=b").exists()
+    before = files(path)
+    sinks.keep_in_runs(spark, str(path), lambda t: t.where("relevance_score >= 6"))
+    assert files(path) == before
+
+
+def test_known_keys_by_every_way(spark):
+    existing = spark.range(3000).select(F.col("id").alias("seq"), F.concat(F.lit("10.1/"), F.col("id")).alias("doi"))
+    new = spark.range(2990, 3020).select(F.col("id").alias("seq"), F.concat(F.lit(" 10.1/"), F.col("id")).alias("doi"), F.lit("t").alias("title")).union(spark.sql("select 5L, null, null").union(spark.sql("select 4L, '', ''")))
+    wanted = [(4,), *((i,) for i in range(3000, 3020))]
+    keyed = new.select(dedup.key_digest(new.columns).alias("_key")).distinct()
+    for broadcast_rows, filter_rows, most in ((100, 1000, 10), (0, 1000, 1500), (0, 0, 3000)):
+        known = dedup.known_keys(existing, keyed, broadcast_rows, filter_rows)
+        assert known.join(keyed, "_key", "left_semi").count() == 10 and known.count() <= most
+    assert sorted(tuple(r) for r in dedup.new_rows(existing, new).select("seq").collect()) == wanted
+    with_none = existing.union(spark.sql("select -1L, null"))
+    assert sorted(tuple(r) for r in dedup.new_rows(with_none, new).select("seq").collect()) == wanted[1:]
+    merged = dedup.merge(existing, new).select("seq", "doi").collect()
+    assert sorted(r["seq"] for r in merged) == sorted([*range(3000), *(w[0] for w in wanted)])
+
+
+def test_no_text_in_the_exchange_of_keys(spark):
+    df = spark.createDataFrame([(1, "a title", "text")], "seq int, title string, abstract string")
+    plan = dedup.keep_first(df).select("seq")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha2") == 1  # the key is made once
+
+
+def test_ordinals_of_all_kinds_of_keys(spark):
+    import random
+
+    r = random.Random(3)
+    made = [(i, r.choice([None, "a", "aé", "2024-01-0%d" % r.randrange(9), "x" * 12, "x" * 12 + r.choice("ab"), ""]), r.choice([None, float("nan"), -1.5, 0.0, 2.0]), r.choice([None, -(2**60), 2**60 + i % 3, i % 5])) for i in range(600)]
+    df = spark.createDataFrame(made, "seq int, t string, x double, n long").select("*", F.struct("n", "seq").alias("s"), F.lit(1).alias("range"), F.lit(2).alias("_at")).repartition(5)
+    for down in (True, False):
+        for keys in (["t", "x", "n", "seq"], ["x", "t", "seq"], ["n", "seq"], ["s"], ["t", "s"]):
+            by = [order.Key(k, down if k != "seq" else False) for k in keys]
+            got = order.with_ordinal(df, by)
+            assert got.columns == [*df.columns, "ordinal"]
+            wanted = [(x["seq"], i + 1) for i, x in enumerate(df.orderBy(*(k.sort() for k in by)).collect())]
+            assert [tuple(x) for x in got.orderBy("ordinal").select("seq", "ordinal").collect()] == wanted
+
+
+def test_ordinals_are_lazy_and_read_keys_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).select(F.col("id").alias("seq"), F.lit("long text").alias("text")).write.parquet(path)
+    group = "ordinals-are-lazy"
+    spark.sparkContext.setJobGroup(group, "")
+    df = spark.read.schema("seq long, text string").parquet(path)
+    got = order.with_ordinal(df, [order.Key("seq", True)]).select("seq", "ordinal")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext._jsc.clearJobGroup()
+    assert sorted(tuple(r) for r in got.collect()) == [(i, 100 - i) for i in range(100)]
+    assert "text" not in got._jdf.queryExecution().executedPlan().toString().replace("text string", "")
+
+
+def test_long_files_are_written_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "LINES", 7)
+    lines = spark.range(100).select((100 - F.col("id")).alias("line_no"), F.concat(F.lit("l"), 100 - F.col("id")).alias("text")).repartition(6)
+    target = tmp_path / "deep" / "er" / "x.md"
+    for _ in range(2):
+        write_markdown(lines, str(target))
+        assert target.read_text() == "\n".join(f"l{i}" for i in range(1, 101)) and [p.name for p in target.parent.iterdir()] == ["x.md"]
+    write_markdown(lines.limit(0), str(target))
+    assert target.read_text() == ""
