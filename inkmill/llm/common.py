@@ -86,7 +86,8 @@ def keep_rows(docs: DataFrame, key: tuple[Column, ...], rows: DataFrame, stays:
     """
 
     def text_of(parts) -> Column:
-        return F.concat_ws(":", *(F.coalesce(p.cast("string"), F.lit("null")) for p in parts)).alias("key")
+        # a value begins with a plus, so that no text is taken for a null
+        return F.concat_ws(":", *(F.coalesce(F.concat(F.lit("+"), p.cast("string")), F.lit("-")) for p in parts)).alias("key")
 
     keys = rows.select(text_of(F.col(c) for c in stays.columns)).groupBy("key").agg((F.count("*") > 1).alias("twice"))
     kept = stays.select(text_of(F.col(c) for c in stays.columns)).withColumn("stays", F.lit(True))

@@ -106,22 +106,33 @@ def _by_group(made, least: Fraction):
     return run
 
 
-def groups(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """nodes: root (of a group of candidates), node (of a set), n (its size), mark (xxhash64 of a text that has it). node, root for
-    each node that is linked to others: the smallest node that links of similar sets within its candidates reach."""
-    sizes = nodes.groupBy("root").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where("k > 1")
-    sizes = staged(sizes.select("root", F.ceil(F.col("n") / (CHUNK // 2)).cast("int").alias("chunks"), (F.col("n") > CHUNK).alias("hot")))
-    found = staged(nodes.select("root", "node", "mark").join(small_side(sizes), "root"))
+def candidate_sets(docs: DataFrame, found: DataFrame, text_col: str, id_col: str, shingle: int) -> DataFrame:
+    """found: root, node, mark and doc_id (of a document that has the set), chunks, hot. Adds hashes, the set, one row a node and task, so that of a crowd of copies only the one that
+    is named is read, and of rows that repeat as a whole one a task."""
     text = F.col(text_col).cast("string")
-    texts = docs.select(F.xxhash64(text).alias("mark"), text.cast("binary").alias("text")).join(small_side(found), "mark")
+    texts = docs.select(F.xxhash64(text).alias("mark"), F.col(id_col).alias("id"), text.cast("binary").alias("text"))
+    found = small_side(found).alias("f")
+    same = (F.col("f.mark") == texts["mark"]) & F.col("f.doc_id").eqNullSafe(texts["id"])
+    rows = texts.join(found, same).select("root", "node", "chunks", "hot", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in batches:
-            made = pa.array([shingle_set(x.as_buffer().to_pybytes(), shingle).tobytes() for x in batch.column("text")], pa.binary())
-            kept = {n: batch.column(n) for n in ("root", "node", "chunks", "hot")}
+            fresh = [i for i, node in enumerate(batch.column("node").to_pylist()) if node not in met and not met.add(node)]
+            made = pa.array([shingle_set(batch.column("text")[i].as_buffer().to_pybytes(), shingle).tobytes() for i in fresh], pa.binary())
+            kept = {n: batch.column(n).take(pa.array(fresh, pa.int64())) for n in ("root", "node", "chunks", "hot")}
             yield pa.RecordBatch.from_pydict(kept | {"hashes": made})
 
-    sets = map_in_arrow(texts.select("root", "node", "chunks", "hot", "text"), run, "root long, node long, chunks int, hot boolean, hashes binary")
+    return map_in_arrow(rows, run, "root long, node long, chunks int, hot boolean, hashes binary")
+
+
+def groups(docs: DataFrame, nodes: DataFrame, text_col: str, id_col: str, shingle: int, similarity: float) -> DataFrame:
+    """nodes: root (of a group of candidates), node (of a set), n (its size), mark and doc_id (of a document that has it: xxhash64 of the text, and id). node, root for
+    each node that is linked to others: the smallest node that links of similar sets within its candidates reach."""
+    sizes = nodes.groupBy("root").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where("k > 1")
+    sizes = staged(sizes.select("root", F.ceil(F.col("n") / (CHUNK // 2)).cast("int").alias("chunks"), (F.col("n") > CHUNK).alias("hot")))
+    found = staged(nodes.select("root", "node", "mark", "doc_id").join(small_side(sizes), "root"))
+    sets = candidate_sets(docs, found, text_col, id_col, shingle)
     least = Fraction(str(similarity))
 
     def dealt(rows: DataFrame, made) -> DataFrame:

@@ -13,7 +13,8 @@ nearest language then, so that the caller decides; ``und`` is kept for texts wit
 
 Training: at most SAMPLE texts a language, those with the smallest hashes, so the sample is the same at any partitioning, and at most about
 SAMPLE_ALL in all, which many languages share evenly. The texts may be long, but only their vectors (32 kB each) reach the driver: 128 MB at
-most. The tasks get a model of (CLUSTERS + 1) * 32 kB a language. Everything else reads all rows and whole texts. A very long text is
+most. The tasks get a model of (CLUSTERS + 1) * 32 kB a language. Both hold as there may be LANGUAGES languages at most (each has CLUSTERS texts then); more are a ValueError, before any
+vector is made. Everything else reads all rows and whole texts. A very long text is
 counted a million characters at a time, which changes nothing: the last characters of a piece go before the next one.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0, and rejected; no labelled rows at all make every text
@@ -42,6 +43,7 @@ DIMENSIONS = 1 << BITS
 CLUSTERS = 4
 SAMPLE = 300
 SAMPLE_ALL = 4096
+LANGUAGES = SAMPLE_ALL // CLUSTERS
 NEAREST = 60
 LOW = 0.05
 REJECT = 0.5
@@ -143,7 +145,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     # hashes alone: the ranking moves no texts. They are even, so a bound leaves about four times the sample of a language to be ranked
     keys = rows.select("lang", F.xxhash64("doc_id", "text").alias("mark"))
     bounds = staged(keys.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n")))  # one row a language
-    sample = max(CLUSTERS, min(SAMPLE, SAMPLE_ALL // max(bounds.count(), 1)))
+    languages = bounds.count()
+    if languages > LANGUAGES:
+        raise ValueError(f"{languages} languages are labelled, and at most {LANGUAGES} can be learned; map rare labels to null or to a common one")
+    sample = min(SAMPLE, SAMPLE_ALL // max(languages, 1))
     bounds = bounds.select("lang", (F.lit(4.0 * sample) / F.col("n") * 2.0**64 - 2.0**63).alias("bound"))
     keys = keys.join(small_side(bounds), "lang").where(F.col("mark").cast("double") < F.col("bound")).select("lang", "mark").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))

@@ -133,7 +133,9 @@ def corpus(docs: DataFrame, id_col: str, text_col: str) -> Corpus:
     if not isinstance(docs.schema[id_col].dataType, IntegralType):
         raise TypeError(f"{id_col} must be a column of integers, it is {docs.schema[id_col].dataType.simpleString()}")
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc")
+    # the first bit tells a null from the id that it shares a place with, and puts it behind
     mark = F.xxhash64(F.col(text_col))
+    mark = F.when(F.col(id_col).isNull(), mark.bitwiseAND(F.lit(LAST))).otherwise(mark.bitwiseOR(F.lit(-LAST - 1)))
     joined = F.regexp_replace(F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(SPACES)), SPACE_RUN, " ")
     rows = staged(docs.select(doc, mark.alias("mark"), F.col(id_col).cast("long").alias("doc_id"), word_count(F.col(text_col)).alias("n_words"), F.unhex(F.sha2(joined.cast("binary"), 256)).alias("sha")))
     texts = docs.select(doc, F.col(text_col).cast("string").cast("binary").alias("text"))

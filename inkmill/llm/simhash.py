@@ -14,7 +14,7 @@ pair's fingerprints differs with a chance of acos(cosine) / pi, 0.152 at 0.8, so
 shingles; these are cut into blocks of w bits in several seeded orders, as many blocks that a pair at the threshold shares one of them with a chance of
 1 - MISS; w is the binary logarithm of the number of fingerprints, so that a block holds about one unrelated one at any size. Where they meet, the Hamming distance
 of the first 64 bits is checked (a pair at the threshold is 9.7 bits apart, with a deviation of 2.9; SPREAD deviations pass), and what is
-connected by these links are candidates, among which exact intersections decide (jaccard.py). The number of blocks rises with about the fourth root of the corpus.
+connected by these links are candidates, among which exact intersections decide (jaccard.py): one document of each set sends its text there, however many copies it has. The number of blocks rises with about the fourth root of the corpus.
 
 Bounds: copies share one fingerprint and are searched once. A group is read in sorted order: up to 16
 fingerprints all pairs are compared; above, a walk takes one fingerprint at a time, links what is near and leaves it out of
@@ -320,11 +320,11 @@ def candidate_links(nodes: DataFrame, similarity: float) -> DataFrame:
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one row of each group of near copies, that with the smallest id, all columns kept."""
     prints = staged(wide_prints(docs, id_col, text_col, shingle))
-    nodes = prints.where("n > 0").groupBy("node").agg(F.min(F.struct("mark", "n", "fp")).alias("x"), F.first("wide").alias("wide"))  # equal sets have the same n, fp, wide
-    nodes = staged(nodes.select("node", "x.mark", "x.n", "x.fp", "wide"))
+    nodes = prints.where("n > 0").groupBy("node").agg(F.min(F.struct("mark", "doc_id", "n", "fp")).alias("x"), F.first("wide").alias("wide"))  # equal sets have the same n, fp, wide
+    nodes = staged(nodes.select("node", "x.mark", "x.doc_id", "x.n", "x.fp", "wide"))
     roots = staged(components(candidate_links(nodes, similarity)))
     found = nodes.drop("wide").join(small_side(roots.withColumnRenamed("node", "fp")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    linked = staged(jaccard.groups(docs, found, text_col, shingle, similarity))
+    linked = staged(jaccard.groups(docs, found, text_col, id_col, shingle, similarity))
     grouped = prints.drop("wide").join(small_side(linked), "node", "left").withColumn("group", F.coalesce("root", "node"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("b")
     stays = grouped.groupBy("group").agg(best).select("b.mark", "b.doc_id")
