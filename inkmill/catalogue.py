@@ -683,6 +683,14 @@ def l3_parse_fallback(spark, sf_dir):
     return out.select("seq", "llm_priority", "llm_relevance", "llm_reason", "llm_key_terms", "llm_is_dataset_or_benchmark", "llm_confidence")
 
 
+@_query(_L3)
+def l2_calls_once(spark, sf_dir):
+    p = _papers(spark, sf_dir)
+    folder = scratch(spark, "ledger")
+    out = stage.call_once(p, prompts.triage_prompt(p.columns), "", prompts.triage_schema(("other",)), _Lengths(), TRIAGE, stage.triage_fallback, stage.triage_error, folder)
+    return out.select("seq", "llm_priority", "llm_relevance", "llm_reason", "llm_key_terms", "llm_is_dataset_or_benchmark", "llm_confidence")
+
+
 @_query(
     f"""SELECT seq, CASE WHEN n % 7 < 3 THEN '' ELSE 'read' END AS deep_summary, CASE WHEN n % 7 < 3 THEN '' ELSE 'd, e' END AS deep_datasets,
     CASE WHEN n % 7 < 2 THEN {_BAD} WHEN n % 7 = 2 THEN 'Deep Ollama request failed: down' END AS deep_reading_notes, CASE WHEN n % 7 < 3 THEN 0e0 ELSE 0.5e0 END AS deep_confidence

@@ -42,6 +42,7 @@ class Triage:
     timeout_seconds: int = 120
     temperature: float = 0.0
     max_papers_per_run: int | None = None
+    calls_at_once: int | None = None
     system_prompt_path: str = "prompts/paper_triage_prompt.txt"
     #: Topics that the model may answer; our own list, as they depend on the review at hand.
     topics: tuple[str, ...] = ("in_scope", "adjacent", "both", "other")
@@ -58,6 +59,7 @@ class Deep:
     timeout_seconds: int = 300
     temperature: float = 0.0
     max_papers_per_run: int | None = None
+    calls_at_once: int | None = None
     system_prompt_path: str = "prompts/paper_deep_analysis_prompt.txt"
 
 
@@ -100,6 +102,7 @@ class Config:
     from_publication_date: str | None = None
     to_publication_date: str | None = None
     sleep_seconds: float = 1.0
+    reply_ledger_path: str | None = None
     min_triage_score: float = 0
     drop_existing_below_min_score: bool = False
     include_repositories: bool = True

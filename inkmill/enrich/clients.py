@@ -24,6 +24,11 @@ class ChatClient:
     timeout_seconds: float = 120
     temperature: float = 0.0
 
+    @property
+    def identity(self) -> str:
+        """What its replies depend on."""
+        return f"{self.model} at temperature {self.temperature}"
+
     def body(self, system: str, user: str, schema: dict) -> dict:
         said = [{"role": "system", "content": system}, {"role": "user", "content": user}]
         return {"model": self.model, "messages": said, "stream": False, "format": schema, "options": {"temperature": self.temperature}}

@@ -1,7 +1,7 @@
 """The language-model stages: candidates in order of arrival, one call a candidate, replies parsed with a fallback.
 
-Calls are made in a Python stage over the candidates alone and written to a staging table before anything else reads them, so that a
-plan that is evaluated twice doesn't call twice. A reply that is no JSON object of the expected kind gives the
+Calls are made in a Python stage over the candidates alone, whose replies go through a ledger (ledger.py): neither a plan that is evaluated twice
+nor a task that is repeated asks a prompt twice. A reply that is no JSON object of the expected kind gives the
 fallback record, a failed request the error record; keys that the schema doesn't name are dropped.
 """
 
@@ -22,6 +22,7 @@ from ..operators.order import first_n
 from ..schema import DEEP, TRIAGE
 from ..session import ship
 from .clients import Client, ClientError
+from .ledger import answers
 from .prompts import deep_prompt, deep_schema, triage_prompt, triage_schema
 
 #: Characters of a bad reply that are kept, and the records for bad replies and failed requests (fixed values).
@@ -109,6 +110,21 @@ def call(candidates: DataFrame, prompt: Column, system: str, schema: dict, clien
     return rows.mapInPandas(run, T.StructType([rows.schema["seq"], *fields.fields]))
 
 
+def call_once(candidates: DataFrame, prompt: Column, system: str, schema: dict, client: Client, fields: T.StructType, fallback, error, ledger: str, at_once: int | None = None) -> DataFrame:
+    """What call() gives, by way of the ledger in that folder: each prompt that it doesn't hold is asked once."""
+    found = answers(candidates.select("seq", prompt.alias("prompt")), client, system, schema, ledger, at_once)
+    names = [f.name for f in fields]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [parse_reply(reply, fields, fallback) if reply is not None else error(failure) for reply, failure in zip(batch["reply"], batch["error"])]
+            made = pd.DataFrame(rows, columns=names, dtype=object)
+            made.insert(0, "seq", batch["seq"].to_numpy() if batch["seq"].dtype != object else batch["seq"].tolist())
+            yield made
+
+    return found.mapInPandas(read, T.StructType([found.schema["seq"], *fields.fields]))
+
+
 def _staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -126,12 +142,15 @@ def _with(papers: DataFrame, results: DataFrame, fields: T.StructType) -> DataFr
     return joined.withColumns(made).drop("_called", *(f"_r_{f.name}" for f in fields))
 
 
-def triage(papers: DataFrame, cfg: Triage, client: Client, system: str, folder: str) -> DataFrame:
-    """papers with the columns of the first stage; switched off, papers as they are, without these columns."""
+def triage(papers: DataFrame, cfg: Triage, client: Client, system: str, folder: str, ledger: str | None = None) -> DataFrame:
+    """papers with the columns of the first stage; switched off, papers as they are, without these columns. ledger: a folder of replies that outlasts the
+    run, whose prompts aren't asked again; unless given, one below folder."""
     if not cfg.enabled:
         return papers
     chosen = papers.join(first_n(papers, scores_at_least(cfg.classify_min_triage_score), cfg.max_papers_per_run), "seq", "left_semi")
-    results = call(chosen, triage_prompt(papers.columns), system, triage_schema(cfg.topics), client, TRIAGE, triage_fallback, triage_error)
+    results = call_once(
+        chosen, triage_prompt(papers.columns), system, triage_schema(cfg.topics), client, TRIAGE, triage_fallback, triage_error, ledger or f"{folder}/ledger", cfg.calls_at_once
+    )
     return _with(papers, _staged(results, folder, "triage"), TRIAGE)
 
 
@@ -140,10 +159,10 @@ def with_deep_columns(papers: DataFrame) -> DataFrame:
     return papers.withColumns({f.name: F.lit(None).cast(f.dataType) for f in DEEP if f.name not in papers.columns})
 
 
-def deep(papers: DataFrame, cfg: Deep, client: Client, system: str, folder: str) -> DataFrame:
-    """papers with the columns of the second stage, which exist, though empty, also when it is switched off."""
+def deep(papers: DataFrame, cfg: Deep, client: Client, system: str, folder: str, ledger: str | None = None) -> DataFrame:
+    """papers with the columns of the second stage, which exist, though empty, also when it is switched off. ledger: as for triage()."""
     if not cfg.enabled or "llm_priority" not in papers.columns:
         return with_deep_columns(papers)
     chosen = papers.join(first_n(papers, has_priority(cfg.only_priorities), cfg.max_papers_per_run), "seq", "left_semi")
-    results = call(chosen, deep_prompt(papers.columns), system, deep_schema(), client, DEEP, deep_fallback, deep_error)
+    results = call_once(chosen, deep_prompt(papers.columns), system, deep_schema(), client, DEEP, deep_fallback, deep_error, ledger or f"{folder}/ledger", cfg.calls_at_once)
     return _with(papers, _staged(results, folder, "deep"), DEEP)

@@ -94,7 +94,7 @@ def _run(spark: SparkSession, cfg: Config, terms: SearchTerms, papers: DataFrame
     if system is None:
         first = read_prompt(cfg.triage.system_prompt_path) if cfg.triage.enabled else ""
         second = read_prompt(cfg.deep.system_prompt_path) if cfg.deep.enabled else ""
-    papers = triage(papers, cfg.triage, client or _client(cfg.triage), first, staging)
-    papers = deep(papers, cfg.deep, client or _client(cfg.deep), second, staging)
+    papers = triage(papers, cfg.triage, client or _client(cfg.triage), first, staging, cfg.reply_ledger_path)
+    papers = deep(papers, cfg.deep, client or _client(cfg.deep), second, staging, cfg.reply_ledger_path)
     add_to_table(spark, papers, cfg, uuid.uuid4().hex)
     return RunReport(n_raw, n_unique, n_kept, read_table(spark, cfg.sota_table_path).count())

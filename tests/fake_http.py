@@ -1,6 +1,8 @@
 """Answers and clients for tests; Python workers import this module."""
 
+import hashlib
 import json
+import os
 import time
 from dataclasses import dataclass
 
@@ -69,3 +71,21 @@ def timed(url, timeout, headers):
 
 def timed_works(url, timeout, headers):
     return 200, {}, json.dumps({"results": [{"id": str(time.time())}]})
+
+
+@dataclass(frozen=True)
+class Breaks:
+    """Logged replies; the worker fails at the call that finds so many lines in the file, once."""
+
+    path: str
+    after: int
+    identity: str = "breaks"
+
+    def chat(self, system, user, schema):
+        with open(self.path, "a+") as f:
+            f.seek(0)
+            if len(f.readlines()) == self.after and not os.path.exists(f"{self.path}.broken"):
+                open(f"{self.path}.broken", "w").close()
+                raise RuntimeError("lost")
+            f.write(hashlib.sha256(user.encode()).hexdigest() + "\n")
+        return StubClient(junk_every=5).chat(system, user, schema)
