@@ -1,14 +1,18 @@
 """Scores of papers as column expressions, none of which needs a shuffle or a join.
 
-The unrolled form makes one CASE for each term and field, which fuses with the scan into one code-generated stage; past
-a few hundred terms the array form (functions over a literal array of terms) keeps the generated code small.
+The unrolled form makes one CASE for each term and field, which fuses with the scan into one code-generated stage. Past
+a few hundred terms score() takes the indexed form: a term is filed under a run of five of its characters (three, for short terms), and a text tries
+only the terms filed under runs that it has. The array form (functions over a literal array) tries every term, whatever their number.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from itertools import accumulate
 from operator import add
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +20,12 @@ from ..config import Scoring, SearchTerms
 from .text import normalize_category, to_number, to_text
 
 OUT_OF_SCOPE = ("out_of_scope", "Out of scope")
-#: Above so many terms in all topics together, score() takes the array form.
+#: Above so many terms in all topics together (or for all topics), score() takes the indexed form.
 UNROLLED_TERMS = 300
+#: A term is filed under a run of so many characters of its own, the first number that it has room for.
+WIDTHS = (5, 3)
+#: At each place of a text the longest such run, or what there is of it at the end.
+RUNS = f"(?s)(?=(.{{{WIDTHS[1]},{WIDTHS[0]}}}))"
 
 
 def term_score(text: Column, terms) -> Column:
@@ -51,6 +59,79 @@ def topic_score_array(terms: SearchTerms, cfg: Scoring) -> Column:
     return F.transform(F.array(fields), scored)[0]
 
 
+def _filed(listed: list[tuple[int, str, int]]) -> tuple[dict[str, list], list]:
+    """(topic index, term in lower case, weight): the terms by the run of theirs that fewest terms have, and those too short to have one."""
+    runs = [next((r for w in WIDTHS if (r := {t[i : i + w] for i in range(len(t) - w + 1)})), set()) for _, t, _ in listed]
+    common = Counter(r for rs in runs for r in rs)
+    filed: dict[str, list] = {}
+    short = []
+    for entry, rs in zip(listed, runs):
+        if rs:
+            filed.setdefault(min(rs, key=lambda r: (common[r], r)), []).append(entry)
+        else:
+            short.append(entry)
+    return filed, short
+
+
+def _xxhash64(text: str) -> int:
+    """Spark's function of that name."""
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def indexed_hits(text: Column, listed: list[tuple[int, str, int]]) -> Column:
+    """array<struct<topic, weight>> of the terms that the text, in lower case, contains, each once.
+
+    The index is a few flat arrays, literals that Spark folds once: the terms by slot (their run's hash modulo the number of slots), with their run's hash, and
+    where each slot begins. The runs of a text are found in one pass and looked up once each; a term that is filed under one is tried by contains, so
+    equal hashes cost time, not right results. The work grows with the text's length and the terms that it nearly has."""
+    if not listed:
+        return F.array().cast("array<struct<topic:int,weight:int>>")
+    filed, short = _filed(listed)
+    n = max(1, 8 * len(filed))
+    slots: list[list] = [[] for _ in range(n)]
+    for run, terms in filed.items():
+        h = _xxhash64(run)
+        slots[h % n] += [(h, entry) for entry in terms]
+    flat = [x for slot in slots for x in slot] + [(0, entry) for entry in short]
+    words = [t for _, (_, t, _) in flat]
+    mark = next(c for c in map(chr, range(0xE000, 0xF8FF)) if not any(c in t for t in words))
+
+    def numbers(values, kind: str = "int") -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+    start, hashes = numbers(accumulate(map(len, slots), initial=0)), numbers((h for h, _ in flat), "bigint")
+    topics, weights, terms = numbers(i for _, (i, _, _) in flat), numbers(w for _, (_, _, w) in flat), F.split(F.lit(mark.join(words)), mark)
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(RUNS), 1))
+    if any(len(r) < WIDTHS[0] for r in filed):
+        found = F.flatten(F.transform(found, lambda r: F.array(r, F.substring(r, 1, WIDTHS[1]))))
+
+    def slot(h: Column) -> Column:
+        return F.pmod(h, F.lit(n)).cast("int")
+
+    held = F.filter(F.transform(found, lambda r: F.xxhash64(r)), lambda h: F.get(start, slot(h)) < F.get(start, slot(h) + 1))
+    tried = F.flatten(F.transform(F.array_distinct(held), lambda h: F.filter(F.sequence(F.get(start, slot(h)), F.get(start, slot(h) + 1) - 1), lambda i: F.get(hashes, i) == h)))
+    if short:
+        tried = F.concat(F.sequence(F.lit(len(flat) - len(short)), F.lit(len(flat) - 1)), tried)
+    return F.transform(F.filter(tried, lambda i: F.contains(text, F.get(terms, i))), lambda i: F.struct(F.get(topics, i).alias("topic"), F.get(weights, i).alias("weight")))
+
+
+def topic_scores_indexed(terms: SearchTerms, cfg: Scoring) -> Column:
+    """What topic_score_array gives, by the index."""
+    listed = [(i, t.lower(), w) for i, topic in enumerate(terms.topics) for t, w in topic.terms]
+    topics = F.array(*(F.lit(i) for i in range(len(terms.topics)))).cast("array<int>")
+
+    def total(hits: Column, topic: Column) -> Column:
+        return F.aggregate(hits, F.lit(0).cast("long"), lambda a, x: a + F.when(x["topic"] == topic, x["weight"]).otherwise(F.lit(0)))
+
+    def scored(texts: Column) -> Column:
+        return F.transform(topics, lambda i: reduce(add, (F.lit(float(w)) * total(texts[c], i) for c, w in _fields(cfg).items())))
+
+    # an array of one, so that a text is searched once and not once a topic
+    fields = F.transform(F.array(F.struct(*(F.lower(to_text(c)).alias(c) for c in _fields(cfg)))), lambda x: F.struct(*(indexed_hits(x[c], listed).alias(c) for c in _fields(cfg))))
+    return F.transform(fields, scored)[0]
+
+
 def topic_scores_relational(papers: DataFrame, terms: SearchTerms, cfg: Scoring, key: str = "seq") -> DataFrame:
     """key, topic_idx, topic, score for every paper and topic."""
     names = F.array(*(F.lit(t.key) for t in terms.topics)).cast("array<string>")
@@ -73,7 +154,11 @@ def best_topic(scores: list[tuple[str, str, Column]]) -> Column:
 
 def generic_score(terms, cfg: Scoring) -> Column:
     """Term score of title, abstract and query as one text, where a term may run from one into the next."""
-    return term_score(F.lower(F.concat_ws(" ", to_text("title"), to_text("abstract"), to_text("query"))), terms)
+    text = F.lower(F.concat_ws(" ", to_text("title"), to_text("abstract"), to_text("query")))
+    if len(terms) <= UNROLLED_TERMS:
+        return term_score(text, terms)
+    hits = F.transform(F.array(text), lambda x: indexed_hits(x, [(0, t.lower(), w) for t, w in terms]))[0]
+    return F.aggregate(hits, F.lit(0).cast("long"), lambda a, x: a + x["weight"])
 
 
 def bonuses(cfg: Scoring) -> Column:
@@ -105,7 +190,7 @@ def score(papers: DataFrame, terms: SearchTerms, cfg: Scoring) -> DataFrame:
     """papers with topic, topic_label, topic_score, generic_priority_score, triage_score (and relevance_score, the same)."""
     n_terms = sum(len(t.terms) for t in terms.topics)
     if n_terms > UNROLLED_TERMS:
-        scored = papers.withColumn("_s", topic_score_array(terms, cfg)).withColumns({f"_s{i}": F.get("_s", F.lit(i)) for i in range(len(terms.topics))}).drop("_s")
+        scored = papers.withColumn("_s", topic_scores_indexed(terms, cfg)).withColumns({f"_s{i}": F.get("_s", F.lit(i)) for i in range(len(terms.topics))}).drop("_s")
     else:
         scored = papers.withColumns({f"_s{i}": topic_score(t.terms, cfg) for i, t in enumerate(terms.topics)})
     best = best_topic([(t.key, t.label, F.col(f"_s{i}")) for i, t in enumerate(terms.topics)])

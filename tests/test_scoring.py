@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,3 +74,28 @@ def test_config_defaults(tmp_path):
 def test_score_needs_no_shuffle(spark):
     df = spark.range(10).select(F.col("id").alias("seq"), *(F.lit("gan").alias(c) for c in ("title", "abstract", "query", "venue_type", "openalex_type")), F.lit(True).alias("has_abstract"), F.lit(False).alias("is_repository"), F.lit(1).alias("citation_count"))
     assert "Exchange" not in scoring.score(df, TERMS, Scoring())._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_index_finds_what_contains_finds(spark):
+    """Terms of all lengths, some twice, with overlaps and characters beyond the basic plane, in texts of all lengths."""
+    pick = random.Random(5)
+    text = lambda n: "".join(pick.choice("abcAé𝒳 ,|") for _ in range(n))
+    texts = [None, "", "a", "ab", "abc"] + [text(n) for n in (3, 4, 5, 6, 40, 300, 2000)]
+    listed = {f"t{k}": {"topic_terms": {text(pick.choice((0, 1, 2, 3, 4, 5, 6, 8))): pick.randint(-3, 9) for _ in range(120)} | {"GAN": 2, "gan": 3}} for k in range(4)} | {"none": {}}
+    terms = SearchTerms.of({"topics": listed})
+    rows = [(i, x, texts[-1 - i % 5], texts[i % 7]) for i, x in enumerate(texts + ["gan", "organ gan"])]
+    df = spark.createDataFrame(rows, "seq int, title string, abstract string, query string")
+    by_index, by_array, one_by_one = df.select(
+        scoring.topic_scores_indexed(terms, Scoring()), scoring.topic_score_array(terms, Scoring()), F.array(*(scoring.topic_score(t.terms, Scoring()) for t in terms.topics))
+    ).toDF("i", "a", "u").agg(*(F.collect_list(c) for c in "iau")).first()
+    assert by_index == by_array == one_by_one and any(any(x) for x in by_index)
+    generic = tuple(t for topic in terms.topics for t in topic.terms)
+    assert len(generic) > scoring.UNROLLED_TERMS
+    in_parts = sum((scoring.generic_score(t.terms, Scoring()) for t in terms.topics), F.lit(0))
+    large, small = ([r[0] for r in df.orderBy("seq").select(c).collect()] for c in (scoring.generic_score(generic, Scoring()), in_parts))
+    assert large == small
+
+
+def test_an_empty_dictionary_in_the_index(spark):
+    assert spark.range(1).select(F.size(scoring.indexed_hits(F.lit("text"), []))).first()[0] == 0
+    assert spark.range(1).select(scoring.indexed_hits(F.lit("text"), [(0, "", 4), (1, "te", 5), (2, "z", 6)])).first()[0] == [(0, 4), (1, 5)]
