@@ -8,6 +8,7 @@ only the terms filed under runs that it has. The array form (functions over a li
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from functools import reduce
 from itertools import accumulate
 from operator import add
@@ -24,6 +25,8 @@ OUT_OF_SCOPE = ("out_of_scope", "Out of scope")
 UNROLLED_TERMS = 300
 #: A term is filed under a run of so many characters of its own, the first number that it has room for.
 WIDTHS = (5, 3)
+#: Slots of the index for each run that terms are filed under.
+SLOTS = 4
 #: At each place of a text the longest such run, or what there is of it at the end.
 RUNS = f"(?s)(?=(.{{{WIDTHS[1]},{WIDTHS[0]}}}))"
 
@@ -79,16 +82,16 @@ def _xxhash64(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def indexed_hits(text: Column, listed: list[tuple[int, str, int]]) -> Column:
-    """array<struct<topic, weight>> of the terms that the text, in lower case, contains, each once.
+def with_index(listed: list[tuple[int, str, int]], use: Callable) -> Column:
+    """use(hits), where hits(text) is the array<struct<topic, weight>> of the terms that the text, in lower case, contains, each once.
 
-    The index is a few flat arrays, literals that Spark folds once: the terms by slot (their run's hash modulo the number of slots), with their run's hash, and
-    where each slot begins. The runs of a text are found in one pass and looked up once each; a term that is filed under one is tried by contains, so
-    equal hashes cost time, not right results. The work grows with the text's length and the terms that it nearly has."""
+    The index is one literal of a few flat arrays, however many texts use(hits) looks at: the terms by slot (their run's hash modulo the number of slots), with their
+    run's hash, and where each slot begins. The runs of a text are found in one pass and looked up once each; a term that is filed under one is tried by contains, so
+    equal hashes cost time, not right results. The work grows with the text's length and the terms that it nearly has; every task reads the literal once."""
     if not listed:
-        return F.array().cast("array<struct<topic:int,weight:int>>")
+        return use(lambda text: F.array().cast("array<struct<topic:int,weight:int>>"))
     filed, short = _filed(listed)
-    n = max(1, 8 * len(filed))
+    n = max(1, SLOTS * len(filed))
     slots: list[list] = [[] for _ in range(n)]
     for run, terms in filed.items():
         h = _xxhash64(run)
@@ -100,20 +103,32 @@ def indexed_hits(text: Column, listed: list[tuple[int, str, int]]) -> Column:
     def numbers(values, kind: str = "int") -> Column:
         return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
-    start, hashes = numbers(accumulate(map(len, slots), initial=0)), numbers((h for h, _ in flat), "bigint")
-    topics, weights, terms = numbers(i for _, (i, _, _) in flat), numbers(w for _, (_, _, w) in flat), F.split(F.lit(mark.join(words)), mark)
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(RUNS), 1))
-    if any(len(r) < WIDTHS[0] for r in filed):
-        found = F.flatten(F.transform(found, lambda r: F.array(r, F.substring(r, 1, WIDTHS[1]))))
+    index = F.struct(
+        numbers(accumulate(map(len, slots), initial=0)).alias("start"),
+        numbers((h for h, _ in flat), "bigint").alias("hash"),
+        numbers(i for _, (i, _, _) in flat).alias("topic"),
+        numbers(w for _, (_, _, w) in flat).alias("weight"),
+        F.split(F.lit(mark.join(words)), mark).alias("term"),
+    )
+    filed_short = any(len(r) < WIDTHS[0] for r in filed)
+
+    def hits(text: Column, ix: Column) -> Column:
+        start, end = (lambda h, k=k: F.get(ix["start"], F.pmod(h, F.lit(n)).cast("int") + k) for k in (0, 1))
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(RUNS), 1))
+        if filed_short:
+            found = F.flatten(F.transform(found, lambda r: F.array(r, F.substring(r, 1, WIDTHS[1]))))
+        held = F.filter(F.transform(found, lambda r: F.xxhash64(r)), lambda h: start(h) < end(h))
+        tried = F.flatten(F.transform(F.array_distinct(held), lambda h: F.filter(F.sequence(start(h), end(h) - 1), lambda i: F.get(ix["hash"], i) == h)))
+        if short:
+            tried = F.concat(F.sequence(F.lit(len(flat) - len(short)), F.lit(len(flat) - 1)), tried)
+        return F.transform(F.filter(tried, lambda i: F.contains(text, F.get(ix["term"], i))), lambda i: F.struct(F.get(ix["topic"], i).alias("topic"), F.get(ix["weight"], i).alias("weight")))
 
-    def slot(h: Column) -> Column:
-        return F.pmod(h, F.lit(n)).cast("int")
+    return F.transform(F.array(index), lambda ix: use(lambda text: hits(text, ix)))[0]
 
-    held = F.filter(F.transform(found, lambda r: F.xxhash64(r)), lambda h: F.get(start, slot(h)) < F.get(start, slot(h) + 1))
-    tried = F.flatten(F.transform(F.array_distinct(held), lambda h: F.filter(F.sequence(F.get(start, slot(h)), F.get(start, slot(h) + 1) - 1), lambda i: F.get(hashes, i) == h)))
-    if short:
-        tried = F.concat(F.sequence(F.lit(len(flat) - len(short)), F.lit(len(flat) - 1)), tried)
-    return F.transform(F.filter(tried, lambda i: F.contains(text, F.get(terms, i))), lambda i: F.struct(F.get(topics, i).alias("topic"), F.get(weights, i).alias("weight")))
+
+def indexed_hits(text: Column, listed: list[tuple[int, str, int]]) -> Column:
+    """array<struct<topic, weight>> of the terms that the text contains. text is an expression that is looked at several times."""
+    return with_index(listed, lambda hits: hits(text))
 
 
 def topic_scores_indexed(terms: SearchTerms, cfg: Scoring) -> Column:
@@ -127,8 +142,9 @@ def topic_scores_indexed(terms: SearchTerms, cfg: Scoring) -> Column:
     def scored(texts: Column) -> Column:
         return F.transform(topics, lambda i: reduce(add, (F.lit(float(w)) * total(texts[c], i) for c, w in _fields(cfg).items())))
 
-    # an array of one, so that a text is searched once and not once a topic
-    fields = F.transform(F.array(F.struct(*(F.lower(to_text(c)).alias(c) for c in _fields(cfg)))), lambda x: F.struct(*(indexed_hits(x[c], listed).alias(c) for c in _fields(cfg))))
+    # arrays of one, so that a text is searched once and not once a topic
+    texts = F.array(F.struct(*(F.lower(to_text(c)).alias(c) for c in _fields(cfg))))
+    fields = with_index(listed, lambda hits: F.transform(texts, lambda x: F.struct(*(hits(x[c]).alias(c) for c in _fields(cfg)))))
     return F.transform(fields, scored)[0]
 
 
