@@ -5,6 +5,7 @@ import json
 import os
 import time
 from dataclasses import dataclass
+from urllib.parse import parse_qs, urlsplit
 
 from inkmill.enrich.clients import StubClient
 from inkmill.sources.http import HttpError
@@ -73,6 +74,13 @@ def timed_works(url, timeout, headers):
     return 200, {}, json.dumps({"results": [{"id": str(time.time())}]})
 
 
+def dated_works(url, timeout, headers):
+    """Records of several dates, and one without, each with the request's filter as its title; the answer doesn't keep to the filter."""
+    asked = parse_qs(urlsplit(url).query)["filter"][0]
+    dates = ["2024-05-01", "2024-03-01", "2024-02-01", "2023-12-31", None]
+    return 200, {}, json.dumps({"results": [{"id": f"W{i}", "title": asked, "publication_date": d} for i, d in enumerate(dates)]})
+
+
 @dataclass(frozen=True)
 class Breaks:
     """Logged replies; the worker fails at the call that finds so many lines in the file, once."""

@@ -46,6 +46,40 @@ def test_dates_of_rows(spark):
     assert works.in_dates(df, None, "2999-12-31").count() == 3
 
 
+def test_date_filters_go_into_the_request(spark):
+    def asked(keeps, **options):
+        found = keeps(works.scan(spark, [(0, "t", "q")], {"fetcher": "fake_http:dated_works", "sleep_seconds": 0} | options))
+        rows = found.select("title", "openalex_id", "published_date").collect()
+        plan = found.select("title", "openalex_id")._jdf.queryExecution().executedPlan().toString()
+        return {r[0] for r in rows}, [r[1] for r in rows], "Filter (" in plan
+
+    today = datetime.date.today().isoformat()
+    assert asked(lambda df: df) == ({f"to_publication_date:{today}"}, ["W0", "W1", "W2", "W3", "W4"], False)
+    assert asked(lambda df: works.in_dates(df, "2024-02-01", "2024-03-31")) == ({"from_publication_date:2024-02-01,to_publication_date:2024-03-31"}, ["W1", "W2"], False)
+    assert asked(lambda df: works.in_dates(df, "2024-02-01")) == ({f"from_publication_date:2024-02-01,to_publication_date:{today}"}, ["W0", "W1", "W2"], False)
+    # options and filters: the tighter bound of each side
+    within = {"from_publication_date": "2024-03-01", "to_publication_date": "2024-04-30"}
+    assert asked(lambda df: works.in_dates(df, "2024-01-01", "2024-03-31"), **within)[0] == {"from_publication_date:2024-03-01,to_publication_date:2024-03-31"}
+    # a bound without equality narrows the request, Spark does the rest; so it does with what is no whole date
+    day = F.col("published_date")
+    assert asked(lambda df: df.where((day > "2024-02-01") & (day < "2024-05-01"))) == ({"from_publication_date:2024-02-01,to_publication_date:2024-05-01"}, ["W1"], True)
+    assert asked(lambda df: df.where(day == "2024-02-01")) == ({"from_publication_date:2024-02-01,to_publication_date:2024-02-01"}, ["W2"], False)
+    assert asked(lambda df: df.where((day >= "2024") & (F.col("openalex_id") != "W0"))) == ({f"to_publication_date:{today}"}, ["W1", "W2"], True)
+    assert asked(lambda df: df.where((day >= "2024-05-01") | (day < "2024-01-01"))) == ({f"to_publication_date:{today}"}, ["W0", "W3", "W4"], True)
+    # an empty date is the smallest text, as it is for a filter of Spark's
+    assert asked(lambda df: df.where(day <= "1999-01-01")) == ({"to_publication_date:1999-01-01"}, ["W4"], False)
+
+
+def test_date_filters_where_the_session_takes_none(spark):
+    before = spark.conf.get(works.PUSHDOWN)
+    spark.conf.set(works.PUSHDOWN, "false")
+    try:
+        found = works.in_dates(works.scan(spark, [(0, "t", "q")], {"fetcher": "fake_http:dated_works", "sleep_seconds": 0}), "2024-02-01", "2024-03-31")
+        assert [r[0] for r in found.select("openalex_id").collect()] == ["W1", "W2"]
+    finally:
+        spark.conf.set(works.PUSHDOWN, before)
+
+
 def test_feed_scan(spark):
     found = feed.scan(spark, [(3, "t", '"a b" c')], {"fetcher": "fake_http:feed", "sleep_seconds": 0})
     one, two = (r.asDict() for r in found.orderBy("seq").collect())
