@@ -64,10 +64,6 @@ def report_order(df: DataFrame) -> list[Column]:
     return [k.sort() for k in report_keys(df)]
 
 
-def report_order(df: DataFrame) -> list[Column]:
-    return [k.sort() for k in report_keys(df)]
-
-
 def top_per_query(df: DataFrame, n: int, query: str = "query", date: str = "published_date") -> DataFrame:
     """The n latest rows of each query."""
     place = F.row_number().over(Window.partitionBy(query).orderBy(F.col(date).desc_nulls_last(), F.col("seq")))
