@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip, to_text
 from .filters import has_priority
+from .order import Key
 
 
-def counts_by(df: DataFrame, column: str, first_seen: Column | None = None) -> DataFrame:
-    """label, n, first: rows by the value of column, missing ones as Unknown; first is the smallest first_seen, for ties."""
-    label = F.coalesce(F.col(column), F.lit("Unknown"))
-    return df.groupBy(label.alias("label")).agg(F.count("*").alias("n"), F.min(first_seen if first_seen is not None else F.col("seq")).alias("first"))
+def _label(column: str) -> Column:
+    return F.coalesce(F.col(column), F.lit("Unknown")).alias("label")
+
+
+def counts_by(df: DataFrame, column: str) -> DataFrame:
+    """label, n, first: rows by the value of column, missing ones as Unknown; first is the smallest seq."""
+    return df.groupBy(_label(column)).agg(F.count("*").alias("n"), F.min("seq").alias("first"))
+
+
+def ranked_counts(df: DataFrame, column: str, order: list[Key]) -> DataFrame:
+    """label, n, place (from 1): rows by the value of column, most first, then the label whose first row in the given order comes first. Rows need no numbers for
+    that: each task sends its first row of each label. The labels, which are few, are placed in one task."""
+    keyed = df.select(_label(column), *(k.value().alias(f"k{i}") for i, k in enumerate(order)))
+    by = [Key(f"k{i}", k.descending).sort() for i, k in enumerate(order)]
+    first = keyed.withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy(*by))).where("nth = 1")
+    both = first.join(keyed.groupBy("label").agg(F.count("*").alias("n")), "label")
+    return both.select("label", "n", F.row_number().over(Window.orderBy(F.col("n").desc(), *by)).alias("place"))
 
 
 def priority_counts(df: DataFrame, *more: Column) -> DataFrame:

@@ -127,8 +127,9 @@ def with_ordinal(df: DataFrame, order: list[Key], name: str = "ordinal") -> Data
     keyed = df.withColumn(key, F.array(*parts))
     some = keyed.select(key).orderBy(F.xxhash64(key)).limit(SAMPLE).agg(F.array_sort(F.collect_list(key)).alias("s"))
     picked = F.transform(F.sequence(F.lit(1), F.lit(ranges)), lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(ranges + 1)).cast("int")))
-    ranged = keyed.withColumn(bounds, some.select(F.array_distinct(F.filter(picked, lambda b: b.isNotNull()))).scalar())
-    ranged = ranged.withColumn(at, F.size(F.filter(bounds, lambda b: b <= F.col(key)))).drop(bounds, key)
+    ranged = df.withColumn(bounds, some.select(F.array_distinct(F.filter(picked, lambda b: b.isNotNull()))).scalar())
+    # an array of one, so that a row's key is made once and not once a bound
+    ranged = ranged.withColumn(at, F.transform(F.array(F.array(*parts)), lambda k: F.size(F.filter(bounds, lambda b: b <= k)))[0]).drop(bounds)
     counts = ranged.groupBy(at).agg(F.count("*").alias("n")).agg(F.collect_list(F.struct(F.col(at).alias("at"), "n")).alias("all"))
     before = F.transform(F.sequence(F.lit(0), F.lit(ranges)), lambda i: F.aggregate(F.filter("all", lambda c: c["at"] < i), F.lit(0).cast("long"), lambda total, c: total + c["n"]))
     place = F.row_number().over(Window.partitionBy(at).orderBy(*(k.sort() for k in order)))

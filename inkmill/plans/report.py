@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.text import strip, to_text
-from ..operators.aggregates import any_text, counts_by, priority_counts
+from ..operators.aggregates import any_text, priority_counts, ranked_counts
 from ..operators.filters import has_deep_analysis, has_priority, require_columns
 from ..operators.order import report_keys, with_ordinal
 from ..sinks import write_markdown
@@ -83,25 +83,28 @@ def report_lines(table: DataFrame, priorities: tuple[str, ...] = PRIORITIES) ->
         F.lit(""),
     ]
 
-    def fixed(section: int, after: Column, texts: list[Column]) -> DataFrame:
-        """Lines that every report has, after so many others."""
-        return counts.select(F.lit(section).alias("section"), after.alias("after"), F.posexplode(F.array(*texts)).alias("place", "text")).select("section", (F.col("after") + F.col("place") + 1).alias("line_no"), "text")
-
-    parts, after = [fixed(0, F.lit(0).cast("long"), head)], F.lit(len(head)).cast("long")
+    # lines before each section, and the lines that every report has: (section, lines before, texts)
+    before = [F.lit(len(head)).cast("long")]
+    fixed = [(0, F.lit(0).cast("long"), head)]
     for i, (title, column) in enumerate(sections, 1):
-        parts.append(fixed(i, after, [F.lit(title), F.lit("")]))
-        # a line for each label, of which there are as many as the configuration has topics
-        place = F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("first")))
+        labels = F.col(f"lines_{column}")
+        fixed += [(i, before[-1], [F.lit(title), F.lit("")]), (i, before[-1] + 2 + labels, [F.lit("")])]
+        before.append(before[-1] + 3 + labels)
+    fixed.append((3, before[-1], [F.lit("## Papers"), F.lit("")]))
+    lines = [F.struct(F.lit(i).alias("section"), (after + k).alias("line_no"), text.alias("text")) for i, after, texts in fixed for k, text in enumerate(texts, 1)]
+    parts = [counts.select(F.inline(F.array(*lines)))]
+
+    def start(i: int) -> Column:
+        """The lines before section i's own ones: one subquery for all sections."""
+        return F.get(counts.select(F.array(*before)).scalar(), F.lit(i)) + 2
+
+    for i, (_, column) in enumerate(sections, 1):
         shown = say(F.lit("- "), F.col("label"), F.lit(": **"), F.col("n"), F.lit("**"))
-        lines = counts_by(papers, column, F.col("ordinal")).select(place.alias("place"), shown.alias("text")).withColumn("after", counts.select(after).scalar())
-        parts.append(lines.select(F.lit(i).alias("section"), (F.col("after") + 2 + F.col("place")).alias("line_no"), "text"))
-        after = after + 2 + F.col(f"lines_{column}")
-        parts.append(fixed(i, after, [F.lit("")]))
-        after = after + 1
-    parts.append(fixed(3, after, [F.lit("## Papers"), F.lit("")]))
+        ranked = ranked_counts(wanted, column, report_keys(wanted)).select(shown.alias("text"), "place")
+        parts.append(ranked.select(F.lit(i).alias("section"), (start(i - 1) + F.col("place")).alias("line_no"), "text"))
     both = F.array(paper_block(n), F.lit("\n---\n"))
-    blocks = papers.select("ordinal", F.posexplode(both).alias("place", "text")).withColumn("after", counts.select(after).scalar())
-    parts.append(blocks.select(F.lit(3).alias("section"), (F.col("after") + 2 * F.col("ordinal") + F.col("place") + 1).alias("line_no"), "text"))
+    blocks = papers.select("ordinal", F.posexplode(both).alias("place", "text"))
+    parts.append(blocks.select(F.lit(3).alias("section"), (start(len(sections)) + 2 * F.col("ordinal") + F.col("place") - 1).alias("line_no"), "text"))
     return reduce(DataFrame.unionByName, parts).withColumn("line_no", F.col("line_no").cast("int"))
 
 
