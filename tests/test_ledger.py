@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from inkmill.config import Config
 from inkmill.enrich import ledger, stage
 from inkmill.enrich.clients import ChatClient, StubClient
 from inkmill.enrich.prompts import triage_schema
@@ -104,3 +105,19 @@ def test_what_a_key_depends_on(spark):
     a = key(ChatClient("m"), "s", {})
     assert a == key(ChatClient("m", "http://other", 5), "s", {})
     assert len({a, key(ChatClient("n"), "s", {}), key(ChatClient("m"), "t", {}), key(ChatClient("m"), "s", {"x": 1}), key(ChatClient("m", temperature=1.0), "s", {})}) == 5
+
+
+def test_scores_are_made_once_for_the_candidates(spark, tmp_path):
+    """Prompts are read more than once; what candidates are chosen by is not made again."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(seq):
+        made.add(1)
+        return float(seq)
+
+    cfg = Config.of({"output_dir": "o", "sota_table_path": "t", "ollama": {"enabled": True, "classify_min_triage_score": 5, "max_papers_per_run": 4}}).triage
+    papers = spark.range(20).select(F.col("id").alias("seq"), F.concat(F.lit("t"), "id").alias("title")).withColumn("triage_score", score("seq"))
+    out = stage.triage(papers, cfg, StubClient(), "", str(tmp_path / "f"))
+    assert made.value <= 60  # to choose, for the prompts and once for what comes out; 110 when each reader of prompts made them again
+    assert sorted(r["seq"] for r in out.where("llm_priority is not null").collect()) == [5, 6, 7, 8]
