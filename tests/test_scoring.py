@@ -99,3 +99,12 @@ def test_the_index_finds_what_contains_finds(spark):
 def test_an_empty_dictionary_in_the_index(spark):
     assert spark.range(1).select(F.size(scoring.indexed_hits(F.lit("text"), []))).first()[0] == 0
     assert spark.range(1).select(scoring.indexed_hits(F.lit("text"), [(0, "", 4), (1, "te", 5), (2, "z", 6)])).first()[0] == [(0, 4), (1, 5)]
+
+
+def test_a_filter_on_a_score_makes_no_text_again_for_each_term(spark):
+    """Spark moves the filter below the scores and repeats what they are made of there."""
+    terms = SearchTerms.of({"topics": {f"t{i}": {"topic_terms": {f"w{i}a{j}": 5 for j in range(9)}} for i in range(4)}, "generic_priority_terms": {"survey": 2}})
+    df = spark.createDataFrame([(i, f"w{i}a1 Survey", "ABSTRACT", "q", "Journal", "report", True, False, 3.0) for i in range(4)], DDL)
+    kept = scoring.score(df, terms, Scoring()).where("triage_score >= 15").select("seq", "triage_score")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("lower(") < 30
+    assert sorted(map(tuple, kept.collect())) == [(i, 15 + 2 + 2 - 4 + round(0.25 * math.log1p(3), 3)) for i in range(4)]
