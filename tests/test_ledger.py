@@ -121,3 +121,16 @@ def test_scores_are_made_once_for_the_candidates(spark, tmp_path):
     out = stage.triage(papers, cfg, StubClient(), "", str(tmp_path / "f"))
     assert made.value <= 60  # to choose, for the prompts and once for what comes out; 110 when each reader of prompts made them again
     assert sorted(r["seq"] for r in out.where("llm_priority is not null").collect()) == [5, 6, 7, 8]
+
+
+def test_fast_replies_share_files(tmp_path):
+    """A task's replies are lines of its journal; another attempt of the task reads them, half a line is none."""
+    folder = str(tmp_path / "r")
+    asked = pd.DataFrame({"digest": [f"d{i}" for i in range(500)], "prompt": ["x" * i for i in range(500)]})
+    (first,) = ledger.ask(iter([asked]), StubClient(junk_every=5), "", SCHEMA, folder)
+    files = list((tmp_path / "r").iterdir())
+    assert 1 <= len(files) < 50
+    (tmp_path / "r" / "0-killed.json").write_text('{"digest": "e", "rep')
+    (again,) = ledger.ask(iter([asked]), None, "", SCHEMA, folder)
+    assert again["reply"].tolist() == first["reply"].tolist() and ledger.OpenReplies(folder, "0").get("e") is None
+    assert ledger.OpenReplies(folder, "1").get("d1") is None
