@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +135,32 @@ def test_fast_replies_share_files(tmp_path):
     (again,) = ledger.ask(iter([asked]), None, "", SCHEMA, folder)
     assert again["reply"].tolist() == first["reply"].tolist() and ledger.OpenReplies(folder, "0").get("e") is None
     assert ledger.OpenReplies(folder, "1").get("d1") is None
+
+
+def test_few_rows_are_objects_at_once(spark):
+    """A batch of many prompts is taken in parts: the first results come before the last prompt is asked."""
+    seen = {}
+
+    class Frame:
+        sparkSession, schema = spark, spark.range(1).select(F.col("id").alias("seq"), F.lit("p").alias("prompt")).schema
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, out):
+            seen["run"] = run
+            return out
+
+    asked = []
+
+    class Counts:
+        def chat(self, *a):
+            asked.append(a)
+            return '{"llm_priority": "read"}'
+
+    stage.call(Frame(), F.lit("p"), "", SCHEMA, Counts(), TRIAGE, stage.triage_fallback, stage.triage_error)
+    batch = pa.RecordBatch.from_pydict({"seq": list(range(5000)), "prompt": ["p"] * 5000})
+    parts = seen["run"](iter([batch]))
+    first = next(parts)
+    assert first.num_rows == len(asked) < 1000
+    assert first.num_rows + sum(p.num_rows for p in parts) == len(asked) == 5000
